@@ -65,6 +65,8 @@ INTEGRATED_SCHEMA = _schema(
     "festival_name string, holiday_flag boolean"
 )
 
+STAGE_BY_MONTH_SCHEMA = StructType([*INTEGRATED_SCHEMA.fields, StructField("year_month", StringType())])
+
 ADVISORY_COLUMNS = [
     "date",
     "corridor",
