@@ -55,6 +55,19 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
     )
 
 
+def candidate_rows(responses: DataFrame, column: str = "response") -> DataFrame:
+    """One row per candidate of every response, parsed but not ranked.
+
+    The candidates are exploded before their fields are derived, so the derivation is
+    compiled with the rest of the stage instead of being interpreted per array element.
+    """
+    others = [name for name in responses.columns if name != column]
+    raw = responses.select(
+        *others, F.posexplode(F.from_json(F.col(column), S.ROUTE_RESPONSE_SCHEMA).getField("routes")).alias("pos", "raw")
+    )
+    return raw.select(*others, _candidate(F.col("raw"), F.col("pos")).alias("c")).select(*others, "c.*")
+
+
 def response_problem(document: Column) -> Column:
     """Why a parsed response is unusable, null when it is fine."""
     routes = document.getField("routes")
@@ -145,14 +158,17 @@ def _with_verdict(route: Column, position: Column, first: Column, second: Column
 
 
 def rank_routes(parsed: DataFrame) -> DataFrame:
-    """Replace ``routes`` by the ranked candidates with status and reason."""
-    ordered = parsed.withColumn("routes", _in_rank_order(F.col("routes")))
-    first = F.try_element_at("routes", F.lit(1))
-    second = F.try_element_at("routes", F.lit(2))
-    return ordered.withColumn(
-        "routes",
-        F.transform("routes", lambda r, i: _with_verdict(r, i, first, second, F.size("routes"))),
-    )
+    """Replace ``routes`` by the ranked candidates with status and reason.
+
+    The sorted array is bound as a lambda variable, so it is sorted once per response
+    and not again for every candidate that is compared with the best two.
+    """
+
+    def verdicts(ordered: Column) -> Column:
+        first, second = (F.try_element_at(ordered, F.lit(i)) for i in (1, 2))
+        return F.transform(ordered, lambda r, i: _with_verdict(r, i, first, second, F.size(ordered)))
+
+    return parsed.withColumn("routes", F.transform(F.array(_in_rank_order(F.col("routes"))), verdicts)[0])
 
 
 def recommend(ranked: DataFrame) -> DataFrame:
@@ -209,7 +225,8 @@ def route_bounds(ranked: DataFrame, origin: Column, destination: Column, *keys:
     """
     points = F.concat(F.array(origin, destination), F.flatten(F.transform("routes", lambda r: r.getField("coordinates"))))
     located = ranked.select(*keys, origin.alias("a"), destination.alias("b"), points.alias("points"))
-    lats, lons = (F.transform("points", lambda p, n=name: p.getField(n)) for name in ("lat", "lon"))
+    lats = F.transform("points", lambda p: p.getField("lat"))
+    lons = F.transform("points", lambda p: p.getField("lon"))
     return located.select(
         *keys,
         F.array_min(lats).alias("min_lat"),
