@@ -56,7 +56,7 @@ def adverse_weather(column: str = "weather") -> Column:
 
 def whole_minutes(seconds: Column) -> Column:
     """Seconds to minutes, half to even."""
-    return F.bround(seconds / 60.0, 0).cast("bigint")
+    return F.rint(seconds / 60.0).cast("bigint")
 
 
 def duration_text(seconds: Column) -> Column:

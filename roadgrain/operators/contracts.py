@@ -57,10 +57,13 @@ class Cell:
             return F.when(lowered == "true", F.lit(True)).when(lowered == "false", F.lit(False))
         return cell
 
-    def problem(self) -> Column:
-        """Name of the first broken rule, null for a good or a missing cell."""
-        cell, value = F.col(f"`{self.name}`"), self.value()
-        result = F.when(cell.isNull(), F.lit(None)).when(value.isNull(), self.issue)
+    def problem(self, value: Column, blank_is_missing: bool) -> Column:
+        """Name of the first broken rule, null for a good cell; ``value`` is the parsed cell."""
+        cell = F.col(f"`{self.name}`")
+        absent = cell.isNull() | (cell == "") if blank_is_missing else cell.isNull()
+        result = F.when(absent, "incomplete")
+        if self.kind != "text":
+            result = result.when(value.isNull(), self.issue)
         if self.choices:
             result = result.when(~cell.isin(list(self.choices)), "unsupported value")
         if self.finite:
@@ -187,32 +190,38 @@ def check_rows(cells: DataFrame, contract: Contract, malformed: str | None = Non
     very frequent key is merged before the shuffle.
     """
     require_columns([name for name in cells.columns if name != malformed], contract)
+    columns = cells.columns
 
-    def issue(condition: Column, text: Column | str, column: str, cell: Column) -> Column:
-        text = F.lit(text) if isinstance(text, str) else text
-        return F.when(condition, F.struct(text.alias("issue"), F.lit(column).alias("column_name"), cell.alias("cell")))
+    def issue(name: Column, column: str) -> Column:
+        cell = F.col(f"`{column}`") if column else F.lit(None).cast("string")
+        return F.struct(name.alias("issue"), F.lit(column).alias("column_name"), cell.alias("cell"))
 
-    none = F.lit(None).cast("string")
     found = []
     if malformed:
-        found.append(issue(F.col(malformed).isNotNull(), "wrong number of fields", "", F.col(malformed)))
-    for cell in contract.cells:
-        value = F.col(f"`{cell.name}`")
-        absent = value.isNull() | (value == "") if contract.blank_is_missing else value.isNull()
-        found.append(issue(absent, "incomplete", cell.name, none))
-        problem = F.when(~absent, cell.problem())
-        found.append(issue(problem.isNotNull(), problem, cell.name, value))
+        wrong = F.when(F.col(malformed).isNotNull(), "wrong number of fields")
+        found.append(F.struct(wrong.alias("issue"), F.lit("").alias("column_name"), F.col(malformed).alias("cell")))
     if contract.key:
         key = F.col(f"`{contract.key}`")
-        if not contract.blank_is_missing:
-            found.append(issue(key == "", "empty key", contract.key, key))
         repeated = (
             cells.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1 AND _key <> ''")
         )
         cells = cells.join(repeated, key == F.col("_key"), "left")
-        found.append(issue(F.col("_copies").isNotNull(), "duplicate key", contract.key, key))
-    checked = cells.withColumn("issues", F.filter(F.array(*found), lambda i: i.isNotNull()).cast(ISSUE_TYPE))
-    return checked.drop("_key", "_copies")
+        columns = [*columns, "_copies"]
+        if not contract.blank_is_missing:
+            found.append(issue(F.when(key == "", "empty key"), contract.key))
+        found.append(issue(F.when(F.col("_copies").isNotNull(), "duplicate key"), contract.key))
+    # Parse every cell once, in a projection of its own, then test the parsed values.
+    parsed = cells.select(
+        *[F.col(f"`{name}`") for name in columns],
+        *[cell.value().alias(f"_value{i}") for i, cell in enumerate(contract.cells) if cell.kind != "text"],
+    )
+    for i, cell in enumerate(contract.cells):
+        value = F.col(f"_value{i}") if cell.kind != "text" else F.col(f"`{cell.name}`")
+        found.append(issue(cell.problem(value, contract.blank_is_missing), cell.name))
+    issues = F.filter(F.array(*found), lambda i: i.getField("issue").isNotNull())
+    return parsed.select(
+        *[F.col(f"`{name}`") for name in columns if name != "_copies"], issues.cast(ISSUE_TYPE).alias("issues")
+    )
 
 
 def good_rows(checked: DataFrame, contract: Contract) -> DataFrame:
@@ -227,7 +236,8 @@ def bad_rows(checked: DataFrame) -> DataFrame:
 def issue_report(checked: DataFrame) -> DataFrame:
     """Rows (issue, column_name, row_count, example) plus ``no records`` for an empty table."""
     found = (
-        checked.select(F.inline("issues"))
+        checked.select(F.inline_outer("issues"))
+        .where("issue IS NOT NULL")
         .groupBy("issue", "column_name")
         .agg(F.count(F.lit(1)).alias("row_count"), F.min("cell").alias("example"))
     )

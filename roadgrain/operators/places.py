@@ -16,7 +16,8 @@ def clean_suggestions(answers: DataFrame, column: str = "response") -> DataFrame
     Entries without numeric in-range coordinates or with a blank name are skipped.
     """
     others = [name for name in answers.columns if name != column]
-    entries = answers.select(*others, F.posexplode(F.from_json(column, S.PLACE_RESULTS_SCHEMA)).alias("pos", "entry"))
+    parsed = F.from_json(column, S.PLACE_RESULTS_SCHEMA)
+    entries = answers.select(*others, F.posexplode_outer(parsed).alias("pos", "entry")).where("entry IS NOT NULL")
     located = entries.select(
         *others,
         (F.col("pos") + 1).alias("position"),

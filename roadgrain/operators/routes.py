@@ -62,9 +62,9 @@ def candidate_rows(responses: DataFrame, column: str = "response") -> DataFrame:
     compiled with the rest of the stage instead of being interpreted per array element.
     """
     others = [name for name in responses.columns if name != column]
-    raw = responses.select(
-        *others, F.posexplode(F.from_json(F.col(column), S.ROUTE_RESPONSE_SCHEMA).getField("routes")).alias("pos", "raw")
-    )
+    # The outer form, because for the inner one Spark adds a size filter that parses the text again.
+    routes = F.from_json(F.col(column), S.ROUTE_RESPONSE_SCHEMA).getField("routes")
+    raw = responses.select(*others, F.posexplode_outer(routes).alias("pos", "raw")).where("pos IS NOT NULL")
     return raw.select(*others, _candidate(F.col("raw"), F.col("pos")).alias("c")).select(*others, "c.*")
 
 
@@ -214,8 +214,11 @@ def recommend(ranked: DataFrame) -> DataFrame:
 
 
 def route_rows(ranked: DataFrame, *keys: str) -> DataFrame:
-    """One row per ranked candidate, without its geometry."""
-    return ranked.select(*keys, F.inline("routes")).drop("coordinates")
+    """One row per ranked candidate, without its geometry.
+
+    The outer form keeps Spark from adding a size filter that would rank everything twice.
+    """
+    return ranked.select(*keys, F.inline_outer("routes")).where(F.col("rank").isNotNull()).drop("coordinates")
 
 
 def route_bounds(ranked: DataFrame, origin: Column, destination: Column, *keys: str) -> DataFrame:

@@ -263,8 +263,8 @@ def _report_sql(found: str) -> str:
     )
 
 
-def _issue_sql(cells: str, issue: str, column: str, condition: str, cell: str | None = None) -> str:
-    return f"SELECT '{issue}' AS issue, '{column}' AS column_name, {cell or column} AS cell FROM {cells} WHERE {condition}"
+def _issue_sql(cells: str, issue: str, column: str, condition: str) -> str:
+    return f"SELECT '{issue}' AS issue, '{column}' AS column_name, {column} AS cell FROM {cells} WHERE {condition}"
 
 
 def _corridor_cells(spark, sf_dir) -> DataFrame:
@@ -306,7 +306,7 @@ _CORRIDOR_CELLS_SQL = (
     + _report_sql(
         _union(
             [
-                _issue_sql("cells", "incomplete", "total_records", "total_records IS NULL", "NULL"),
+                _issue_sql("cells", "incomplete", "total_records", "total_records IS NULL"),
                 _issue_sql("cells", "invalid integer", "total_records", "total_records = '12.5'"),
                 _issue_sql("cells", "out of range", "total_records", "total_records = '-3'"),
                 _issue_sql("cells", "invalid integer", "high_congestion_count", "high_congestion_count = 'many'"),
@@ -372,7 +372,7 @@ _DAY_CELLS_SQL = (
             [
                 _issue_sql("cells", "out of range", "day_of_week", "day_of_week = '8'"),
                 _issue_sql("cells", "invalid integer", "day_of_week", "day_of_week = 'Monday'"),
-                _issue_sql("cells", "incomplete", "record_count", "record_count = ''", "NULL"),
+                _issue_sql("cells", "incomplete", "record_count", "record_count = ''"),
                 _issue_sql("cells", "non-finite number", "average_traffic_volume", "average_traffic_volume = 'NaN'"),
                 _issue_sql("cells", "non-finite number", "average_speed", "average_speed = 'Infinity'"),
                 _issue_sql("cells", "invalid number", "average_congestion_level", "average_congestion_level = 'fast'"),
@@ -410,7 +410,7 @@ def _advisory_cells(spark, sf_dir) -> DataFrame:
                     "SELECT 'invalid boolean', 'festival_flag', 'yes' FROM obs WHERE obs_id % 107 = 0",
                     "SELECT 'unsupported value', 'roadwork', 'Maybe' FROM obs WHERE obs_id % 109 = 0",
                     "SELECT 'unsupported value', 'congestion_class', 'Severe' FROM obs WHERE obs_id % 113 = 0",
-                    "SELECT 'incomplete', 'weather', NULL FROM obs WHERE obs_id % 127 = 0",
+                    "SELECT 'incomplete', 'weather', '' FROM obs WHERE obs_id % 127 = 0",
                 ]
             )
         )
