@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadgrain.functions.derive import is_finite
 from roadgrain.functions.text import strip
-from roadgrain.operators.quality import surplus_rows
 from roadgrain.operators.rows import unfold
 from roadgrain.schemas import CLASSES
 
@@ -299,40 +298,36 @@ RAW_FILES = {
 def raw_file_findings(cells: DataFrame, wanted: RawFile) -> DataFrame:
     """Findings (check, column_name, row_count, detail) of one raw table of text cells.
 
-    Missing columns, blank cells per column, surplus duplicate rows, and every distinct
-    unparseable time with its row count.
+    Missing columns (without a row count), blank cells per column, surplus duplicate
+    rows, and every distinct unparseable time with its row count.
     """
-    spark = cells.sparkSession
     present = [name for name in wanted.columns if name in cells.columns]
     missing = [name for name in wanted.columns if name not in cells.columns]
-    blanks = cells.agg(
+    # Equal rows are merged once; every check then weighs a row by its copies. The checks
+    # group the same way, so Spark reads and shuffles the cells a single time.
+    merged = cells.groupBy(*[F.col(f"`{name}`") for name in cells.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    copies, nothing = F.col("_copies"), F.lit(None).cast("string")
+
+    def finding(check: str, column: str, rows: Column) -> dict[str, Column]:
+        return {"check": F.lit(check), "column_name": F.lit(column), "row_count": rows, "detail": nothing}
+
+    blanks = merged.agg(
+        F.sum(copies - 1).alias("surplus"),
         *[
-            F.count_if(F.coalesce(strip(F.col(f"`{name}`")), F.lit("")) == "").alias(f"c{i}")
+            F.sum(F.when(F.coalesce(strip(F.col(f"`{name}`")), F.lit("")) == "", copies)).alias(f"c{i}")
             for i, name in enumerate(present)
-        ]
-    ) if present else spark.range(1)
-    nothing = F.lit(None).cast("string")
-    rows = [
-        {"check": F.lit("missing column"), "column_name": F.lit(n), "row_count": F.lit(None).cast("bigint"), "detail": nothing}
-        for n in missing
-    ]
-    rows += [
-        {"check": F.lit("missing values"), "column_name": F.lit(name), "row_count": F.col(f"c{i}"), "detail": nothing}
-        for i, name in enumerate(present)
-    ]
-    findings = unfold(blanks, rows).where("row_count > 0 OR row_count IS NULL")
-    surplus = surplus_rows(cells).where("duplicate_rows > 0").select(
-        F.lit("duplicate rows").alias("check"),
-        F.lit("").alias("column_name"),
-        F.col("duplicate_rows").alias("row_count"),
-        nothing.alias("detail"),
+        ],
     )
-    findings = findings.unionByName(surplus)
+    rows = [finding("missing column", name, F.lit(-1).cast("bigint")) for name in missing]
+    rows += [finding("missing values", name, F.col(f"c{i}")) for i, name in enumerate(present)]
+    rows.append(finding("duplicate rows", "", F.col("surplus")))
+    counted = unfold(blanks, rows).where("row_count <> 0")
+    findings = counted.withColumn("row_count", F.when(F.col("row_count") > 0, F.col("row_count")))
     if wanted.time_column in cells.columns:
         bad_times = (
-            cells.where(wanted.time().isNull())
+            merged.where(wanted.time().isNull())
             .groupBy(F.col(f"`{wanted.time_column}`").alias("detail"))
-            .agg(F.count(F.lit(1)).alias("row_count"))
+            .agg(F.sum(copies).alias("row_count"))
             .select(F.lit("invalid time").alias("check"), F.lit(wanted.time_column).alias("column_name"), "row_count", "detail")
         )
         findings = findings.unionByName(bad_times)

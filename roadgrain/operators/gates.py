@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadgrain import schemas as S
 from roadgrain.operators.quality import duplicate_keys
 from roadgrain.operators.rows import as_checks, row_count
-from roadgrain.operators.split import split_at
 
 
 def require(checks: DataFrame) -> DataFrame:
@@ -44,22 +43,26 @@ def target_domain(data: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def split_quality(data: DataFrame, cutoff: Column, metrics: DataFrame, predictions: DataFrame | None = None) -> DataFrame:
-    """Checks on a chronological split, its features and the metrics (metric, value) of a model."""
-    training, testing = split_at(data, cutoff)
+    """Checks on a chronological split, its features and the metrics (metric, value) of a model.
+
+    Both halves are looked at in the same pass over the data.
+    """
+    before, after = F.col("date") <= cutoff, F.col("date") > cutoff
     facts = data.agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_if(before).alias("training"),
+        F.count_if(after).alias("testing"),
+        F.max(F.when(before, F.col("date"))).alias("last_training"),
+        F.min(F.when(after, F.col("date"))).alias("first_testing"),
         F.count_if(F.col(S.TARGET).isNull()).alias("null_targets"),
         F.count_if(_any_null(S.FEATURES)).alias("null_features"),
     )
-    # One subquery per half: a struct of its count and edge date.
-    first = training.agg(F.struct(F.count(F.lit(1)).alias("n"), F.max("date").alias("edge"))).scalar()
-    last = testing.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("date").alias("edge"))).scalar()
     bad_metrics = metrics.where(~F.coalesce(F.col("value").between(0.0, 1.0), F.lit(False)))
     conditions = {
-        "halves_add_up": first.getField("n") + last.getField("n") == F.col("n"),
+        "halves_add_up": F.col("training") + F.col("testing") == F.col("n"),
         "no_null_target": F.col("null_targets") == 0,
         "no_null_feature": F.col("null_features") == 0,
-        "training_before_testing": first.getField("edge") < last.getField("edge"),
+        "training_before_testing": F.col("last_training") < F.col("first_testing"),
         "metrics_in_range": row_count(bad_metrics) == 0,
     }
     if predictions is not None:
@@ -82,22 +85,33 @@ def _note_errors(condition: Column, note: str) -> Column:
 
 
 def advisory_checks(source: DataFrame, advisories: DataFrame, key: list[str], output_exists: bool = True) -> DataFrame:
-    """Eleven checks on historical advisories; ``key`` is the pair or row id that must be unique."""
-    pairs = advisories.groupBy(S.TARGET, "advisory_level").agg(F.count(F.lit(1)).alias("rows"))
-    shape = pairs.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("pairs"),
-            (F.count_distinct(S.TARGET) + F.max(F.when(F.col(S.TARGET).isNull(), 1).otherwise(0))).alias("classes"),
-        )
-    ).scalar()
-    totals = advisories.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(S.TARGET).isNull()).alias("null_class"),
-        F.count_if(~F.col("advisory_level").isin(S.ADVISORY_LEVELS)).alias("bad_level"),
-        _note_errors(F.col("festival_flag") == F.lit(True), "festival").alias("festival"),
-        _note_errors(F.col("holiday_flag") == F.lit(True), "holiday").alias("holiday"),
-        _note_errors(F.col("roadwork") == "Yes", "roadwork").alias("roadwork"),
-        _note_errors(F.col("weather").isin(S.ADVERSE_WEATHER), "weather").alias("weather"),
+    """Eleven checks on historical advisories; ``key`` is the pair or row id that must be unique.
+
+    All rule checks come from one pass, merged per (class, level); the key needs a
+    group-by of its own. Run it on the stored advisories rather than on the plan that
+    makes them.
+    """
+    errors = {
+        "festival": _note_errors(F.col("festival_flag") == F.lit(True), "festival"),
+        "holiday": _note_errors(F.col("holiday_flag") == F.lit(True), "holiday"),
+        "roadwork": _note_errors(F.col("roadwork") == "Yes", "roadwork"),
+        "weather": _note_errors(F.col("weather").isin(S.ADVERSE_WEATHER), "weather"),
+    }
+    pairs = advisories.groupBy(S.TARGET, "advisory_level").agg(
+        F.count(F.lit(1)).alias("rows"), *[count.alias(name) for name, count in errors.items()]
+    )
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
+
+    no_class = F.col(S.TARGET).isNull()
+    totals = pairs.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
+        F.count(F.lit(1)).alias("pairs"),
+        (F.count_distinct(S.TARGET) + F.coalesce(F.max(F.when(no_class, 1).otherwise(0)), F.lit(0))).alias("classes"),
+        rows_where(no_class).alias("null_class"),
+        rows_where(~F.col("advisory_level").isin(S.ADVISORY_LEVELS)).alias("bad_level"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in errors],
     )
     return as_checks(
         totals,
@@ -106,7 +120,7 @@ def advisory_checks(source: DataFrame, advisories: DataFrame, key: list[str], ou
             "unique_key": row_count(duplicate_keys(advisories, key)) == 0,
             "no_null_congestion_class": F.col("null_class") == 0,
             "valid_advisory_levels": F.col("bad_level") == 0,
-            "one_level_per_congestion_class": shape.getField("pairs") == shape.getField("classes"),
+            "one_level_per_congestion_class": F.col("pairs") == F.col("classes"),
             "festival_context_rule": F.col("festival") == 0,
             "holiday_context_rule": F.col("holiday") == 0,
             "roadwork_context_rule": F.col("roadwork") == 0,
@@ -134,7 +148,10 @@ def predicted_advisory_checks(
     first and last date the test rows must have.
     """
     labels = [F.col(name) for name in ("actual_congestion_class", "predicted_congestion_class")]
-    unsupported = predictions.where(~labels[0].isin(S.CLASSES) | ~labels[1].isin(S.CLASSES))
+    unsupported = ~labels[0].isin(S.CLASSES) | ~labels[1].isin(S.CLASSES)
+    scored = predictions.agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.count_if(unsupported).alias("unsupported"))
+    ).scalar()
     span = testing.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("date").alias("a"), F.max("date").alias("b"))).scalar()
     differing = (
         metrics.select("metric", F.col("value").alias("v"))
@@ -151,12 +168,12 @@ def predicted_advisory_checks(
     return as_checks(
         totals,
         {
-            "test_rows_equal_prediction_rows": (span.getField("n") == row_count(predictions))
+            "test_rows_equal_prediction_rows": (span.getField("n") == scored.getField("n"))
             & (F.col("n") == span.getField("n")),
             "actual_and_predicted_columns_present": F.lit(
                 {"actual_congestion_class", "predicted_congestion_class"} <= set(predictions.columns)
             ),
-            "actual_and_predicted_values_supported": row_count(unsupported) == 0,
+            "actual_and_predicted_values_supported": scored.getField("unsupported") == 0,
             "advice_uses_predicted_class_only": F.lit(
                 S.TARGET not in columns and "actual_congestion_class" in columns
             ),

@@ -44,9 +44,17 @@ def distinct_values(data: DataFrame, column: str) -> DataFrame:
 
 
 def distinct_counts(data: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column, exact unless asked otherwise."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    totals = data.agg(*[count(F.col(name)).alias(f"c{i}") for i, name in enumerate(columns)])
+    """Distinct non-null values per category column, exact unless asked otherwise.
+
+    Exact counting of several columns multiplies every row by the number of columns, so
+    the rows are first merged into the combinations that occur, which are few for
+    categories. The result is right for any column.
+    """
+    if approximate:
+        totals = data.agg(*[F.approx_count_distinct(F.col(name)).alias(f"c{i}") for i, name in enumerate(columns)])
+    else:
+        combinations = data.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+        totals = combinations.agg(*[F.count_distinct(F.col(name)).alias(f"c{i}") for i, name in enumerate(columns)])
     return unfold(
         totals, [{"column_name": F.lit(name), "distinct_count": F.col(f"c{i}")} for i, name in enumerate(columns)]
     )
@@ -78,9 +86,17 @@ def feature_inspection(data: DataFrame) -> DataFrame:
     """
     candidates = [(group, name) for group, names in S.FEATURE_CANDIDATES.items() for name in names]
     present = [name for _, name in candidates if name in data.columns]
-    totals = data.agg(
-        *[F.count_if(F.col(name).isNull()).alias(f"nulls_{name}") for name in present],
-        *[F.count_distinct(F.col(name)).alias(f"values_{name}") for name in present if name not in S.NUMERIC_MEASURES],
+    numeric = [name for name in present if name in S.NUMERIC_MEASURES]
+    categories = [name for name in present if name not in numeric]
+    # Merge the rows into category combinations first; see distinct_counts.
+    combinations = data.groupBy(*categories).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(name).isNull()).alias(f"nulls_{name}") for name in numeric],
+    )
+    totals = combinations.agg(
+        *[F.sum(f"nulls_{name}").alias(f"nulls_{name}") for name in numeric],
+        *[F.sum(F.when(F.col(name).isNull(), F.col("rows")).otherwise(0)).alias(f"nulls_{name}") for name in categories],
+        *[F.count_distinct(F.col(name)).alias(f"values_{name}") for name in categories],
     )
     missing = F.lit(None).cast("bigint")
     rows = []

@@ -48,6 +48,13 @@ TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
+# Joined one after the other, so that the size of every joined side is that of its file and
+# not an estimate of a join. Only the customers can be too large to broadcast.
+_DIMENSION_JOINS = [
+    ("customer", "o_custkey", "c_custkey"),
+    ("nation", "c_nationkey", "n_nationkey"),
+    ("region", "n_regionkey", "r_regionkey"),
+]
 _DIMENSION_COLUMNS = {"area", "road_intersection", "corridor", "weather", "average_speed"}
 _CALENDAR_COLUMNS = {"festival_flag", "festival_name", "holiday_flag"}
 OBSERVATION_COLUMNS = ["obs_id", *S.INTEGRATED_COLUMNS]
@@ -128,7 +135,8 @@ def observations(
 
     expressions = _order_expressions()
     if _DIMENSION_COLUMNS & set(wanted):
-        orders = orders.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
+        for name, left_key, right_key in _DIMENSION_JOINS:
+            orders = orders.join(table(spark, sf_dir, name), F.col(left_key) == F.col(right_key), "left")
         expressions |= _dimension_expressions()
 
     needs_calendar = bool(_CALENDAR_COLUMNS & set(wanted))
@@ -139,15 +147,6 @@ def observations(
     return facts.select(*wanted)
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-    )
-    return table(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select("c_custkey", "c_acctbal", "c_mktsegment", "n_name", "r_name")
-
-
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same observations under the 16 raw column names, plus ``obs_id``."""
     back = {standard: raw for raw, standard in S.RAW_TO_STANDARD.items()}
