@@ -12,20 +12,15 @@ def unique_calendar(calendar: DataFrame) -> DataFrame:
     dimension side before any fact row is joined.
     """
     values = ["festival_name", "festival_flag", "holiday_flag"]
-    return (
-        calendar.groupBy("date")
-        .agg(F.count(F.lit(1)).alias("copies"), *[F.any_value(name).alias(name) for name in values])
-        .where(
-            F.assert_true(
-                F.col("copies") == 1,
-                F.concat(
-                    F.lit("Calendar has duplicate date keys: "),
-                    F.coalesce(F.col("date").cast("string"), F.lit("null")),
-                ),
-            ).isNull()
-        )
-        .drop("copies")
+    counted = calendar.groupBy("date").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.any_value(name).alias(name) for name in values]
+    )
+    message = F.concat(
+        F.lit("Calendar has duplicate date keys: "), F.coalesce(F.col("date").cast("string"), F.lit("null"))
     )
+    # The check is inside the key, so that a null-date group is looked at before the join drops it.
+    checked = F.when(F.assert_true(F.col("copies") == 1, message).isNull(), F.col("date"))
+    return counted.select(checked.alias("date"), *values)
 
 
 def integrate_calendar(facts: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -48,10 +48,7 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
         *others,
         F.col("document.code").alias("code"),
         response_problem(F.col("document")).alias("response_problem"),
-        F.coalesce(
-            F.transform("document.routes", _candidate),
-            F.transform(F.array().cast(S.ROUTE_RESPONSE_SCHEMA["routes"].dataType), _candidate),
-        ).alias("routes"),
+        F.transform(F.coalesce("document.routes", F.array().cast(S.ROUTES_TYPE)), _candidate).alias("routes"),
     )
 
 

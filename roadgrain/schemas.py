@@ -13,8 +13,19 @@ from pyspark.sql.types import (
 )
 
 
-def _schema(spec: str) -> StructType:
-    return StructType.fromDDL(spec)
+TYPE_OF = {
+    "date": DateType(),
+    "double": DoubleType(),
+    "int": IntegerType(),
+    "boolean": BooleanType(),
+    "string": StringType(),
+}
+
+
+def _schema(columns: str) -> StructType:
+    """Flat schema from ``name type`` pairs; needs no session, unlike DDL parsing."""
+    pairs = (column.split() for column in columns.split(","))
+    return StructType([StructField(name, TYPE_OF[kind]) for name, kind in pairs])
 
 
 # ---------------------------------------------------------------- fixed values
@@ -94,11 +105,12 @@ PREDICTED_ADVISORY_COLUMNS = [
 ]
 
 # Response of a routing provider, and of a place search.
-ROUTE_RESPONSE_SCHEMA = _schema(
-    "code string, routes array<struct<distance: double, duration: double, "
+ROUTES_TYPE = (
+    "array<struct<distance: double, duration: double, "
     "legs: array<struct<summary: string, steps: array<struct<name: string>>>>, "
     "geometry: struct<coordinates: array<array<double>>>>>"
 )
+ROUTE_RESPONSE_SCHEMA = f"code string, routes {ROUTES_TYPE}"
 PLACE_RESULTS_SCHEMA = "array<struct<lat: string, lon: string, display_name: string>>"
 
 CLASSES = ["Low", "Medium", "High"]
@@ -185,13 +197,6 @@ RAW_TO_STANDARD = {
 
 INTEGRATED_COLUMNS = INTEGRATED_SCHEMA.names
 NUMERIC_MEASURES = ["traffic_volume", "average_speed", "travel_time_index", "congestion_level"]
-TYPE_OF = {
-    "date": DateType(),
-    "double": DoubleType(),
-    "int": IntegerType(),
-    "boolean": BooleanType(),
-    "string": StringType(),
-}
 
 # ---------------------------------------------------------------- fixed values
 # Route texts, as format_string patterns.
