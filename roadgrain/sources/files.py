@@ -50,7 +50,9 @@ def read_calendar(spark: SparkSession, path: str) -> DataFrame:
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
     """CSV as text cells under its own header, for the contract checks.
 
-    A line with too few or too many fields keeps its raw text in ``_malformed``.
+    A line with too few or too many fields keeps its raw text in ``_malformed``. Spark
+    reads an empty cell as null, so in a line with the right number of fields null is
+    turned back into empty text; only a field that is not there stays null.
     Raises ``FileNotFoundError`` for an absent path, ``ValueError`` for an empty file.
     """
     try:
@@ -62,14 +64,18 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     if len(header) != len(set(header)):
         raise ValueError(f"{path} contains duplicate column names.")
     schema = StructType([StructField(name, StringType()) for name in [*header, MALFORMED]])
-    return (
+    lines = (
         spark.read.schema(schema)
         .option("header", True)
         .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("emptyValue", "")
-        .option("nullValue", "\u0000")
+        .option("columnPruning", False)  # fields are counted even if few columns are used
         .csv(path)
     )
+    whole = F.col(MALFORMED).isNull()
+    return lines.select(
+        *[F.when(whole, F.coalesce(F.col(f"`{n}`"), F.lit(""))).otherwise(F.col(f"`{n}`")).alias(n) for n in header],
+        MALFORMED,
+    )
 
 
 def write_stage(data: DataFrame, path: str, columns: list[str], file_format: str = "parquet", by_month: bool = False) -> str:
