@@ -82,15 +82,13 @@ def write_stage(data: DataFrame, path: str, columns: list[str], file_format: str
     """Write a stage output with a fixed column order, in parallel.
 
     ``by_month`` adds a ``year_month`` partition folder so that date filters skip
-    files. Rows are spread over tasks by month and a hash of the whole row, so that a
-    month holding most rows is still written by many tasks.
+    files. The rebalance hint brings the rows of a month together and lets AQE merge
+    small months into one task and split a month that holds most rows over many tasks,
+    by size and without a salt to choose.
     """
     if by_month:
-        spread = 32
-        data = data.select(*columns, F.date_format("date", "yyyy-MM").alias("year_month")).repartition(
-            F.col("year_month"), F.pmod(F.xxhash64(*columns), F.lit(spread))
-        )
-        writer = data.write.partitionBy("year_month")
+        months = data.select(*columns, F.date_format("date", "yyyy-MM").alias("year_month"))
+        writer = months.hint("rebalance", "year_month").write.partitionBy("year_month")
     else:
         writer = data.select(*columns).write
     writer = writer.mode("overwrite")
