@@ -112,14 +112,20 @@ def match_corridors(roads: DataFrame, corridors: DataFrame, request: str = "requ
         .distinct()
     )
     road_matches = pieces.join(keywords, "keyword").select("road", "corridor_id").distinct()
-    matches = named.join(road_matches, "road").select(request, "corridor_id").distinct()
     first = corridors.agg(F.min_by("corridor_id", "position")).scalar()
-    unmatched = roads.select(request).distinct().join(matches, request, "left_anti")
-    return matches.withColumn("is_fallback", F.lit(False)).unionByName(
-        unmatched.select(request, first.alias("corridor_id"), F.lit(True).alias("is_fallback")).where(
-            "corridor_id IS NOT NULL"
-        )
+    # The match is an aggregate, so that no filter on it moves below the group-by: both
+    # uses of ``cells`` keep the same shuffle, which is then done once.
+    cells = (
+        named.join(road_matches, "road", "left")
+        .groupBy(request, "corridor_id")
+        .agg(F.max("corridor_id").alias("match"))
+    )
+    matched = cells.where("match IS NOT NULL").select(
+        request, F.col("match").alias("corridor_id"), F.lit(False).alias("is_fallback")
     )
+    unmatched = cells.groupBy(request).agg(F.max("match").alias("match")).where("match IS NULL")
+    fallback = unmatched.select(request, first.alias("corridor_id"), F.lit(True).alias("is_fallback"))
+    return matched.unionByName(fallback.where("corridor_id IS NOT NULL"))
 
 
 def first_leg_roads(parsed_documents: DataFrame, request: str, routes: str = "routes") -> DataFrame:
