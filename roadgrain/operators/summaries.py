@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadgrain import schemas as S
 from roadgrain.functions.derive import percentage
+from roadgrain.session import fresh_path
+from roadgrain.sources.files import write_stage
 
 DIMENSIONS = ["corridor", "day_type", "day_of_week", "festival_flag", "holiday_flag"]
 
@@ -131,17 +133,22 @@ def summarise(facts: DataFrame, name: str) -> DataFrame:
     return _present(summary_cells(facts, [summary.key]), summary)
 
 
-def summarise_all(facts: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+def summarise_all(facts: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
     """All nine summaries from a single pass over the facts.
 
-    Returns them with the persisted cell table, which the caller releases.
+    The pass runs here: its cells, a few thousand rows, are written to ``path`` (a new
+    folder in the shared folder by default) and read back, so that a lost executor never
+    makes a summary read the facts again.
     """
-    cells = summary_cells(facts).persist()
+    spark = facts.sparkSession
+    cells = summary_cells(facts)
+    stored = write_stage(cells, path or fresh_path(spark, "cells"), cells.columns)
+    cells = spark.read.schema(cells.schema).parquet(stored)
     results = {}
     for name, summary in SUMMARIES.items():
         chosen = cells.where(F.col(summary.only)) if summary.only else cells
         results[name] = _present(_merged(chosen, [summary.key]), summary)
-    return results, cells
+    return results
 
 
 def register_view(facts: DataFrame, name: str = "traffic_data") -> None:

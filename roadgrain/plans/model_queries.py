@@ -17,7 +17,7 @@ from roadgrain.operators.advisory import advise_predictions
 from roadgrain.operators.split import split_at
 from roadgrain.plans import runs
 from roadgrain.plans.registry import over_observations, query, r4, rounded, sql_r4
-from roadgrain.plans.shape_queries import _CUTOFF_SQL
+from roadgrain.plans.shape_queries import CUTOFF_SQL
 from roadgrain.session import fresh_path
 from roadgrain.sources.given import observations
 from roadgrain.sources.files import fingerprint
@@ -39,7 +39,7 @@ def _test_rows(spark, sf_dir) -> DataFrame:
 
 
 _SPLIT_SQL = (
-    f"{_CUTOFF_SQL}, train AS (SELECT * FROM obs WHERE date <= (SELECT cutoff_date FROM cut)), "
+    f"{CUTOFF_SQL}, train AS (SELECT * FROM obs WHERE date <= (SELECT cutoff_date FROM cut)), "
     "test AS (SELECT * FROM obs WHERE date > (SELECT cutoff_date FROM cut)), "
     "labels AS ("
     + " UNION ALL ".join(

@@ -8,6 +8,7 @@ from roadgrain import schemas as S
 from roadgrain.operators import contracts as C, gates as G, quality as K, scoring
 from roadgrain.operators.advisory import advise, advise_predictions
 from roadgrain.operators.split import split_at
+from roadgrain.operators.summaries import summarise_all
 from roadgrain.plans.registry import (
     ACTIONS_SQL,
     NOTES_SQL,
@@ -17,7 +18,7 @@ from roadgrain.plans.registry import (
     rounded,
     sql_r4,
 )
-from roadgrain.plans.summary_queries import _MATRIX_SQL, _metrics_sql
+from roadgrain.plans.summary_queries import MATRIX_SQL, metrics_sql
 from roadgrain.sources.given import observations, rule_predictions, table
 
 
@@ -521,8 +522,8 @@ def _rule_metrics(spark, sf_dir) -> DataFrame:
                 "OR predicted_congestion_class IS NULL) = 0",
             }
         ),
-        _MATRIX_SQL,
-        _metrics_sql("matrix", "m"),
+        MATRIX_SQL,
+        metrics_sql("matrix", "m"),
     ),
 )
 def split_quality(spark, sf_dir):
@@ -633,10 +634,8 @@ def predicted_advisory_checks(spark, sf_dir):
 )
 def chart_inputs(spark, sf_dir):
     """The advisory input is given without its level, so its check fails."""
-    from roadgrain.operators.summaries import summarise_all
-
     data = observations(spark, sf_dir)
-    results, _ = summarise_all(data)
+    results = summarise_all(data)
     carried = [n for n in S.PREDICTED_ADVISORY_COLUMNS[:11] if not n.endswith("congestion_class")]
     predicted = advise_predictions(rule_predictions(spark, sf_dir, *carried))
     return G.chart_inputs(

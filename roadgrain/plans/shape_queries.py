@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roadgrain import schemas as S
 from roadgrain.functions import derive as D, text as X
 from roadgrain.operators import shape
+from roadgrain.operators.advisory import add_context_notes
 from roadgrain.operators.calendar import day_category, integrate_calendar, neighbour_holidays
 from roadgrain.operators.split import chronological_split, cutoff_date, split_at
 from roadgrain.plans.registry import (
@@ -111,7 +112,7 @@ def festival_rows(spark, sf_dir):
     return data.where("festival_flag").drop("festival_flag")
 
 
-_CUTOFF_SQL = (
+CUTOFF_SQL = (
     "dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders), "
     "ranked AS (SELECT date, row_number() OVER (ORDER BY date) AS k, count(*) OVER () AS n FROM dates), "
     "cut AS (SELECT date AS cutoff_date, n, k FROM ranked "
@@ -121,7 +122,7 @@ _CUTOFF_SQL = (
 
 @query(
     "P8_chronological_cutoff",
-    f"WITH {_CUTOFF_SQL} SELECT cutoff_date, CAST(n AS INTEGER) AS date_count, CAST(k AS INTEGER) AS training_dates FROM cut",
+    f"WITH {CUTOFF_SQL} SELECT cutoff_date, CAST(n AS INTEGER) AS date_count, CAST(k AS INTEGER) AS training_dates FROM cut",
 )
 def chronological_cutoff(spark, sf_dir):
     return cutoff_date(observations(spark, sf_dir, "date"))
@@ -129,7 +130,7 @@ def chronological_cutoff(spark, sf_dir):
 
 @query(
     "P8_chronological_split",
-    f"WITH {_CUTOFF_SQL} SELECT o_orderkey AS obs_id, CASE WHEN CAST(o_orderdate AS DATE) <= cutoff_date "
+    f"WITH {CUTOFF_SQL} SELECT o_orderkey AS obs_id, CASE WHEN CAST(o_orderdate AS DATE) <= cutoff_date "
     "THEN 'training' ELSE 'testing' END AS part FROM orders, cut",
 )
 def chronological_parts(spark, sf_dir):
@@ -339,8 +340,6 @@ def iso_date(spark, sf_dir):
     over_observations(f"SELECT {NOTES_SQL} AS context_notes, count(*) AS row_count FROM obs GROUP BY ALL"),
 )
 def joined_notes(spark, sf_dir):
-    from roadgrain.operators.advisory import add_context_notes
-
     data = observations(spark, sf_dir, "festival_flag", "holiday_flag", "roadwork", "weather")
     return add_context_notes(data).groupBy("context_notes").agg(F.count(F.lit(1)).alias("row_count"))
 

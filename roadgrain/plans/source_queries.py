@@ -16,7 +16,7 @@ from roadgrain.plans.registry import (
     rounded,
     sql_r4,
 )
-from roadgrain.plans.summary_queries import _MATRIX_SQL, _metrics_sql
+from roadgrain.plans.summary_queries import MATRIX_SQL, metrics_sql
 from roadgrain.session import fresh_path
 from roadgrain.sources import files, reports, synthetic
 from roadgrain.sources.given import calendar, observations, raw_observations, rule_predictions, table
@@ -137,7 +137,7 @@ def _catalogue_sql() -> str:
 
 @query("S5_output_catalogue", _catalogue_sql())
 def output_catalogue(spark, sf_dir):
-    results, _ = summaries.summarise_all(observations(spark, sf_dir))
+    results = summaries.summarise_all(observations(spark, sf_dir))
     return files.catalogue(results).select("result", "schema", "row_count", F.size("sample_rows").alias("sample_count"))
 
 
@@ -228,8 +228,8 @@ def _long_sql(section: str, one_row: str, names: list[str]) -> str:
         )
         + " UNION ALL SELECT 'evaluation', metric, printf('%.6f', value) FROM m_weighted"
         + " UNION ALL SELECT 'confusion matrix', actual_class || ',' || predicted_class, CAST(count AS VARCHAR) FROM matrix",
-        _MATRIX_SQL,
-        _metrics_sql("matrix", "m"),
+        MATRIX_SQL,
+        metrics_sql("matrix", "m"),
     ),
 )
 def run_report(spark, sf_dir):

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from roadgrain import schemas as S
 from roadgrain.functions.derive import percentage, threshold_class
 from roadgrain.operators import aggregates as A, scoring, shape, summaries
-from roadgrain.operators.advisory import advise, advise_predictions, corridor_rollup
+from roadgrain.operators.advisory import (
+    add_context_notes,
+    advise,
+    advise_predictions,
+    advise_predictions_by_key,
+    apply_rules,
+    corridor_rollup,
+)
 from roadgrain.plans.registry import (
     ACTIONS_SQL,
     NOTES_SQL,
@@ -87,14 +94,14 @@ def value_distribution(spark, sf_dir):
     return A.distribution(observations(spark, sf_dir, "corridor"), "corridor")
 
 
-_MATRIX_SQL = (
+MATRIX_SQL = (
     "matrix AS (SELECT actual_congestion_class AS actual_class, predicted_congestion_class AS predicted_class, "
     "count(*) AS count FROM pred GROUP BY ALL)"
 )
 _CLASS_LIST = "(VALUES (1, 'High'), (2, 'Low'), (3, 'Medium')) k(position, c)"
 
 
-def _metrics_sql(matrix: str, name: str) -> str:
+def metrics_sql(matrix: str, name: str) -> str:
     """Named parts ``{name}_totals`` and ``{name}_classes`` over a matrix table."""
     return (
         f"{name}_totals AS (SELECT position, c, "
@@ -129,7 +136,7 @@ def _matrix(spark, sf_dir):
     return scoring.confusion_matrix(rule_predictions(spark, sf_dir))
 
 
-@query("A3_confusion_matrix", over_predictions("SELECT * FROM matrix", _MATRIX_SQL))
+@query("A3_confusion_matrix", over_predictions("SELECT * FROM matrix", MATRIX_SQL))
 def confusion_matrix(spark, sf_dir):
     return _matrix(spark, sf_dir)
 
@@ -143,7 +150,7 @@ def confusion_matrix(spark, sf_dir):
         )
         + " FROM (VALUES (1, 'Low'), (2, 'Medium'), (3, 'High')) k(position, c) "
         "LEFT JOIN matrix ON actual_class = k.c GROUP BY ALL",
-        _MATRIX_SQL,
+        MATRIX_SQL,
     ),
 )
 def confusion_matrix_dense(spark, sf_dir):
@@ -155,8 +162,8 @@ def confusion_matrix_dense(spark, sf_dir):
     over_predictions(
         f"SELECT CAST(position AS INTEGER) AS position, c AS class, {sql_r4('p')} AS precision, {sql_r4('r')} AS recall, "
         f"{sql_r4('f')} AS f1, CAST(support AS BIGINT) AS support FROM m_classes",
-        _MATRIX_SQL,
-        _metrics_sql("matrix", "m"),
+        MATRIX_SQL,
+        metrics_sql("matrix", "m"),
     ),
 )
 def class_metrics(spark, sf_dir):
@@ -166,7 +173,7 @@ def class_metrics(spark, sf_dir):
 @query(
     "A6_weighted_metrics",
     over_predictions(
-        f"SELECT metric, {sql_r4('value')} AS value FROM m_weighted", _MATRIX_SQL, _metrics_sql("matrix", "m")
+        f"SELECT metric, {sql_r4('value')} AS value FROM m_weighted", MATRIX_SQL, metrics_sql("matrix", "m")
     ),
 )
 def weighted_metrics(spark, sf_dir):
@@ -178,10 +185,10 @@ def weighted_metrics(spark, sf_dir):
     over_predictions(
         f"SELECT a.metric, {sql_r4('a.value')} AS volume_rule, {sql_r4('b.value')} AS blended_rule "
         "FROM m_weighted a JOIN n_weighted b ON a.metric = b.metric",
-        _MATRIX_SQL,
+        MATRIX_SQL,
         _SECOND_SQL,
-        _metrics_sql("matrix", "m"),
-        _metrics_sql("matrix2", "n"),
+        metrics_sql("matrix", "m"),
+        metrics_sql("matrix2", "n"),
     ),
 )
 def model_comparison(spark, sf_dir):
@@ -208,10 +215,10 @@ def _per_class_sql(model: str, name: str) -> str:
 
 _TWO_MODELS_SQL = over_predictions(
     _per_class_sql("volume rule", "m") + " UNION ALL " + _per_class_sql("blended rule", "n"),
-    _MATRIX_SQL,
+    MATRIX_SQL,
     _SECOND_SQL,
-    _metrics_sql("matrix", "m"),
-    _metrics_sql("matrix2", "n"),
+    metrics_sql("matrix", "m"),
+    metrics_sql("matrix2", "n"),
 )
 
 
@@ -408,8 +415,6 @@ def selection_summary(spark, sf_dir):
     ),
 )
 def congestion_rules(spark, sf_dir):
-    from roadgrain.operators.advisory import apply_rules
-
     return apply_rules(observations(spark, sf_dir, "obs_id", S.TARGET))
 
 
@@ -418,8 +423,6 @@ def congestion_rules(spark, sf_dir):
     over_observations(f"SELECT obs_id, {NOTES_SQL} AS context_notes FROM obs"),
 )
 def context_notes(spark, sf_dir):
-    from roadgrain.operators.advisory import add_context_notes
-
     data = observations(spark, sf_dir, "obs_id", "festival_flag", "holiday_flag", "roadwork", "weather")
     return add_context_notes(data).select("obs_id", "context_notes")
 
@@ -458,8 +461,6 @@ def predicted_advisories(spark, sf_dir):
 
 @query("J2_predictions_join_advisories", _PREDICTED_SQL)
 def predictions_join_advisories(spark, sf_dir):
-    from roadgrain.operators.advisory import advise_predictions_by_key
-
     return advise_predictions_by_key(_predictions(spark, sf_dir), "obs_id")
 
 
@@ -467,14 +468,14 @@ def predictions_join_advisories(spark, sf_dir):
 @query("W2_sorted_small_result", _summary_sql("day_type_congestion_summary"))
 def sorted_small_result(spark, sf_dir):
     """A global sort of two rows, from the shared cells of all summaries."""
-    results, _ = summaries.summarise_all(observations(spark, sf_dir))
+    results = summaries.summarise_all(observations(spark, sf_dir))
     return rounded(results["day_type_congestion_summary"])
 
 
 @query("W3_top_five", _summary_sql("top5_average_congestion_corridors"))
 def top_five(spark, sf_dir):
     """The five best rows, kept by a bounded top-k instead of a full sort."""
-    results, _ = summaries.summarise_all(observations(spark, sf_dir))
+    results = summaries.summarise_all(observations(spark, sf_dir))
     return rounded(results["top5_average_congestion_corridors"])
 
 

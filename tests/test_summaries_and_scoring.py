@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,10 +118,9 @@ def test_percentages_ties_and_festival_rows(facts):
 
 
 def test_shared_cells_give_the_same_summaries(facts):
-    together, cells = summaries.summarise_all(facts)
+    together = summaries.summarise_all(facts)
     for name in summaries.SUMMARIES:
         assert values(rounded(together[name])) == values(rounded(summaries.summarise(facts, name))), name
-    cells.unpersist()
 
 
 def test_result_does_not_depend_on_partitions(spark, sf_dir):
