@@ -132,9 +132,9 @@ def _traffic_cells(spark, sf_dir) -> DataFrame:
         F.when(key % 131 != 0, (key % 1000).cast("string")).alias("traffic_volume"),
         F.col(S.TARGET).alias("congestion_level"),
         F.col("day_type").alias("signal_status"),
-        "obs_id",
+        F.explode(F.array_repeat(F.lit(True), F.when(key % 97 == 0, 2).otherwise(1))).alias("copy"),
     )
-    return cells.unionByName(cells.where(key % 97 == 0)).drop("obs_id")
+    return cells.drop("copy")
 
 
 _TRAFFIC_CELLS_SQL = (
@@ -143,13 +143,13 @@ _TRAFFIC_CELLS_SQL = (
     "CASE WHEN obs_id % 101 = 0 THEN '  ' ELSE road_intersection END AS junction, "
     "CASE WHEN obs_id % 131 <> 0 THEN CAST(obs_id % 1000 AS VARCHAR) END AS traffic_volume, "
     "congestion_class AS congestion_level, day_type AS signal_status FROM obs), "
-    "traffic AS (SELECT * EXCLUDE (obs_id) FROM (SELECT * FROM c1 UNION ALL SELECT * FROM c1 WHERE obs_id % 97 = 0))"
+    "traffic AS (SELECT * EXCLUDE (obs_id, copy) FROM (SELECT *, unnest(range(CASE WHEN obs_id % 97 = 0 THEN 2 ELSE 1 END)) AS copy FROM c1))"
 )
 
 
 def _findings_sql(cells: str, wanted: C.RawFile, present: list[str]) -> str:
     parts = [
-        f"SELECT 'missing column' AS \"check\", '{n}' AS column_name, CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS VARCHAR) AS detail"
+        f"SELECT 'missing column' AS \"check\", '{n}' AS column_name, CAST(0 AS BIGINT) AS row_count, CAST(NULL AS VARCHAR) AS detail"
         for n in wanted.columns
         if n not in present
     ]
@@ -176,7 +176,7 @@ _TRAFFIC_FINDINGS = _findings_sql("traffic", C.RAW_FILES["traffic.csv"], _TRAFFI
 
 @query("K8_raw_file_findings", over_observations(_TRAFFIC_FINDINGS, _TRAFFIC_CELLS_SQL))
 def raw_file_findings(spark, sf_dir):
-    return C.raw_file_findings(_traffic_cells(spark, sf_dir), C.RAW_FILES["traffic.csv"])
+    return C.raw_file_findings(_traffic_cells(spark, sf_dir), C.RAW_FILES["traffic.csv"]).fillna(0, ["row_count"])
 
 
 @query(
@@ -235,7 +235,7 @@ _CALENDAR_CELLS_SQL = (
     over_observations(
         f"SELECT 'traffic.csv' AS dataset, t.* FROM ({_TRAFFIC_FINDINGS}) t UNION ALL SELECT 'toll.csv', t.* FROM ("
         + _findings_sql("toll", C.RAW_FILES["toll.csv"], list(C.RAW_FILES["toll.csv"].columns))
-        + ") t UNION ALL SELECT 'signal.csv', 'missing file', '', NULL, NULL UNION ALL SELECT 'festival_calendar.csv', t.* FROM ("
+        + ") t UNION ALL SELECT 'signal.csv', 'missing file', '', 0, NULL UNION ALL SELECT 'festival_calendar.csv', t.* FROM ("
         + _findings_sql(
             "days", C.RAW_FILES["festival_calendar.csv"], list(C.RAW_FILES["festival_calendar.csv"].columns)
         )
@@ -254,7 +254,7 @@ def registry_findings(spark, sf_dir):
             "signal.csv": None,
             "festival_calendar.csv": _calendar_cells(spark, sf_dir),
         },
-    )
+    ).fillna(0, ["row_count"])
 
 
 # ---------------------------------------------------------------- strict reads
@@ -426,19 +426,20 @@ _INSPECTION_SQL = _union(
     [
         f"SELECT '{name}' AS feature, '{group}' AS feature_group, true AS available, "
         f"{str(name not in S.EXCLUDED_FEATURES).lower()} AS used, count(*) FILTER ({name} IS NULL) AS null_count, "
-        f"{'CAST(NULL AS BIGINT)' if name in S.NUMERIC_MEASURES else f'count(DISTINCT {name})'} AS distinct_count FROM obs"
+        f"{'-1' if name in S.NUMERIC_MEASURES else f'count(DISTINCT {name})'}::BIGINT AS distinct_count FROM obs"
         for group, names in S.FEATURE_CANDIDATES.items()
         for name in names
         if name != "roadwork"
     ]
-    + ["SELECT 'roadwork', 'categorical', false, false, NULL, NULL"]
+    + ["SELECT 'roadwork', 'categorical', false, false, -1, -1"]
 )
 
 
 @query("K13_feature_availability", over_observations(_INSPECTION_SQL))
 def feature_availability(spark, sf_dir):
-    """Inspected on a table without ``roadwork``, so that one candidate is missing."""
-    return K.feature_inspection(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS).drop("roadwork"))
+    """Inspected on a table without ``roadwork``, so that one candidate is missing; -1 where there is no count."""
+    inspected = K.feature_inspection(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS).drop("roadwork"))
+    return inspected.fillna(-1, ["null_count", "distinct_count"])
 
 
 @query(

@@ -357,7 +357,7 @@ _HINTS = ["Red Ring", "Redwood Gate", "Blue Bolt", "Small Street", "Hot Spring",
 
 @query(
     "J5_merged_suggestions",
-    f"""WITH s AS (SELECT substr(p_name, 1, 3) AS query, p_partkey AS position,
+    f"""WITH s AS (SELECT split_part(p_name, ' ', 1) AS query, p_partkey AS position,
          CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' (x), ' || p_type ELSE ' ' || p_name || ' (X), ' || p_type END AS display_name
          FROM part),
        m AS (SELECT query, lower(trim(display_name)) AS name_key, min(position) AS position, arg_min(display_name, position) AS display_name
@@ -373,7 +373,7 @@ _HINTS = ["Red Ring", "Redwood Gate", "Blue Bolt", "Small Street", "Hot Spring",
 def merged_suggestions(spark, sf_dir):
     key, name = F.col("p_partkey"), F.col("p_name")
     results = table(spark, sf_dir, "part").select(
-        F.substring("p_name", 1, 3).alias("query"),
+        F.split("p_name", " ")[0].alias("query"),
         key.alias("position"),
         F.when(key % 2 == 0, F.concat(F.upper(name), F.lit(" (x), "), "p_type"))
         .otherwise(F.concat(F.lit(" "), name, F.lit(" (X), "), "p_type"))

@@ -478,7 +478,10 @@ def primary_place_name(spark, sf_dir):
     )
 
 
-_QUERY_SQL = "CASE conv_id % 4 WHEN 0 THEN substr(text, 1, 4) WHEN 1 THEN '?! ' || substr(text, 1, 2) ELSE text END"
+_QUERY_SQL = (
+    "CASE conv_id % 4 WHEN 0 THEN regexp_replace(text, '[a-z]', '', 'g') "
+    "WHEN 1 THEN regexp_replace(text, '\\p{L}', '', 'g') ELSE text END"
+)
 
 
 @query(
@@ -489,11 +492,11 @@ _QUERY_SQL = "CASE conv_id % 4 WHEN 0 THEN substr(text, 1, 4) WHEN 1 THEN '?! '
 def meaningful_query(spark, sf_dir):
     turn = F.col("text")
     search = (
-        F.when(F.col("conv_id") % 4 == 0, F.substring(turn, 1, 4))
-        .when(F.col("conv_id") % 4 == 1, F.concat(F.lit("?! "), F.substring(turn, 1, 2)))
+        F.when(F.col("conv_id") % 4 == 0, F.regexp_replace(turn, "[a-z]", ""))
+        .when(F.col("conv_id") % 4 == 1, F.regexp_replace(turn, r"\p{L}", ""))
         .otherwise(turn)
     )
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+    return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", X.is_meaningful_query(search).alias("is_meaningful")
     )
 
@@ -524,9 +527,10 @@ _DELAY_SQL = f"""WITH d AS (SELECT o_orderkey AS obs_id,
   v AS (SELECT *, coalesce(NOT isnan(m) AND m >= 0 AND km >= 0 AND f IS NOT NULL, false) AS ok FROM e),
   w AS (SELECT obs_id, CASE WHEN ok THEN CAST(floor(m + 0.5e0) AS BIGINT) END AS standard_minutes,
     CASE WHEN ok THEN CAST(floor(m * f + 0.5e0) AS BIGINT) END AS adjusted_minutes FROM v)
-  SELECT *, CASE WHEN standard_minutes > 0
+  SELECT obs_id, standard_minutes IS NOT NULL AS is_valid, coalesce(standard_minutes, -1) AS standard_minutes,
+    coalesce(adjusted_minutes, -1) AS adjusted_minutes, CASE WHEN standard_minutes > 0
     THEN CAST(floor((adjusted_minutes - standard_minutes) / standard_minutes::DOUBLE * 100e0 + 0.5e0) AS BIGINT)
-    WHEN standard_minutes = 0 THEN 0 END AS delay_percent FROM w"""
+    WHEN standard_minutes = 0 THEN 0 ELSE -1 END AS delay_percent FROM w"""
 
 
 @query("C14_illustrative_delay", _DELAY_SQL)
@@ -543,7 +547,12 @@ def illustrative_delay(spark, sf_dir):
     delayed = table(spark, sf_dir, "orders").select(
         key.alias("obs_id"), D.illustrative_delay(minutes, km, class_).alias("delay")
     )
-    return delayed.select("obs_id", "delay.*")
+    numbers = ["standard_minutes", "adjusted_minutes", "delay_percent"]
+    return delayed.select(
+        "obs_id",
+        F.col("delay").isNotNull().alias("is_valid"),
+        *[F.coalesce(F.col(f"delay.{name}"), F.lit(-1)).alias(name) for name in numbers],
+    )
 
 
 _ERROR_TEXTS = [

@@ -80,7 +80,7 @@ def stage_csv_scan(spark, sf_dir):
     "S3_typed_columns",
     """SELECT o_orderkey AS obs_id, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderdate AS DATE) END AS date,
          CASE WHEN o_orderkey % 11 > 0 THEN o_custkey + 0.5e0 END AS traffic_volume,
-         CASE WHEN o_orderkey % 13 > 0 THEN CAST(o_custkey % 7 + 1 AS INTEGER) END AS day_of_week,
+         CASE WHEN o_orderkey % 13 > 0 THEN CAST(o_custkey % 7 + 1 AS INTEGER) ELSE -1 END AS day_of_week,
          CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS festival_flag FROM orders""",
 )
 def typed_columns(spark, sf_dir):
@@ -92,7 +92,7 @@ def typed_columns(spark, sf_dir):
         F.when(key % 13 == 0, "").otherwise((customer % 7 + 1).cast("string")).alias("day_of_week"),
         F.when(key % 3 == 0, "true").when(key % 3 == 1, "False").otherwise("maybe").alias("festival_flag"),
     )
-    return typed(cells, S.INTEGRATED_SCHEMA)
+    return typed(cells, S.INTEGRATED_SCHEMA).fillna(-1, ["day_of_week"])
 
 
 @query(
@@ -181,6 +181,23 @@ def stage_sink(spark, sf_dir):
     )
 
 
+@query(
+    "S6_stage_date_range",
+    over_observations(
+        "SELECT corridor, count(*) AS row_count, min(date) AS first_date, max(date) AS last_date FROM obs "
+        "WHERE date BETWEEN DATE '1996-02-10' AND DATE '1998-11-20' GROUP BY corridor"
+    ),
+)
+def stage_date_range(spark, sf_dir):
+    """A date range read back from month folders: only the folders in the range are opened."""
+    data = observations(spark, sf_dir, *S.INTEGRATED_COLUMNS)
+    path = files.write_stage(data, fresh_path(spark, "stage"), S.INTEGRATED_COLUMNS, by_month=True)
+    some = files.read_stage(spark, path, S.INTEGRATED_SCHEMA, date_range=("1996-02-10", "1998-11-20"))
+    return some.groupBy("corridor").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
+    )
+
+
 @query("S6_stage_round_trip", _STAGE_SQL)
 def stage_round_trip(spark, sf_dir):
     data = observations(spark, sf_dir, *S.INTEGRATED_COLUMNS)

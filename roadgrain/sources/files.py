@@ -99,14 +99,30 @@ def write_stage(data: DataFrame, path: str, columns: list[str], file_format: str
     return path
 
 
-def read_stage(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet") -> DataFrame:
-    """Read a stage output and require its exact column list; the month folder is not part of it."""
+def read_stage(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    file_format: str = "parquet",
+    date_range: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Read a stage output and require its exact column list; the month folder is not part of it.
+
+    ``date_range`` (both ISO dates included) selects the month folders as well as the
+    rows, because a filter on the date alone cannot skip a folder.
+    """
     if file_format == "csv":
-        return read_csv(spark, path, schema)
-    data = spark.read.parquet(path)
+        data = read_csv(spark, path, schema)
+    else:
+        data = spark.read.parquet(path)
     columns = [name for name in data.columns if name != "year_month"]
     if columns != schema.names:
         raise ValueError(f"Unexpected columns in {path}. Expected {schema.names}; found {columns}.")
+    if date_range:
+        first, last = date_range
+        data = data.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        if "year_month" in data.columns:
+            data = data.where(F.col("year_month").between(first[:7], last[:7]))
     return data.select(*columns)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadgrain import schemas as S
-from roadgrain.operators.shape import standardise
+from roadgrain.operators.shape import filtered, standardise
 from roadgrain.plans.runs import integrate
 from roadgrain.session import fresh_path, shared_folder
 from roadgrain.sources import files, reports, synthetic
@@ -66,8 +66,16 @@ def test_stage_round_trip_and_partition_pruning(spark, sf_dir, tmp_path):
     back = files.read_stage(spark, path, S.INTEGRATED_SCHEMA)
     assert back.columns == S.INTEGRATED_COLUMNS
     assert files.same_content(data, back)
-    months = spark.read.schema(S.STAGE_BY_MONTH_SCHEMA).parquet(path).where("year_month = '1998-03'")
-    assert "PartitionFilters: [isnotnull(year_month" in months._jdf.queryExecution().executedPlan().toString()
+    days = ("1998-03-10", "1998-05-20")
+    some = files.read_stage(spark, path, S.INTEGRATED_SCHEMA, date_range=days)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan
+    assert "GreaterThanOrEqual(date,1998-03-10)" in plan
+    assert files.same_content(some, data.where(f"date BETWEEN '{days[0]}' AND '{days[1]}'"))
+    narrow = filtered(back, corridors=["ASIA | NATION_2"], festival_flag="True").select("date")
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(corridor,ASIA | NATION_2)" in plan and "EqualTo(festival_flag,true)" in plan
+    assert "ReadSchema: struct<date:date,corridor:string,festival_flag:boolean>" in plan
     with pytest.raises(ValueError, match="Unexpected columns"):
         files.read_stage(spark, path, S.TAGGED_SCHEMA)
 
