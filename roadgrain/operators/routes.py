@@ -112,7 +112,7 @@ def _in_rank_order(routes: Column) -> Column:
             r.alias("route"),
         ),
     )
-    return F.transform(F.array_sort(keyed), lambda k: k.getField("route"))
+    return F.transform(F.sort_array(keyed), lambda k: k.getField("route"))
 
 
 def _with_verdict(route: Column, position: Column, first: Column, second: Column, size: Column) -> Column:
