@@ -67,36 +67,44 @@ def corridor_rollup(advisories: DataFrame) -> DataFrame:
 
     ``congestion_actions`` is an array in the order Low, Medium, High. A class with two
     different action sets in one corridor is a conflict and named in ``conflicts``.
-    Both levels are plain partial aggregates over at most three classes per corridor.
+    The facts are merged per action set first, with the texts as keys: counts and dates
+    alone keep that aggregate hash-based, where a minimum of texts would sort the facts.
+    What follows works on a few rows per corridor.
     """
-    actions = F.struct(*S.ACTION_COLUMNS)
     known = [F.lit(name) for name in S.CLASSES]
+    counters = context_counters()
+    per_set = advisories.groupBy("corridor", S.TARGET, *S.ACTION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
+        *[c.alias(name) for name, c in counters.items()],
+    )
     per_class = (
-        advisories.groupBy("corridor", S.TARGET)
+        per_set.groupBy("corridor", S.TARGET)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("date").alias("first"),
-            F.max("date").alias("last"),
-            F.min(actions).alias("low_set"),
-            F.max(actions).alias("high_set"),
-            *[c.alias(name) for name, c in context_counters().items()],
+            F.sum("n").alias("n"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.count(F.lit(1)).alias("sets"),
+            F.min(F.struct(*S.ACTION_COLUMNS)).alias("actions"),
+            *[F.sum(name).alias(name) for name in counters],
         )
         .withColumn("rank", F.array_position(F.array(*known), F.col(S.TARGET)))
     )
     action = F.struct(
         F.col("rank"),
         F.col(S.TARGET).alias(S.TARGET),
-        *[F.col(f"low_set.{name}").alias(name) for name in S.ACTION_COLUMNS],
+        *[F.col(f"actions.{name}").alias(name) for name in S.ACTION_COLUMNS],
         F.col("n").alias("record_count"),
     )
-    clash = F.when(~F.col("low_set").eqNullSafe(F.col("high_set")), F.col(S.TARGET))
+    clash = F.when(F.col("sets") > 1, F.col(S.TARGET))
     return per_class.groupBy("corridor").agg(
         F.sum("n").alias("record_count"),
         F.min("first").alias("date_start"),
         F.max("last").alias("date_end"),
         F.array_sort(F.collect_list(F.when(F.col("rank") > 0, action))).alias("congestion_actions"),
         F.array_sort(F.collect_list(clash)).alias("conflicts"),
-        *[F.sum(name).alias(name) for name in context_counters()],
+        *[F.sum(name).alias(name) for name in counters],
     )
 
 

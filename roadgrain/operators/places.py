@@ -113,17 +113,15 @@ def match_corridors(roads: DataFrame, corridors: DataFrame, request: str = "requ
     )
     road_matches = pieces.join(keywords, "keyword").select("road", "corridor_id").distinct()
     first = corridors.agg(F.min_by("corridor_id", "position")).scalar()
-    # The match is an aggregate, so that no filter on it moves below the group-by: both
-    # uses of ``cells`` keep the same shuffle, which is then done once.
+    # The filters are on an aggregate and stay above the group-by, so both uses of
+    # ``cells`` keep the same shuffle, which is then done once.
     cells = (
         named.join(road_matches, "road", "left")
         .groupBy(request, "corridor_id")
-        .agg(F.max("corridor_id").alias("match"))
+        .agg(F.count("corridor_id").alias("hits"))
     )
-    matched = cells.where("match IS NOT NULL").select(
-        request, F.col("match").alias("corridor_id"), F.lit(False).alias("is_fallback")
-    )
-    unmatched = cells.groupBy(request).agg(F.max("match").alias("match")).where("match IS NULL")
+    matched = cells.where("hits > 0").select(request, "corridor_id", F.lit(False).alias("is_fallback"))
+    unmatched = cells.groupBy(request).agg(F.sum("hits").alias("hits")).where("hits = 0")
     fallback = unmatched.select(request, first.alias("corridor_id"), F.lit(True).alias("is_fallback"))
     return matched.unionByName(fallback.where("corridor_id IS NOT NULL"))
 

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from roadgrain import schemas as S
 from roadgrain.operators import routes as R, summaries
+from roadgrain.operators.advisory import advise, corridor_rollup
 from roadgrain.operators.calendar import integrate_calendar
+from roadgrain.operators.contracts import RAW_FILES, raw_file_findings
+from roadgrain.operators.places import match_corridors
 from roadgrain.operators.quality import null_counts
 from roadgrain.operators.split import chronological_split
 from roadgrain.sources.given import calendar, observations
@@ -62,11 +65,29 @@ def test_all_summaries_read_the_facts_once(spark, sf_dir, tmp_path):
     assert spark.read.parquet(path).count() <= 25 * 7 * 4
 
 
+def test_rollup_of_the_facts_is_hash_based(spark, sf_dir):
+    plan = plan_of(corridor_rollup(advise(observations(spark, sf_dir))))
+    lowest = plan[plan.rindex("Exchange hashpartitioning(corridor") :]
+    assert "HashAggregate(keys=[corridor" in lowest and "SortAggregate(key=[corridor" not in lowest
+
+
 def test_profile_is_one_aggregate(spark, sf_dir):
     plan = plan_of(null_counts(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS)))
     assert plan.count("SinglePartition") == 1
 
 
+def test_raw_file_checks_share_one_shuffle(spark):
+    cells = spark.range(1000).select(
+        (F.col("id") % 50).cast("string").alias("timestamp"), F.lit("A").alias("toll_plaza"), F.lit("1").alias("vehicle_count")
+    )
+    found = raw_file_findings(cells, RAW_FILES["toll.csv"])
+    assert {(r.check, r.row_count) for r in found.collect() if r.check != "invalid time"} == {
+        ("missing column", None),
+        ("duplicate rows", 950),
+    }
+    assert "ReusedExchange" in plan_of(found)
+
+
 def test_cutoff_is_a_scalar_subquery(spark, sf_dir):
     training, _, _ = chronological_split(observations(spark, sf_dir, "obs_id", "date"))
     plan = plan_of(training)
@@ -90,3 +111,14 @@ def test_skewed_corridor_is_merged_before_the_shuffle(spark):
     )
     got = summaries.summarise(skewed, "high_congestion_corridors").collect()
     assert {(r.corridor, r.total_records) for r in got} == {("hot", 99000), ("rare", 1000)}
+
+
+def test_corridor_matching_shares_one_shuffle(spark):
+    roads = spark.range(1000).select((F.col("id") % 100).alias("request_id"), F.concat(F.lit("road "), "id").alias("name"))
+    table = spark.createDataFrame([(1, "one", ["road 7"])], "position int, corridor_id string, keywords array<string>")
+    found = match_corridors(roads, table)
+    rows = found.collect()
+    assert len(rows) == 100
+    hits = {i % 100 for i in range(1000) if f"road {i}".find("road 7") >= 0}
+    assert {r.request_id for r in rows if not r.is_fallback} == hits
+    assert "ReusedExchange" in plan_of(found)
