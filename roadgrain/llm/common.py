@@ -108,29 +108,29 @@ def word_bytes(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(WORD_BYTES).split()
 
 
+def small(side: DataFrame, row_bytes: int, most: int = 64 << 20) -> DataFrame:
+    """The side with a broadcast hint if its counted rows fit ``most`` bytes, else as it is, for a shuffled join."""
+    return F.broadcast(side) if side.count() * row_bytes <= most else side
+
+
 def labelled(documents: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text and y (0 or 1) of labelled documents outside the held-out fold.
+    """doc_id and y (0 or 1) of labelled documents outside the held-out fold; no text is read or moved.
 
-    Rows with a null id, text or label are left out; of repeated labels the largest counts.
+    Rows with a null id or label are left out; of repeated labels the largest counts.
     """
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    return (
-        documents.select("doc_id", "text")
-        .where(F.col("text").isNotNull() & ~held_out())
-        .join(known, "doc_id")
-        .select("doc_id", "text", "y")
-    )
+    return known.where(~held_out()).join(documents.select("doc_id"), "doc_id", "left_semi")
 
 
-def bounded(rows: DataFrame, by: str, most: int, salt: int = 0) -> DataFrame:
-    """About ``most`` rows of each value of ``by`` at most, picked by a hash of doc_id.
+def bounded(documents: DataFrame, known: DataFrame, by: str, most: int) -> tuple[DataFrame, dict]:
+    """doc_id, text, ``by`` and half (0 or 1) of about ``most`` documents of each value of ``by``; and all values' counts.
 
-    Only for fitting. It is a cut on the hash, so no group is sorted or gathered; what goes to
-    the driver is limited again by the caller, as rows that repeat an id are picked together.
+    Only for fitting. The documents are picked from (doc_id, by) by a hash of the id, so no
+    group is sorted or gathered; the picked ids, limited in number, are broadcast.
     """
-    sizes = rows.groupBy(by).count().collect()
-    if not sizes:
-        return rows
-    share = F.create_map(*[x for r in sizes if r[by] is not None for x in (F.lit(r[by]), F.lit(min(1.0, most / r["count"])))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    return rows.where(draw < share[F.col(by)])
+    totals = {r[by]: r["count"] for r in known.groupBy(by).count().collect() if r[by] is not None}
+    share = F.create_map(*[x for v, n in totals.items() for x in (F.lit(v), F.lit(min(1.0, most / n)))] or [F.lit(""), F.lit(0.0)])
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    picked = known.where(draw < share[F.col(by)]).select("doc_id", by).limit(2 * most * max(1, len(totals)))
+    sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return sample.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))), totals

@@ -18,7 +18,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from roadgrain.llm.common import words
+from roadgrain.llm.common import small, staged, words
 
 #: Stands for the end of a text among the word hashes.
 END = 0
@@ -60,7 +60,7 @@ def prefixes(documents: DataFrame, cut: DataFrame, misses: int = 0) -> DataFrame
     seen = (
         _tokens(documents)
         .select(F.explode_outer("h").alias("h"))
-        .join(_small(vocabulary, 16), "h")
+        .join(small(vocabulary, 16), "h")
         .groupBy("h")
         .agg(F.count("*").alias("n"))
     )
@@ -74,11 +74,6 @@ def prefixes(documents: DataFrame, cut: DataFrame, misses: int = 0) -> DataFrame
     ).select("window", "items", "len", "p.offset", "p.h")
 
 
-def _small(side: DataFrame, row_bytes: int, most: int = 64 << 20) -> DataFrame:
-    """The side with a broadcast hint if its counted rows are under ``most`` bytes, else as it is."""
-    return F.broadcast(side) if side.count() * row_bytes <= most else side
-
-
 def hits(documents: DataFrame, index: DataFrame, misses: int = 0, block_bytes: int = 64 << 20) -> DataFrame:
     """One row for each place of a window, and one with null items for each text.
 
@@ -143,8 +138,7 @@ def contamination(
     empty benchmark hits nothing. Only doc_id, text and item_id, text are read, so other
     columns may have any name.
     """
-    index = prefixes(documents, windows(benchmark, size), misses)
-    index = index.checkpoint() if index.sparkSession.sparkContext.getCheckpointDir() else index
+    index = staged(prefixes(documents, windows(benchmark, size), misses), "windows")
     before = Window.partitionBy("doc_id", "digest").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(before), F.lit(0))))
     ids = F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda x: x.cast("string")))
@@ -166,10 +160,8 @@ def contamination(
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """The documents without the contaminated ones; all columns stay, and so do rows with a null id or text."""
-    bad = (
-        contamination(documents, benchmark, **parameters)
-        .where("contaminated")
-        .select(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest"))
-    )
+    found = contamination(documents, benchmark, **parameters).where("contaminated")
+    bad = staged(found.select(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest")), "contaminated")
+    bad = small(bad, 24)
     same = documents["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(documents["text"]) == bad["bad_digest"])
     return documents.join(bad, same, "left_anti")

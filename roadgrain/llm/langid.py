@@ -72,10 +72,8 @@ class Model:
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
     """Learn from text and lang of documents outside the held-out fold; no such rows give an empty model."""
-    known = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
-    )
-    sample = bounded(known, "lang", per_language)
+    known = documents.select("doc_id", "lang").where(F.col("lang").isNotNull() & ~held_out())
+    sample, _ = bounded(documents, known, "lang", per_language)
 
     def cut(batches):
         for rows in batches:
@@ -83,7 +81,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
             packed = [None if v is None else np.packbits(v).tobytes() for v in vectors]
             yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(packed, pa.binary())], names=["doc_id", "lang", "v"])
 
-    rows = in_arrow(sample.select("doc_id", "lang", "text"), cut, "doc_id long, lang string, v binary")
+    rows = in_arrow(sample.select(F.col("doc_id").cast("long"), "lang", "text"), cut, "doc_id long, lang string, v binary")
     rows = rows.limit(50 * per_language).collect()
     rows = sorted((r for r in rows if r["v"] is not None), key=lambda r: (hash_id(r["doc_id"]), r["lang"], r["v"]))
     if not rows:

@@ -17,12 +17,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.llm.common import bounded, held_out, in_arrow, logistic, staged
+from roadgrain.llm.common import bounded, held_out, in_arrow, logistic, small, staged
 
 #: Bounds of the sample and of the vocabulary.
 PER_DOMAIN = 4_000
 BUCKETS = 1 << 16
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 APART = 4.0
 ROUNDS = 30
 TOLERANCE = 1e-6
@@ -38,7 +38,13 @@ def domains(labels: DataFrame) -> DataFrame:
 
 
 class Buckets(dict):
-    """Buckets of a piece of text: its word, the word's first letters, its marks and its capitals."""
+    """Buckets of a piece of text: its word, the word's first letters, its marks and its capitals.
+
+    With ``kept``, only those in it.
+    """
+
+    def __init__(self, kept: np.ndarray | None = None):
+        self.kept = None if kept is None else set(kept.tolist())
 
     def __missing__(self, piece: bytes) -> tuple[int, ...]:
         if len(self) > REMEMBERED:
@@ -48,7 +54,8 @@ class Buckets(dict):
         own = [b"=" + word, b"4" + word[:4], b"6" + word[:6], b"." + marks]
         if len(piece) > 2 and piece.isupper():
             own.append(b"capitals")
-        own = self[piece] = tuple(xxhash.xxh3_64_intdigest(u) % BUCKETS for u in own)
+        buckets = [xxhash.xxh3_64_intdigest(u) % BUCKETS for u in own]
+        own = self[piece] = tuple(b for b in buckets if self.kept is None or b in self.kept)
         return own
 
 
@@ -59,7 +66,7 @@ def counted(text: str | None, buckets: Buckets) -> tuple[int, np.ndarray]:
     """
     pieces = (text or "").encode("utf-8", "replace").split()
     distinct = set(pieces)
-    own = {b for w in distinct for b in buckets[w]}
+    own = set().union(*map(buckets.__getitem__, distinct))
     if len(pieces) >= 20:
         own.add(xxhash.xxh3_64_intdigest(b"repeats %d" % (10 * len(distinct) // len(pieces))) % BUCKETS)
     return len(pieces), np.fromiter(own, np.int64, len(own))
@@ -92,16 +99,12 @@ def margins(evidence: np.ndarray, k: int) -> np.ndarray:
 
 def fit(documents: DataFrame, labelled: DataFrame, per_domain: int = PER_DOMAIN) -> Classifier:
     """Learn domains from (doc_id, domain) outside the held-out fold; nothing labelled gives one domain, ``all``."""
-    known = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .where(F.col("text").isNotNull() & ~held_out())
-        .join(labelled.select("doc_id", "domain"), "doc_id")
-    )
-    totals = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
+    known = labelled.select("doc_id", "domain").where(~held_out())
+    known = known.join(documents.select("doc_id"), "doc_id", "left_semi")
+    sample, totals = bounded(documents, known, "domain", per_domain)
     if not totals:
         return Classifier(("all",))
     names = tuple(sorted(totals))
-    sample = bounded(known, "domain", per_domain).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)))
 
     def count(batches):
         buckets, sums = Buckets(), {}
@@ -159,7 +162,7 @@ def memberships(documents: DataFrame, classifier: Classifier) -> DataFrame:
     """doc_id, digest (of the text), n_tokens (pieces between white space) and ``p``, the posterior of each domain."""
 
     def classify(batches):
-        buckets = Buckets()
+        buckets = Buckets(np.flatnonzero(classifier.table.any(1)))
         for rows in batches:
             n, e = [], np.zeros((rows.num_rows, len(classifier.names)))
             for i, text in enumerate(rows.column(2)):
@@ -300,11 +303,13 @@ def mix(
 def mixed(documents: DataFrame, labelled: DataFrame, weights: dict[str, float], **parameters) -> DataFrame:
     """The documents, each as often as its rate says; all columns stay."""
     found, _ = mix(documents, labelled, weights, **parameters)
-    times = (
+    times = staged(
         found.where(F.coalesce("n_copies", F.lit(1)) != 1)
         .groupBy(F.col("doc_id").alias("mix_id"), F.col("digest").alias("mix_digest"))
-        .agg(F.max("n_copies").alias("mix_copies"))
+        .agg(F.max("n_copies").alias("mix_copies")),
+        "copies",
     )
+    times = small(times, 24)
     same = documents["doc_id"].eqNullSafe(times["mix_id"]) & (F.xxhash64(documents["text"]) == times["mix_digest"])
     repeat = F.explode(F.array_repeat(F.lit(0), F.coalesce(times["mix_copies"], F.lit(1)).cast("int")))
     return (

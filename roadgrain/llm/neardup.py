@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.llm.common import free_name, in_arrow, staged
+from roadgrain.llm.common import free_name, in_arrow, small, staged
 
 SHINGLE = 5
 FUNCTIONS = 64
@@ -333,7 +333,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = SHINGLE
     classes = linked.join(groups, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["rep", "d1", "d2"])
     classes = staged(classes.select("rep", "n", "sig"), "reps")
     pairs = staged(candidates(classes, percent), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    wanted = small(staged(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted"), 16)
     roots = components(confirmed(pairs, staged(_sets(texts, wanted, size), "sets"), percent))
     named = (
         groups.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
@@ -362,6 +362,7 @@ def drop_near_duplicates(documents: DataFrame, percent: int = 75, size: int = SH
     """
     found = near_duplicates(documents, percent, size)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(free_name(documents, "gone_id"))).distinct()
+    gone = small(staged(gone, "gone"), 16)
     rows = documents.join(gone, documents["doc_id"] == gone[gone.columns[0]], "left_anti")
     repeated = (
         documents.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count()

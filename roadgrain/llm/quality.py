@@ -79,10 +79,9 @@ class Model:
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Learn from labelled rows outside the held-out fold; one class or no rows give a constant score."""
     known = labelled(documents, labels, label)
-    totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    sample, totals = bounded(documents, known, "y", per_class)
     if len(totals) < 2:
         return Model(prior=float(max(totals, default=0.5)))
-    sample = bounded(known, "y", per_class).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)))
     start = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.greatest(F.lit(1), F.length("text") - WINDOW_CHARS + 1)) + 1
     windows = sample.select("y", "half", F.substr("text", start.cast("int"), F.lit(WINDOW_CHARS)).alias("w"))
     windows = windows.limit(4 * per_class).collect()

@@ -28,7 +28,7 @@ PREFIXES = (4, 6)
 WINDOW_WORDS = 8
 APART = 4.0
 THRESHOLDS = (0, 2, 4, 6, 8, 12, 16)
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _MARKS = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
 
 
@@ -119,10 +119,9 @@ def _apart(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray:
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """Learn from labelled rows outside the held-out fold; one class or no rows give a constant score."""
     known = labelled(documents, labels, label)
-    totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    sample, totals = bounded(documents, known, "y", per_class)
     if len(totals) < 2:
         return Model(prior=float(max(totals, default=0.0)))
-    sample = bounded(known, "y", per_class).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)))
 
     def cut(batches):
         for rows in batches:
