@@ -100,7 +100,8 @@ def secrets(documents: DataFrame, repository: str = "source") -> DataFrame:
     """
     found = staged(candidates(documents, repository), "secrets")
     matches = staged(spans(found.where(F.size("found") > 0)), "secret-spans")
-    owned = ownership(matches).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Only what is widely held matters here, and only its few hashes are repeated over the salts.
+    owned = ownership(matches).where("example").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     judged = (
         matches.withColumn("salt", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SALTS)).cast("int"))
         .join(owned.select("hash", "salt", "example"), ["hash", "salt"], "left")

@@ -214,16 +214,17 @@ def fit_rates(
 
     The targets add up to the present number of tokens or, with ``anchor``, to what leaves the
     anchor domain its present ones. A domain without a weight has the target 0. What rates
-    of at most ``most`` cannot reach is approached as closely as squares allow. The step is the gradient in the metric of the domain covariances; it is
-    halved when a step makes the error larger.
+    of at most ``most`` cannot reach is approached as closely as squares allow. The step is the gradient in the metric of the domain covariances of the
+    rates that are not at a bound; a step that makes the error larger is taken back and shortened.
     """
     width = len(names)
 
     def sums(batches, steps):
         for rows in batches:
             t, p = rows.column(0).to_numpy().astype(float), _array(rows, 1, width)
-            out = (t * replay(p, steps, most)) @ p
-            square = (p * t[:, None]).T @ p
+            rate = replay(p, steps, most)
+            free = (rate > 0) & ((rate < (np.inf if most is None else most)) | (not steps))
+            out, square = (t * rate) @ p, (p * (t * free)[:, None]).T @ p
             values = np.r_[out, square.ravel()]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["k", "v"])
 
@@ -235,7 +236,7 @@ def fit_rates(
         return out
 
     first = run([])
-    now, square = first[:width], first[width:].reshape(width, width)
+    now, whole = first[:width], first[width:].reshape(width, width)
     share = np.array([weights.get(n, 0.0) for n in names])
     if share.sum() == 0 or now.sum() == 0:
         return Rates(names, [], most, now, now)
@@ -244,16 +245,17 @@ def fit_rates(
     if anchor in names and weights.get(anchor):
         total = float(now[names.index(anchor)] / share[names.index(anchor)])
     target = share * total
-    scale = np.linalg.pinv(square + 1e-9 * np.trace(square) * np.eye(width))
     steps: list[np.ndarray] = []
-    error, pace = np.abs(now - target).sum(), 1.0
+    square, error, pace = whole, np.abs(now - target).sum(), 1.0
     for _ in range(rounds):
         if error <= TOLERANCE * total or pace < 1e-3:
             break
+        scale = np.linalg.pinv(square + 1e-6 * np.trace(whole) * np.eye(width))
         step = np.round(pace * (scale @ (now - target)), 12)
-        then = run([*steps, step])[:width]
-        if np.abs(then - target).sum() < error:
-            steps, now, error, pace = [*steps, step], then, np.abs(then - target).sum(), min(1.0, 2 * pace)
+        then = run([*steps, step])
+        if np.abs(then[:width] - target).sum() < error:
+            steps, now, square = [*steps, step], then[:width], then[width:].reshape(width, width)
+            error, pace = np.abs(now - target).sum(), min(1.0, 2 * pace)
         else:
             pace /= 4
     return Rates(names, steps, most, target, now)
