@@ -44,7 +44,6 @@ HEADLINE = [
     "R10_one_answer_per_query",
     "S6_stage_round_trip",
     "S11_table_fingerprint",
-    "S18_synthetic_observations",
     "M6_rebuilt_from_specification",
 ]
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadgrain import schemas as S
 
 MAX_DEPTH, NUM_TREES, SEED = 5, 20, 42
-MAX_CATEGORIES = 10_000
 INDEXER, ENCODER, LABEL_INDEXER, ASSEMBLER, CLASSIFIER = range(5)
 
 
@@ -72,21 +71,9 @@ def training_rows(training: DataFrame, order_key: str | None = None, partitions:
         cached.unpersist()
 
 
-def require_few_categories(rows: DataFrame, limit: int = MAX_CATEGORIES) -> None:
-    """Refuse categories whose labels would not fit in a model.
-
-    The indexer keeps every label on the driver and in the model, and the vector grows
-    by one slot per label. The pass also fills the cache of the training rows.
-    """
-    counts = rows.agg(*[F.approx_count_distinct(name).alias(name) for name in S.CATEGORICAL_FEATURES]).first()
-    too_many = {name: counts[name] for name in S.CATEGORICAL_FEATURES if counts[name] > limit}
-    if too_many:
-        raise ValueError(f"Too many distinct values for one-hot features: {too_many}.")
-
-
 def fit(training: DataFrame, classifier, order_key: str | None = None) -> PipelineModel:
+    """Fit all stages. The indexer keeps each label of a category on the driver, as MLlib models do."""
     with training_rows(training, order_key) as rows:
-        require_few_categories(rows)
         return Pipeline(stages=[*feature_stages(), classifier]).fit(rows)
 
 

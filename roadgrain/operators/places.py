@@ -67,18 +67,33 @@ def first_places(answers: DataFrame, query: str = "query", column: str = "respon
     )
 
 
-def one_answer_per_query(searches: DataFrame, order: str, query: str = "query", answer: str = "answer") -> DataFrame:
+def one_answer_per_query(
+    searches: DataFrame, order: str, query: str = "query", answer: str = "answer", salts: int = 16
+) -> DataFrame:
     """Give every search the answer of the earliest search with the same query key.
 
-    Answers are merged before the shuffle. In the join back one side has one row per
-    key, so a very frequent query is split by the skew join without multiplying rows.
+    A null or blank query has no answer but the error ``EMPTY_QUERY``. The earliest place of a
+    key is a hash aggregate; its answer is looked up by (key, place). Searches meet the
+    one row of their key by key and a salt, so a very frequent query is spread over ``salts`` tasks.
     """
-    keyed = searches.withColumn("query_key", query_key(F.col(query)))
-    firsts = keyed.groupBy("query_key").agg(
-        F.min_by(F.struct(F.col(answer).alias("a")), order).alias("first"), F.count(F.lit(1)).alias("searches")
+    keyed = searches.withColumn("query_key", query_key(F.col(query))).withColumn(
+        "_salt", F.pmod(F.xxhash64(order), F.lit(salts)).cast("int")
+    )
+    asked = keyed.where("query_key <> ''")
+    firsts = asked.groupBy("query_key").agg(F.min(order).alias(order), F.count(F.lit(1)).alias("searches"))
+    answers = (
+        firsts.join(asked.select("query_key", order, F.col(answer).alias("_answer")), ["query_key", order])
+        .dropDuplicates(["query_key"])
+        .select("query_key", "searches", "_answer", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     )
-    return keyed.join(firsts, "query_key").select(
-        order, query, "query_key", F.col("first.a").alias(answer), "searches"
+    blank = F.coalesce(F.col("query_key") == "", F.lit(True))
+    return keyed.join(answers, ["query_key", "_salt"], "left").select(
+        order,
+        query,
+        "query_key",
+        F.col("_answer").alias(answer),
+        "searches",
+        F.when(blank, "EMPTY_QUERY").alias("error"),
     )
 
 

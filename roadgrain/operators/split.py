@@ -9,10 +9,11 @@ def cutoff_date(data: DataFrame, share: float = 0.80) -> DataFrame:
     """One row: the last training date, the number of dates, and of training dates.
 
     The first floor(share * n) of the n distinct dates train, at least one and at most
-    n - 1. The set of distinct dates is bounded by the calendar, whatever the row
-    count, and duplicates are dropped before the shuffle. Fewer than two dates fail.
+    n - 1. Dates are made distinct by hash, on both sides of a shuffle, before the
+    one list of the calendar's dates is built. Fewer than two dates fail.
     """
-    dates = data.where(F.col("date").isNotNull()).agg(F.array_sort(F.collect_set("date")).alias("dates"))
+    distinct = data.where(F.col("date").isNotNull()).select("date").distinct()
+    dates = distinct.agg(F.array_sort(F.collect_list("date")).alias("dates"))
     n = F.size("dates")
     training = F.greatest(F.lit(1), F.least(n - 1, F.floor(n * F.lit(share)).cast("int")))
     return (

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadgrain import schemas as S
-from roadgrain.sources.given import CALENDAR_YEARS, WEATHER_OF_SEGMENT, YEARLY_CALENDAR
+from roadgrain.sources.given import WEATHER_OF_SEGMENT, YEARLY_CALENDAR
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +70,8 @@ CALENDAR_SQL = (
     "cal AS (SELECT make_date(y, m, d) AS date, festival_name, festival_flag, holiday_flag, "
     "'yearly template ' || y AS source "
     f"FROM (VALUES {_values(YEARLY_CALENDAR)}) t(m, d, festival_name, festival_flag, holiday_flag), "
-    f"(SELECT CAST(range AS INTEGER) AS y FROM range({CALENDAR_YEARS[0]}, {CALENDAR_YEARS[1] + 1})) years)"
+    "(SELECT CAST(unnest(range((SELECT min(year(o_orderdate)) FROM orders), "
+    "(SELECT max(year(o_orderdate)) FROM orders) + 1)) AS INTEGER) AS y) years)"
 )
 
 

@@ -265,17 +265,21 @@ def first_places(spark, sf_dir):
 
 @query(
     "R10_one_answer_per_query",
-    """WITH s AS (SELECT p_partkey AS search_id, CASE p_partkey % 3 WHEN 0 THEN ' ' || upper(p_name) WHEN 1 THEN p_name || '  '
+    """WITH s AS (SELECT p_partkey AS search_id, CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN '  '
+         WHEN p_partkey % 3 = 0 THEN ' ' || upper(p_name) WHEN p_partkey % 3 = 1 THEN p_name || '  '
          ELSE p_name END AS query, p_brand AS answer FROM part),
        q AS (SELECT *, lower(trim(query)) AS query_key FROM s)
        SELECT search_id, query, query_key, first_value(answer) OVER (PARTITION BY query_key ORDER BY search_id) AS answer,
-         count(*) OVER (PARTITION BY query_key) AS searches FROM q""",
+         count(*) OVER (PARTITION BY query_key) AS searches, CAST(NULL AS VARCHAR) AS error FROM q WHERE query_key <> ''
+       UNION ALL SELECT search_id, query, query_key, NULL, NULL, 'EMPTY_QUERY' FROM q WHERE coalesce(query_key, '') = ''""",
 )
 def one_answer_per_query(spark, sf_dir):
     key = F.col("p_partkey")
     searches = table(spark, sf_dir, "part").select(
         key.alias("search_id"),
-        F.when(key % 3 == 0, F.concat(F.lit(" "), F.upper("p_name")))
+        F.when(key % 11 == 0, F.lit(None).cast("string"))
+        .when(key % 13 == 0, "  ")
+        .when(key % 3 == 0, F.concat(F.lit(" "), F.upper("p_name")))
         .when(key % 3 == 1, F.concat("p_name", F.lit("  ")))
         .otherwise(F.col("p_name"))
         .alias("query"),

@@ -288,7 +288,7 @@ def coordinate_rules(spark, sf_dir):
     over_observations("SELECT obs_id, date, festival_flag, festival_name, holiday_flag FROM obs"),
 )
 def calendar_left_join(spark, sf_dir):
-    return integrate_calendar(observations(spark, sf_dir, "obs_id", "date"), calendar(spark))
+    return integrate_calendar(observations(spark, sf_dir, "obs_id", "date"), calendar(spark, sf_dir))
 
 
 _NEIGHBOUR_SQL = (
@@ -302,7 +302,7 @@ _NEIGHBOUR_SQL = (
 @query("J3_neighbour_holidays", _NEIGHBOUR_SQL + "SELECT date, next_is_holiday, previous_is_holiday FROM n")
 def neighbours(spark, sf_dir):
     days = observations(spark, sf_dir, "date").distinct()
-    return neighbour_holidays(days, calendar(spark).where("holiday_flag"))
+    return neighbour_holidays(days, calendar(spark, sf_dir).where("holiday_flag"))
 
 
 @query(
@@ -314,7 +314,7 @@ def neighbours(spark, sf_dir):
 def day_categories(spark, sf_dir):
     days = observations(spark, sf_dir, "date", "festival_flag").distinct()
     marked = neighbour_holidays(
-        days.withColumnRenamed("festival_flag", "is_festival"), calendar(spark).where("holiday_flag")
+        days.withColumnRenamed("festival_flag", "is_festival"), calendar(spark, sf_dir).where("holiday_flag")
     )
     return day_category(marked).select("date", "day_type")
 

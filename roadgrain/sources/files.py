@@ -130,16 +130,21 @@ def fingerprint(data: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Row count and two sums of row digests: the same for any row order and partitioning.
 
     Each row's MD5 is cut into two 60-bit numbers which are summed as decimals, so that
-    repeated rows count and nothing overflows. Null and empty text differ.
+    repeated rows count and nothing overflows. Every cell is written with its length, null
+    is a mark of its own, and names and types are part of each row's text, so different
+    rows or schemas have different texts.
     """
-    names = columns or data.columns
-    cells = [F.coalesce(F.concat(F.lit("v"), F.col(f"`{name}`").cast("string")), F.lit("n")) for name in names]
-    digest = F.md5(F.concat_ws("|", *cells))
+    chosen = data.select(*[F.col(f"`{name}`") for name in columns or data.columns])
+    cells = [
+        F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n"))
+        for text in (F.col(f"`{name}`").cast("string") for name in chosen.columns)
+    ]
+    digest = F.md5(F.concat_ws("|", F.lit(", ".join(f"{name} {kind}" for name, kind in chosen.dtypes)), *cells))
 
     def part(start: int):
         return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")
 
-    return data.agg(
+    return chosen.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(part(1)), F.lit(0)).cast("string").alias("digest_low"),
         F.coalesce(F.sum(part(16)), F.lit(0)).cast("string").alias("digest_high"),

@@ -23,7 +23,6 @@ YEARLY_CALENDAR = [
     (10, 24, "Vijayadasami", True, True),
     (11, 1, "Kannada Rajyothsava", True, True),
 ]
-CALENDAR_YEARS = (1990, 2030)
 # Market segment to weather.
 WEATHER_OF_SEGMENT = {
     "BUILDING": "Clear",
@@ -56,7 +55,8 @@ _DIMENSION_JOINS = [
     ("nation", "c_nationkey", "n_nationkey"),
     ("region", "n_regionkey", "r_regionkey"),
 ]
-_DIMENSION_COLUMNS = {"area", "road_intersection", "corridor", "weather", "average_speed"}
+# How many of these joins a column needs.
+_DIMENSION_DEPTH = {"weather": 1, "average_speed": 1, "road_intersection": 2, "area": 3, "corridor": 3}
 _CALENDAR_COLUMNS = {"festival_flag", "festival_name", "holiday_flag"}
 OBSERVATION_COLUMNS = ["obs_id", *S.INTEGRATED_COLUMNS]
 
@@ -66,20 +66,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    """The date dimension: the yearly template over a fixed span of years."""
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date dimension: the yearly template over the years of the facts' first to last date."""
     rows = ", ".join(
         f"({month}, {day}, '{name}', {festival}, {holiday})"
         for month, day, name, festival, holiday in YEARLY_CALENDAR
     )
-    first, last = CALENDAR_YEARS
-    return spark.sql(
-        f"""
-        SELECT make_date(y, m, d) AS date, festival_name, festival_flag, holiday_flag,
-               concat('yearly template ', y) AS source
-        FROM (SELECT *, explode(sequence({first}, {last})) AS y
-              FROM VALUES {rows} AS t(m, d, festival_name, festival_flag, holiday_flag))
-        """
+    year = F.year("o_orderdate")
+    limits = table(spark, sf_dir, "orders").agg(F.min(year).alias("first"), F.max(year).alias("last"))
+    years = F.sequence(limits.select("first").scalar(), limits.select("last").scalar())
+    template = spark.sql(f"SELECT * FROM VALUES {rows} AS t(m, d, festival_name, festival_flag, holiday_flag)")
+    return template.withColumn("y", F.explode(years)).select(
+        F.make_date("y", "m", "d").alias("date"),
+        "festival_name",
+        "festival_flag",
+        "holiday_flag",
+        F.concat(F.lit("yearly template "), "y").alias("source"),
     )
 
 
@@ -135,16 +137,17 @@ def observations(
         orders = orders.where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
 
     expressions = _order_expressions()
-    if _DIMENSION_COLUMNS & set(wanted):
-        for name, left_key, right_key in _DIMENSION_JOINS:
-            orders = orders.join(table(spark, sf_dir, name), F.col(left_key) == F.col(right_key), "left")
-        expressions |= _dimension_expressions()
+    depth = max(_DIMENSION_DEPTH.get(name, 0) for name in wanted)
+    for name, left_key, right_key in _DIMENSION_JOINS[:depth]:
+        orders = orders.join(table(spark, sf_dir, name), F.col(left_key) == F.col(right_key), "left")
+    of_dimensions = _dimension_expressions()
+    expressions |= {name: of_dimensions[name] for name in wanted if name in of_dimensions}
 
     needs_calendar = bool(_CALENDAR_COLUMNS & set(wanted))
     kept = [name for name in expressions if name in wanted or (needs_calendar and name == "date")]
     facts = orders.select(*[expressions[name].alias(name) for name in kept])
     if needs_calendar:
-        facts = integrate_calendar(facts, calendar(spark))
+        facts = integrate_calendar(facts, calendar(spark, sf_dir))
     return facts.select(*wanted)
 
 

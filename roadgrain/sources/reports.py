@@ -51,15 +51,23 @@ def parse_metrics(reports: DataFrame, key: str = "report", text: str = "text") -
 
 
 def parse_matrices(reports: DataFrame, key: str = "report", text: str = "text") -> DataFrame:
-    """The confusion block of each report as a dense matrix, three rows per report.
+    """The first confusion block of each report as a dense matrix, three rows per report.
 
-    A report without the block gives no rows.
+    A block ends at the first blank line. A report without a block, or with an empty one, gives
+    one row with nothing but the key and the ``problem``: missing or empty.
     """
-    block = F.element_at(F.split(F.col(text), MATRIX_HEADER, 2), 2)
+    rest = F.try_element_at(F.split(F.col(text), MATRIX_HEADER, 2), F.lit(2))
+    block = F.try_element_at(F.split(F.regexp_replace(rest, r"^[^\n]*\n", ""), r"(?m)^[ \t\r]*$", 2), F.lit(1))
     lines = F.regexp_extract_all(block, F.lit(r"(?m)^\s*([A-Za-z]+,[A-Za-z]+,\d+)\s*$"), 1)
+    found = reports.select(
+        key,
+        F.coalesce(lines, F.array().cast("array<string>")).alias("lines"),
+        F.when(~F.coalesce(F.col(text).contains(MATRIX_HEADER), F.lit(False)), "missing")
+        .when(F.size(lines) == 0, "empty")
+        .alias("problem"),
+    )
     cells = (
-        reports.where(F.col(text).contains(MATRIX_HEADER))
-        .select(key, F.explode(lines).alias("line"))
+        found.select(key, F.explode("lines").alias("line"))
         .select(key, F.split("line", ",").alias("cell"))
         .select(
             key,
@@ -68,7 +76,8 @@ def parse_matrices(reports: DataFrame, key: str = "report", text: str = "text")
             F.col("cell")[2].try_cast("bigint").alias("count"),
         )
     )
-    return dense_matrix(cells, S.CLASSES_ALPHABETIC, key)
+    matrix = dense_matrix(cells, S.CLASSES_ALPHABETIC, key).withColumn("problem", F.lit(None).cast("string"))
+    return matrix.unionByName(found.where("problem IS NOT NULL").select(key, "problem"), allowMissingColumns=True)
 
 
 def _json_field(text: str, *path: str):

@@ -100,8 +100,3 @@ def test_other_specification_is_refused(trained):
     assert [name for name, ok in conditions.items() if not ok] == ["native_model_flag", "cutoff_date"]
     with pytest.raises(ValueError, match="native_model_flag, cutoff_date"):
         specs.require_spec(conditions)
-
-
-def test_identifiers_are_refused_as_categories(data):
-    with pytest.raises(ValueError, match="Too many distinct values"):
-        T.require_few_categories(data.withColumn("corridor", F.col("obs_id").cast("string")), limit=100)

@@ -12,7 +12,7 @@ from roadgrain.plans.runs import integrate
 from roadgrain.session import fresh_path, shared_folder
 from roadgrain.sources import files, reports, synthetic
 from roadgrain.sources.given import calendar, observations, raw_observations
-from tests.conftest import values
+from tests.conftest import SF_DIR, values
 
 RAW_HEADER = ",".join(S.RAW_SCHEMA.names)
 RAW_LINE = "2024-01-06,Hebbal,Ballari Road,{volume},30.5,1.2,{level},50,1,2,3,4,5,6,Rain,No"
@@ -110,7 +110,7 @@ def test_integration_from_files(spark, sf_dir, tmp_path):
     raw = raw_observations(spark, sf_dir)
     names = [f"`{n}`" for n in S.RAW_SCHEMA.names]
     raw_path = files.write_stage(raw, str(tmp_path / "raw"), names, "csv")
-    calendar_path = files.write_stage(calendar(spark), str(tmp_path / "cal"), S.CALENDAR_SCHEMA.names, "csv")
+    calendar_path = files.write_stage(calendar(spark, SF_DIR), str(tmp_path / "cal"), S.CALENDAR_SCHEMA.names, "csv")
     integrated = integrate(spark, raw_path, calendar_path)
     assert integrated.schema.simpleString() == S.INTEGRATED_SCHEMA.simpleString()
     assert files.same_content(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS), integrated)
@@ -156,7 +156,38 @@ def test_reports_in_a_folder(spark, tmp_path):
     assert problems[("c.txt", "Accuracy")] == (None, "missing")
     matrix = reports.parse_matrices(found).where("report = 'a.txt'")
     assert values(matrix, "actual_class", "High", "Low", "Medium") == [("High", 900, 0, 46), ("Low", 0, 359, 0), ("Medium", 0, 0, 0)]
-    assert sorted({r for r, *_ in values(reports.parse_matrices(found))}) == ["a.txt", "b.txt"]
+    problems = dict(values(reports.parse_matrices(found).where("problem IS NOT NULL"), "report", "problem"))
+    assert problems == {"c.txt": "missing"}
+    assert sorted({r for r, *_ in values(reports.parse_matrices(found))}) == ["a.txt", "b.txt", "c.txt"]
+
+
+def test_only_the_first_block_of_a_report_counts(spark):
+    block = reports.MATRIX_HEADER + "\nHigh,High,{}\n\n"
+    frame = spark.createDataFrame([("two", block.format(5) + block.format(7)), ("bare", reports.MATRIX_HEADER), ("none", None)], "report string, text string")
+    found = values(reports.parse_matrices(frame), "report", "actual_class", "High", "problem")
+    assert sorted(found, key=repr) == sorted(
+        [("two", "High", 5, None), ("two", "Low", 0, None), ("two", "Medium", 0, None), ("bare", None, None, "empty"), ("none", None, None, "missing")],
+        key=repr,
+    )
+
+
+def test_the_calendar_covers_the_years_of_the_facts(spark, tmp_path):
+    days = spark.sql("SELECT * FROM VALUES (1L, '1985-01-26'), (2L, '2035-08-15'), (3L, '2035-08-16') AS t(id, day)")
+    days.selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "1D AS o_totalprice",
+        "CAST(day AS timestamp_ntz) AS o_orderdate", "'x' AS o_orderpriority",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    flags = observations(spark, str(tmp_path), "obs_id", "holiday_flag")
+    assert sorted(values(flags)) == [(1, True), (2, True), (3, False)]
+
+
+def test_fingerprint_tells_cells_and_schemas_apart(spark):
+    one = spark.createDataFrame([("a|vb", "c")], "x string, y string")
+    other = spark.createDataFrame([("a", "b|vc")], "x string, y string")
+    assert not files.same_content(one, other)
+    assert files.fingerprint(one).first() != files.fingerprint(one.withColumnRenamed("y", "z")).first()
+    number = spark.createDataFrame([(1,)], "x int")
+    assert files.fingerprint(number).first() != files.fingerprint(number.select(number.x.cast("string"))).first()
 
 
 def test_specifications(spark):
@@ -225,7 +256,7 @@ def test_generated_tolls(spark, half_year):
 
 
 def test_given_calendar_has_unique_dates(spark):
-    dates = calendar(spark)
+    dates = calendar(spark, SF_DIR)
     assert dates.count() == dates.select("date").distinct().count()
 
 
