@@ -22,7 +22,7 @@ from roadgrain.llm.common import bounded, held_out, in_arrow, logistic, small, s
 #: Bounds of the sample and of the vocabulary.
 PER_DOMAIN = 4_000
 BUCKETS = 1 << 16
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 APART = 4.0
 ROUNDS = 30
 TOLERANCE = 1e-6
@@ -45,16 +45,24 @@ class Buckets(dict):
 
     def __init__(self, kept: np.ndarray | None = None):
         self.kept = None if kept is None else set(kept.tolist())
+        self.units: dict[bytes, int] = {}  # the first letters and marks, far fewer than words
+
+    def _bucket(self, unit: bytes) -> int:
+        if unit not in self.units:
+            if len(self.units) > REMEMBERED:
+                self.units.clear()
+            self.units[unit] = xxhash.xxh3_64_intdigest(unit) % BUCKETS
+        return self.units[unit]
 
     def __missing__(self, piece: bytes) -> tuple[int, ...]:
         if len(self) > REMEMBERED:
             self.clear()
         word = piece.translate(None, _MARKS).lower()
         marks = piece.translate(None, _LETTERS)
-        own = [b"=" + word, b"4" + word[:4], b"6" + word[:6], b"." + marks]
+        buckets = [xxhash.xxh3_64_intdigest(b"=" + word) % BUCKETS]
+        buckets += map(self._bucket, (b"4" + word[:4], b"6" + word[:6], b"." + marks))
         if len(piece) > 2 and piece.isupper():
-            own.append(b"capitals")
-        buckets = [xxhash.xxh3_64_intdigest(u) % BUCKETS for u in own]
+            buckets.append(self._bucket(b"capitals"))
         own = self[piece] = tuple(b for b in buckets if self.kept is None or b in self.kept)
         return own
 
