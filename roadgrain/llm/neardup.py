@@ -12,6 +12,10 @@
    of all runs are candidates of every row of the region.
 4. Candidate pairs that pass the length bound are confirmed on the full sets.
 5. Components come from rounds of star contraction; each round is a written table.
+6. Large regions whose rows are still in several components are compared whole: the rows outside
+   the region's largest component, in packs of about ``PACK`` rows, meet every pack of the region.
+   Pairs of different components whose signatures agree in at least ``WHOLE`` of their values are
+   confirmed on the full sets too, so no link depends on a number of partners.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ NEAR = 7
 RUN = 2_000
 PARTNERS = 6
 FLOOR = 0.55
+WHOLE = 0.5
+PACK = 512
 SALTS = 32
 
 _seeds = np.random.default_rng(20_240_229)
@@ -232,8 +238,8 @@ def _deeper(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return in_arrow(rows.repartitionByRange(*order).sortWithinPartitions(*order), look, _FOUND)
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a < b) of classes with rep, n and sig."""
+def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a < b) of classes with rep, n and sig; and tree, region, rep of large regions."""
     found = staged(_neighbours(_planted(classes), percent), "forest")
     members = found.where("kind = 'deep'").select("tree", "region", F.col("a").alias("rep"))
     deeper = staged(_deeper(members, classes, percent), "forest-deep")
@@ -251,7 +257,87 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
         .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
     )
     pairs = found.where("kind = 'pair'").select("a", "b").unionByName(deeper.where("kind = 'pair'").select("a", "b"))
-    return pairs.unionByName(spokes).distinct()
+    return pairs.unionByName(spokes).distinct(), members
+
+
+def _packed(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Packs (tree, region, pack, loose, packs, rows) of regions with more than one component.
+
+    Packs 0 to loose - 1 hold the rows outside the largest component, the others its rows. Rows are
+    spread by a hash, so a pack has about PACK rows however large its region.
+    """
+    named = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    named = staged(named.withColumn("root", F.coalesce("root", "rep")), "forest-named")
+    regions = (
+        named.groupBy("tree", "region", "root")
+        .agg(F.count("*").alias("n"))
+        .groupBy("tree", "region")
+        .agg(F.sum("n").alias("total"), F.max(F.struct("n", "root")).alias("main"))
+        .where("total > main.n")
+        .select(
+            "tree",
+            "region",
+            F.col("main.root").alias("main"),
+            F.ceil((F.col("total") - F.col("main.n")) / PACK).alias("loose"),
+            F.ceil(F.col("main.n") / PACK).alias("tight"),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+        )
+    )
+    spread = F.xxhash64("rep", F.lit(11))
+    return (
+        named.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+        .join(regions, ["tree", "region", "salt"])
+        .withColumn(
+            "pack",
+            F.when(F.col("root") == F.col("main"), F.col("loose") + F.pmod(spread, F.col("tight"))).otherwise(
+                F.pmod(spread, F.col("loose"))
+            ),
+        )
+        .withColumn("packs", F.col("loose") + F.col("tight"))
+        .join(classes, "rep")
+        .groupBy("tree", "region", "pack", "loose", "packs")
+        .agg(F.collect_list(F.struct("rep", "root", "n", "sig")).alias("rows"))
+    )
+
+
+def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of different components that share a region, each in the first tree where they do."""
+
+    def compare(batches):
+        for batch in batches:
+            for tree, one, other in zip(*(batch.column(c) for c in range(3))):
+                a, b = _sides(one), _sides(other)
+                agree = np.zeros((len(a[0]), len(b[0])), np.uint8)
+                known = np.zeros(agree.shape, bool)
+                equal = []
+                for f in range(FUNCTIONS):
+                    equal.append(a[3][:, f][:, None] == b[3][:, f][None, :])
+                    agree += equal[-1]
+                    if len(equal) == BASE:
+                        if f // BASE < tree.as_py():
+                            known |= np.logical_and.reduce(equal)
+                        equal = []
+                low, high = np.minimum(a[2][:, None], b[2][None, :]), np.maximum(a[2][:, None], b[2][None, :])
+                fits = (agree >= WHOLE * FUNCTIONS) & (100 * low >= percent * high) & (a[1][:, None] != b[1][None, :])
+                i, j = np.nonzero(fits & ~known)
+                if len(i):
+                    x, y = a[0][i], b[0][j]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
+                    )
+
+    # A loose pack meets itself, the loose packs after it and all packs of the largest component.
+    loose = packs.where("pack < loose").withColumn("other", F.explode(F.sequence("pack", F.col("packs") - 1)))
+    others = packs.select("tree", "region", F.col("pack").alias("other"), F.col("rows").alias("others"))
+    met = loose.join(others, ["tree", "region", "other"]).select("tree", "rows", "others")
+    return in_arrow(met, compare, "a long, b long").distinct()
+
+
+def _sides(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """rep, root, n and signatures of one pack."""
+    rep, root, n, sig = rows.values.flatten()
+    sigs = np.frombuffer(b"".join(sig.to_pylist()), ">u4").reshape(-1, FUNCTIONS)
+    return rep.to_numpy(), root.to_numpy(), n.to_numpy(), sigs
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -291,6 +377,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _linked(texts: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
+    """The candidate pairs that are links."""
+    wanted = small(staged(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted"), 16)
+    return confirmed(pairs, staged(_sets(texts, wanted, size), "sets"), percent)
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node (root) that the links (a, b) lead to; nodes without links are left out.
 
@@ -332,9 +424,14 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = SHINGLE
     groups = staged(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")), "classes")
     classes = linked.join(groups, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["rep", "d1", "d2"])
     classes = staged(classes.select("rep", "n", "sig"), "reps")
-    pairs = staged(candidates(classes, percent), "pairs")
-    wanted = small(staged(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted"), 16)
-    roots = components(confirmed(pairs, staged(_sets(texts, wanted, size), "sets"), percent))
+    pairs, members = candidates(classes, percent)
+    pairs = staged(pairs, "pairs")
+    roots = components(_linked(texts, pairs, percent, size))
+    packs = staged(_packed(members, classes, roots), "packs")
+    rest = staged(_whole_regions(packs, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(known.unionByName(_linked(texts, rest, percent, size)))
     named = (
         groups.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .where("members > 1 OR root IS NOT NULL")

@@ -76,6 +76,19 @@ def test_a_hub_with_distant_copies_larger_than_a_run(documents, prose, monkeypat
     assert len({c for _, c in expected.values()}) < 10
 
 
+@pytest.mark.parametrize("seed, pack", [(1, 512), (2, 512), (3, 7)])
+def test_links_among_many_closer_looking_strangers(documents, prose, monkeypatch, seed, pack):
+    """Pairs just above the threshold in a region of texts just below it: no best-partner list holds them all."""
+    monkeypatch.setattr(neardup, "PACK", pack)
+    base, rows = prose(seed, 300), []
+    for k in range(60):
+        own = edit(base, 0.02, 1000 * seed + k)
+        rows += [(2 * k, own), (2 * k + 1, edit(own, 0.028, 2000 * seed + k))]
+    expected = brute(rows)
+    assert len({c for _, c in expected.values()}) > 20
+    assert result(documents(*rows)) == expected
+
+
 def test_border_of_the_threshold(documents):
     # 11 shared of 15 shingles is below three quarters, 12 of 16 is on it.
     words = [f"a{k}" for k in range(18)]
