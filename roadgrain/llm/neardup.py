@@ -12,10 +12,11 @@
    of all runs are candidates of every row of the region.
 4. Candidate pairs that pass the length bound are confirmed on the full sets.
 5. Components come from rounds of star contraction; each round is a written table.
-6. Large regions whose rows are still in several components are compared whole: the rows outside
-   the region's largest component, in packs of about ``PACK`` rows, meet every pack of the region.
-   Pairs of different components whose signatures agree in at least ``WHOLE`` of their values are
-   confirmed on the full sets too, so no link depends on a number of partners.
+6. Large regions whose rows are still in several components are compared whole. Shingles that no
+   other text of such regions has bound what a text can share, which rules most texts out. The rest
+   outside the region's largest component, in packs of about ``PACK`` rows, meet every pack of the
+   region. Pairs of different components whose signatures agree in at least ``WHOLE`` of their values
+   are confirmed on the full sets too, so no link depends on a number of partners.
 """
 
 from __future__ import annotations
@@ -260,12 +261,8 @@ def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return pairs.unionByName(spokes).distinct(), members
 
 
-def _packed(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Packs (tree, region, pack, loose, packs, rows) of regions with more than one component.
-
-    Packs 0 to loose - 1 hold the rows outside the largest component, the others its rows. Rows are
-    spread by a hash, so a pack has about PACK rows however large its region.
-    """
+def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """tree, region, rep, root, main (the largest component) of regions with more than one component."""
     named = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = staged(named.withColumn("root", F.coalesce("root", "rep")), "forest-named")
     regions = (
@@ -274,29 +271,62 @@ def _packed(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFra
         .groupBy("tree", "region")
         .agg(F.sum("n").alias("total"), F.max(F.struct("n", "root")).alias("main"))
         .where("total > main.n")
-        .select(
-            "tree",
-            "region",
-            F.col("main.root").alias("main"),
-            F.ceil((F.col("total") - F.col("main.n")) / PACK).alias("loose"),
-            F.ceil(F.col("main.n") / PACK).alias("tight"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-        )
+        .select("tree", "region", F.col("main.root").alias("main"))
+    )
+    return staged(_with_region(named, regions), "unresolved")
+
+
+def _with_region(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """Rows joined to the one row of their region, salted, as one region may hold a third of all rows."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    return salted.join(regions.select("*", salts), ["tree", "region", "salt"]).drop("salt")
+
+
+def _able(rows: DataFrame, texts: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
+    """rep, n, sig, common of those rows whose texts can have a link at all.
+
+    common is the number of shingles that another of the texts has too; no intersection can be
+    larger. Shingles are told apart by 32 bits, which can only make common too large.
+    """
+    wanted = small(staged(rows.select("rep").distinct(), "unresolved-reps"), 16)
+    own = (
+        _sets(texts, wanted, size)
+        .select("rep", F.explode("s").alias("h"))
+        .groupBy(F.col("h").bitwiseAND(2**31 - 1).cast("int").alias("h"))
+        .agg(F.count("*").alias("copies"), F.min("rep").alias("rep"))
+        .where("copies = 1")
+        .groupBy("rep")
+        .agg(F.count("*").alias("own"))
+    )
+    common = F.col("n") - F.coalesce("own", F.lit(0))
+    held = classes.join(wanted, "rep", "left_semi").join(own, "rep", "left").withColumn("common", common)
+    return staged(held.where(100 * F.col("common") >= percent * F.col("n")).drop("own"), "able")
+
+
+def _packed(rows: DataFrame, able: DataFrame) -> DataFrame:
+    """Packs (tree, region, pack, loose, packs, rows) of the able rows of unresolved regions.
+
+    Packs 0 to loose - 1 hold the rows outside the largest component, the others its rows. Rows are
+    spread by a hash, so a pack has about PACK rows however large its region.
+    """
+    rows = staged(rows.join(able.select("rep"), "rep", "left_semi"), "able-rows")
+    outside = F.col("root") != F.col("main")
+    regions = (
+        rows.groupBy("tree", "region")
+        .agg(F.count_if(outside).alias("out"), F.count_if(~outside).alias("within"))
+        .where("out > 0 AND out + within > 1")
+        .select("tree", "region", F.ceil(F.col("out") / PACK).alias("loose"), F.ceil(F.col("within") / PACK).alias("tight"))
     )
     spread = F.xxhash64("rep", F.lit(11))
+    within = F.col("loose") + F.pmod(spread, F.greatest("tight", F.lit(1)))
     return (
-        named.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
-        .join(regions, ["tree", "region", "salt"])
-        .withColumn(
-            "pack",
-            F.when(F.col("root") == F.col("main"), F.col("loose") + F.pmod(spread, F.col("tight"))).otherwise(
-                F.pmod(spread, F.col("loose"))
-            ),
-        )
+        _with_region(rows, regions)
+        .withColumn("pack", F.when(outside, F.pmod(spread, F.col("loose"))).otherwise(within))
         .withColumn("packs", F.col("loose") + F.col("tight"))
-        .join(classes, "rep")
+        .join(able, "rep")
         .groupBy("tree", "region", "pack", "loose", "packs")
-        .agg(F.collect_list(F.struct("rep", "root", "n", "sig")).alias("rows"))
+        .agg(F.collect_list(F.struct("rep", "root", "n", "common", "sig")).alias("rows"))
     )
 
 
@@ -311,7 +341,7 @@ def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
                 known = np.zeros(agree.shape, bool)
                 equal = []
                 for f in range(FUNCTIONS):
-                    equal.append(a[3][:, f][:, None] == b[3][:, f][None, :])
+                    equal.append(a[4][:, f][:, None] == b[4][:, f][None, :])
                     agree += equal[-1]
                     if len(equal) == BASE:
                         if f // BASE < tree.as_py():
@@ -319,6 +349,8 @@ def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
                         equal = []
                 low, high = np.minimum(a[2][:, None], b[2][None, :]), np.maximum(a[2][:, None], b[2][None, :])
                 fits = (agree >= WHOLE * FUNCTIONS) & (100 * low >= percent * high) & (a[1][:, None] != b[1][None, :])
+                most = np.minimum(a[3][:, None], b[3][None, :])
+                fits &= (100 + percent) * most >= percent * (low + high)
                 i, j = np.nonzero(fits & ~known)
                 if len(i):
                     x, y = a[0][i], b[0][j]
@@ -333,11 +365,10 @@ def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
     return in_arrow(met, compare, "a long, b long").distinct()
 
 
-def _sides(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """rep, root, n and signatures of one pack."""
-    rep, root, n, sig = rows.values.flatten()
-    sigs = np.frombuffer(b"".join(sig.to_pylist()), ">u4").reshape(-1, FUNCTIONS)
-    return rep.to_numpy(), root.to_numpy(), n.to_numpy(), sigs
+def _sides(rows) -> tuple[np.ndarray, ...]:
+    """rep, root, n, common and signatures of one pack."""
+    *numbers, sig = rows.values.flatten()
+    return *(x.to_numpy() for x in numbers), np.frombuffer(b"".join(sig.to_pylist()), ">u4").reshape(-1, FUNCTIONS)
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -427,7 +458,8 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = SHINGLE
     pairs, members = candidates(classes, percent)
     pairs = staged(pairs, "pairs")
     roots = components(_linked(texts, pairs, percent, size))
-    packs = staged(_packed(members, classes, roots), "packs")
+    unresolved = _unresolved(members, roots)
+    packs = staged(_packed(unresolved, _able(unresolved, texts, classes, percent, size)), "packs")
     rest = staged(_whole_regions(packs, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
