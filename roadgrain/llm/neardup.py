@@ -14,9 +14,10 @@
 5. Components come from rounds of star contraction; each round is a written table.
 6. Large regions whose rows are still in several components are compared whole. Shingles that no
    other text of such regions has bound what a text can share, which rules most texts out. The rest
-   outside the region's largest component, in packs of about ``PACK`` rows, meet every pack of the
-   region. Pairs of different components whose signatures agree in at least ``WHOLE`` of their values
-   are confirmed on the full sets too, so no link depends on a number of partners.
+   outside the region's largest component, in packs of bounded size, meet every pack of the region
+   with their full sets. Pairs of different components whose signatures agree in at least ``WHOLE`` of
+   their values are confirmed there; one link of a row with a component is enough. So no link
+   depends on a number of partners.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ PARTNERS = 6
 FLOOR = 0.55
 WHOLE = 0.5
 PACK = 512
+PACK_SHINGLES = 250_000
 SALTS = 32
 
 _seeds = np.random.default_rng(20_240_229)
@@ -284,15 +286,15 @@ def _with_region(rows: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def _able(rows: DataFrame, texts: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
-    """rep, n, sig, common of those rows whose texts can have a link at all.
+    """rep, n, sig, common, s (the set) of those rows whose texts can have a link at all.
 
     common is the number of shingles that another of the texts has too; no intersection can be
     larger. Shingles are told apart by 32 bits, which can only make common too large.
     """
     wanted = small(staged(rows.select("rep").distinct(), "unresolved-reps"), 16)
+    sets = staged(_sets(texts, wanted, size), "unresolved-sets")
     own = (
-        _sets(texts, wanted, size)
-        .select("rep", F.explode("s").alias("h"))
+        sets.select("rep", F.explode("s").alias("h"))
         .groupBy(F.col("h").bitwiseAND(2**31 - 1).cast("int").alias("h"))
         .agg(F.count("*").alias("copies"), F.min("rep").alias("rep"))
         .where("copies = 1")
@@ -301,22 +303,32 @@ def _able(rows: DataFrame, texts: DataFrame, classes: DataFrame, percent: int, s
     )
     common = F.col("n") - F.coalesce("own", F.lit(0))
     held = classes.join(wanted, "rep", "left_semi").join(own, "rep", "left").withColumn("common", common)
-    return staged(held.where(100 * F.col("common") >= percent * F.col("n")).drop("own"), "able")
+    held = staged(held.where(100 * F.col("common") >= percent * F.col("n")).drop("own"), "able")
+    return staged(sets.join(held, "rep"), "able-sets")
 
 
 def _packed(rows: DataFrame, able: DataFrame) -> DataFrame:
     """Packs (tree, region, pack, loose, packs, rows) of the able rows of unresolved regions.
 
     Packs 0 to loose - 1 hold the rows outside the largest component, the others its rows. Rows are
-    spread by a hash, so a pack has about PACK rows however large its region.
+    spread by a hash, so a pack has about PACK rows and PACK_SHINGLES shingles at most, however large its region.
     """
-    rows = staged(rows.join(able.select("rep"), "rep", "left_semi"), "able-rows")
+    rows = staged(rows.join(able.select("rep", "n"), "rep"), "able-rows")
     outside = F.col("root") != F.col("main")
+
+    def packs(side: str):
+        return F.greatest(F.ceil(F.col(side) / PACK), F.ceil(F.col(side + "_n") / PACK_SHINGLES))
+
     regions = (
         rows.groupBy("tree", "region")
-        .agg(F.count_if(outside).alias("out"), F.count_if(~outside).alias("within"))
+        .agg(
+            F.count_if(outside).alias("out"),
+            F.count_if(~outside).alias("within"),
+            F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("out_n"),
+            F.coalesce(F.sum(F.when(~outside, F.col("n"))), F.lit(0)).alias("within_n"),
+        )
         .where("out > 0 AND out + within > 1")
-        .select("tree", "region", F.ceil(F.col("out") / PACK).alias("loose"), F.ceil(F.col("within") / PACK).alias("tight"))
+        .select("tree", "region", packs("out").alias("loose"), packs("within").alias("tight"))
     )
     spread = F.xxhash64("rep", F.lit(11))
     within = F.col("loose") + F.pmod(spread, F.greatest("tight", F.lit(1)))
@@ -324,14 +336,15 @@ def _packed(rows: DataFrame, able: DataFrame) -> DataFrame:
         _with_region(rows, regions)
         .withColumn("pack", F.when(outside, F.pmod(spread, F.col("loose"))).otherwise(within))
         .withColumn("packs", F.col("loose") + F.col("tight"))
+        .drop("n")
         .join(able, "rep")
         .groupBy("tree", "region", "pack", "loose", "packs")
-        .agg(F.collect_list(F.struct("rep", "root", "n", "common", "sig")).alias("rows"))
+        .agg(F.collect_list(F.struct("rep", "root", "n", "common", "sig", "s")).alias("rows"))
     )
 
 
 def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of different components that share a region, each in the first tree where they do."""
+    """Links (a < b) of rows of different components that share a region; one of a row with a component."""
 
     def compare(batches):
         for batch in batches:
@@ -351,9 +364,16 @@ def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
                 fits = (agree >= WHOLE * FUNCTIONS) & (100 * low >= percent * high) & (a[1][:, None] != b[1][None, :])
                 most = np.minimum(a[3][:, None], b[3][None, :])
                 fits &= (100 + percent) * most >= percent * (low + high)
-                i, j = np.nonzero(fits & ~known)
-                if len(i):
-                    x, y = a[0][i], b[0][j]
+                found, joined = [], set()
+                for i, j in zip(*np.nonzero(fits & ~known)):
+                    if (i, b[1][j]) in joined:
+                        continue
+                    both = len(np.intersect1d(a[5][i], b[5][j], assume_unique=True))
+                    if 100 * both >= percent * (a[2][i] + b[2][j] - both):
+                        joined.add((i, b[1][j]))
+                        found.append((a[0][i], b[0][j]))
+                if found:
+                    x, y = np.array(found, np.int64).T
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
                     )
@@ -366,9 +386,10 @@ def _whole_regions(packs: DataFrame, percent: int) -> DataFrame:
 
 
 def _sides(rows) -> tuple[np.ndarray, ...]:
-    """rep, root, n, common and signatures of one pack."""
-    *numbers, sig = rows.values.flatten()
-    return *(x.to_numpy() for x in numbers), np.frombuffer(b"".join(sig.to_pylist()), ">u4").reshape(-1, FUNCTIONS)
+    """rep, root, n, common, signatures and sets of one pack."""
+    *numbers, sig, sets = rows.values.flatten()
+    sigs = np.frombuffer(b"".join(sig.to_pylist()), ">u4").reshape(-1, FUNCTIONS)
+    return *(x.to_numpy() for x in numbers), sigs, [s.values.to_numpy() for s in sets]
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -460,10 +481,10 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = SHINGLE
     roots = components(_linked(texts, pairs, percent, size))
     unresolved = _unresolved(members, roots)
     packs = staged(_packed(unresolved, _able(unresolved, texts, classes, percent, size)), "packs")
-    rest = staged(_whole_regions(packs, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = staged(_whole_regions(packs, percent), "rest")
     if not rest.isEmpty():
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(known.unionByName(_linked(texts, rest, percent, size)))
+        roots = components(known.unionByName(rest))
     named = (
         groups.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .where("members > 1 OR root IS NOT NULL")
