@@ -96,6 +96,15 @@ def is_finite(value: Column) -> Column:
     )
 
 
+def decimal_number(cell: Column) -> Column:
+    """Text to double if it is written as a decimal number, ``nan`` or an infinity; else null.
+
+    A cast alone also takes type suffixes and hexadecimal forms (``12.5d``, ``0x1p3``).
+    """
+    shape = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+    return F.when(cell.rlike(shape), cell.try_cast("double"))
+
+
 def in_range(value: Column, low: float, high: float) -> Column:
     return F.coalesce(is_finite(value) & value.between(low, high), F.lit(False))
 

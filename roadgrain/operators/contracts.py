@@ -11,12 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from roadgrain.functions.derive import is_finite
+from roadgrain.functions.derive import decimal_number, is_finite
 from roadgrain.functions.text import strip
 from roadgrain.operators.rows import unfold
 from roadgrain.schemas import CLASSES
 
 ISSUE_TYPE = "array<struct<issue:string,column_name:string,cell:string>>"
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ class Cell:
         if self.kind == "int":
             return cell.try_cast("bigint")
         if self.kind == "float":
-            return cell.try_cast("double")
+            return decimal_number(cell)
         if self.kind == "date":
             parsed = cell.try_cast("date")
             return F.when(parsed.cast("string") == cell, parsed)
@@ -185,8 +186,8 @@ def check_rows(cells: DataFrame, contract: Contract, malformed: str | None = Non
     """Add ``issues`` to every row of text cells.
 
     ``malformed`` names a column that holds the raw line when the reader met a wrong
-    number of fields. Repeated keys are found with a group-by and joined back, so one
-    very frequent key is merged before the shuffle.
+    number of fields. Repeated keys are found with a group-by that merges before its shuffle;
+    the rows meet them by key and a salt, so one very frequent key is spread over ``SALTS`` tasks.
     """
     require_columns([name for name in cells.columns if name != malformed], contract)
     columns = cells.columns
@@ -202,9 +203,14 @@ def check_rows(cells: DataFrame, contract: Contract, malformed: str | None = Non
     if contract.key:
         key = F.col(f"`{contract.key}`")
         repeated = (
-            cells.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1 AND _key <> ''")
+            cells.groupBy(key.alias("_key"))
+            .agg(F.count(F.lit(1)).alias("_copies"))
+            .where("_copies > 1 AND _key <> ''")
+            .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         )
-        cells = cells.join(repeated, key == F.col("_key"), "left")
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in columns]), F.lit(SALTS)).cast("int")
+        cells = cells.withColumn("_salt", salt)
+        cells = cells.join(repeated, (key == F.col("_key")) & (F.col("_salt") == F.col("_slot")), "left")
         columns = [*columns, "_copies"]
         if not contract.blank_is_missing:
             found.append(issue(F.when(key == "", "empty key"), contract.key))
@@ -338,11 +344,15 @@ def raw_file_findings(cells: DataFrame, wanted: RawFile) -> DataFrame:
 def raw_file_profile(cells: DataFrame, wanted: RawFile) -> DataFrame:
     """One row: row count, first and last time, and the sorted values of each category as text."""
     categories = [name for name in wanted.categories if name in cells.columns]
-    return cells.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min(wanted.time()).cast("string").alias("minimum_time"),
-        F.max(wanted.time()).cast("string").alias("maximum_time"),
-        *[F.count_distinct(F.col(name)).alias(f"{name}_values") for name in categories],
+    # Rows are merged by hash to the combinations of category values, which are few.
+    merged = cells.groupBy(*[F.col(f"`{name}`") for name in categories]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(wanted.time()).alias("_first"), F.max(wanted.time()).alias("_last")
+    )
+    return merged.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
+        F.min("_first").cast("string").alias("minimum_time"),
+        F.max("_last").cast("string").alias("maximum_time"),
+        *[F.concat_ws(", ", F.array_sort(F.collect_set(F.col(f"`{name}`")))).alias(f"{name}_values") for name in categories],
     )
 
 

@@ -125,7 +125,7 @@ def advisory_checks(source: DataFrame, advisories: DataFrame, key: list[str], ou
             "holiday_context_rule": F.col("holiday") == 0,
             "roadwork_context_rule": F.col("roadwork") == 0,
             "adverse_weather_context_rule": F.col("weather") == 0,
-            "expected_output_columns": F.lit(set(S.ADVISORY_COLUMNS) <= set(advisories.columns)),
+            "expected_output_columns": F.lit(set(S.ADVISORY_COLUMNS) == set(advisories.columns) - (set(key) - set(S.ADVISORY_COLUMNS))),
             "output_exists": F.lit(output_exists),
         },
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadgrain import schemas as S
-from roadgrain.functions.derive import in_range
+from roadgrain.functions.derive import decimal_number, in_range
 from roadgrain.functions.text import is_meaningful_query, normal_name, primary_place_name, query_key, strip
 from roadgrain.operators.rows import unfold
 
@@ -22,8 +22,8 @@ def clean_suggestions(answers: DataFrame, column: str = "response") -> DataFrame
         *others,
         (F.col("pos") + 1).alias("position"),
         F.col("entry.display_name").alias("display_name"),
-        F.col("entry.lat").try_cast("double").alias("lat"),
-        F.col("entry.lon").try_cast("double").alias("lon"),
+        decimal_number(F.col("entry.lat")).alias("lat"),
+        decimal_number(F.col("entry.lon")).alias("lon"),
     )
     return located.where(
         in_range(F.col("lat"), -90, 90)
@@ -35,7 +35,8 @@ def clean_suggestions(answers: DataFrame, column: str = "response") -> DataFrame
 def first_places(answers: DataFrame, query: str = "query", column: str = "response") -> DataFrame:
     """First result per search; the name defaults to the query text.
 
-    ``error`` is set for a blank query, an empty answer or unusable coordinates.
+    ``error`` is set for a blank query, an empty answer, unreadable coordinates
+    (``GEOCODING_SERVICE_ERROR``) or coordinates out of range (``INVALID_GEOCODING_RESPONSE``).
     """
     others = [name for name in answers.columns if name not in (query, column)]
     clean = strip(F.col(query))
@@ -45,12 +46,13 @@ def first_places(answers: DataFrame, query: str = "query", column: str = "respon
         "query",
         F.col("entry").isNotNull().alias("found"),
         F.coalesce("entry.display_name", "query").alias("display_name"),
-        F.col("entry.lat").try_cast("double").alias("lat"),
-        F.col("entry.lon").try_cast("double").alias("lon"),
+        decimal_number(F.col("entry.lat")).alias("lat"),
+        decimal_number(F.col("entry.lon")).alias("lon"),
     )
     error = (
         F.when(F.coalesce("query", F.lit("")) == "", "EMPTY_QUERY")
         .when(~F.col("found"), "LOCATION_NOT_FOUND")
+        .when(F.col("lat").isNull() | F.col("lon").isNull(), "GEOCODING_SERVICE_ERROR")
         .when(
             ~(in_range(F.col("lat"), -90, 90) & in_range(F.col("lon"), -180, 180)), "INVALID_GEOCODING_RESPONSE"
         )

@@ -210,7 +210,7 @@ def route_bounds(spark, sf_dir):
 # ------------------------------------------------------------------ place answers
 _PLACES_SQL = """pl AS (SELECT p_partkey AS k, p_name AS n, p_brand AS b, p_size AS z FROM part),
   e AS (SELECT k, CAST(1 AS INTEGER) AS position, CASE WHEN k % 9 = 0 THEN '   ' ELSE n || ', ' || b END AS display_name,
-      CASE WHEN k % 7 = 0 THEN 'north' WHEN k % 11 = 0 THEN '91.5' ELSE CAST(k % 90 AS VARCHAR) || '.25' END AS lat,
+      CASE WHEN k % 7 = 0 THEN 'north' WHEN k % 10 = 3 THEN '12.5d' WHEN k % 10 = 6 THEN '0x1p3' WHEN k % 11 = 0 THEN '91.5' ELSE CAST(k % 90 AS VARCHAR) || '.25' END AS lat,
       CAST(k % 180 AS VARCHAR) || '.5' AS lon FROM pl
     UNION ALL SELECT k, 2, CASE WHEN k % 5 <> 0 THEN b || ' yard' END, '-' || (k % 80), '-' || (k % 170) || '.75' FROM pl
     UNION ALL SELECT k, 3, n || ' gate', '12.5', CASE WHEN k % 13 <> 0 THEN '77.5' END FROM pl)"""
@@ -223,7 +223,7 @@ def _place_answers(spark, sf_dir) -> DataFrame:
         return F.struct(lat.alias("lat"), lon.alias("lon"), name.alias("display_name"))
 
     first = entry(
-        F.when(key % 7 == 0, "north").when(key % 11 == 0, "91.5").otherwise(F.concat(key % 90, F.lit(".25"))),
+        F.when(key % 7 == 0, "north").when(key % 10 == 3, "12.5d").when(key % 10 == 6, "0x1p3").when(key % 11 == 0, "91.5").otherwise(F.concat(key % 90, F.lit(".25"))),
         F.concat(key % 180, F.lit(".5")),
         F.when(key % 9 == 0, "   ").otherwise(F.concat("p_name", F.lit(", "), "p_brand")),
     )
@@ -255,7 +255,7 @@ def clean_suggestions(spark, sf_dir):
     f"WITH {_PLACES_SQL}, q AS (SELECT k, CASE WHEN k % 17 = 0 THEN '' ELSE n END AS query, display_name, TRY_CAST(lat AS DOUBLE) AS lat, "
     "TRY_CAST(lon AS DOUBLE) AS lon FROM e JOIN pl USING (k) WHERE position = 1), "
     "j AS (SELECT *, CASE WHEN query = '' THEN 'EMPTY_QUERY' WHEN k % 19 = 0 THEN 'LOCATION_NOT_FOUND' "
-    "WHEN NOT coalesce(lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180, false) THEN 'INVALID_GEOCODING_RESPONSE' END AS error FROM q) "
+    "WHEN lat IS NULL OR lon IS NULL THEN 'GEOCODING_SERVICE_ERROR' WHEN NOT coalesce(lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180, false) THEN 'INVALID_GEOCODING_RESPONSE' END AS error FROM q) "
     "SELECT k AS search_id, query, CASE WHEN error IS NULL THEN display_name END AS display_name, "
     "CASE WHEN error IS NULL THEN lat END AS lat, CASE WHEN error IS NULL THEN lon END AS lon, error FROM j",
 )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgrain import schemas as S
+from roadgrain.functions.derive import decimal_number
 from roadgrain.operators.rows import unfold
 from roadgrain.operators.scoring import dense_matrix
 
@@ -47,7 +48,7 @@ def parse_metrics(reports: DataFrame, key: str = "report", text: str = "text") -
         for name, pattern in METRIC_PATTERNS.items()
     ]
     found = unfold(reports, rows, key)
-    return _judged(found, F.col("found") == "", F.col("found"), F.col("found").try_cast("double")).drop("found")
+    return _judged(found, F.col("found") == "", F.col("found"), decimal_number(F.col("found"))).drop("found")
 
 
 def parse_matrices(reports: DataFrame, key: str = "report", text: str = "text") -> DataFrame:
@@ -89,7 +90,7 @@ def parse_spec_metrics(specs: DataFrame, key: str = "spec", text: str = "text")
     """Rows (key, metric, value, problem) from the ``evaluation`` part of JSON specifications."""
     rows = [{"metric": F.lit(name), "found": _json_field(text, "evaluation", name)} for name in S.METRIC_NAMES]
     found = unfold(specs, rows, key)
-    return _judged(found, F.col("found").isNull(), F.col("found"), F.col("found").try_cast("double")).drop("found")
+    return _judged(found, F.col("found").isNull(), F.col("found"), decimal_number(F.col("found"))).drop("found")
 
 
 def parse_importances(specs: DataFrame, key: str = "spec", text: str = "text") -> DataFrame:

@@ -113,3 +113,10 @@ def test_localised_query(rows):
     data = rows("q string", ("Kor",), ("Kor, BANGALORE",), ("bengaluru north",))
     got = values(data.select(X.localised_query(F.col("q"), S.CITY_SPELLINGS, S.CITY_SUFFIX)))
     assert got == [("Kor, Bengaluru, Karnataka, India",), ("Kor, BANGALORE",), ("bengaluru north",)]
+
+
+def test_decimal_numbers(rows):
+    good = {"12.5": 12.5, " -3 ": -3.0, ".5": 0.5, "7.": 7.0, "1e3": 1000.0, "+2E-1": 0.2}
+    bad = ["12.5d", "3f", "0x1p3", "abc", "", "1,5", "e3", "--1", None]
+    data = rows("cell string", *[(cell,) for cell in [*good, *bad]])
+    assert dict(values(data.select("cell", D.decimal_number(F.col("cell"))))) == {**good, **dict.fromkeys(bad)}
