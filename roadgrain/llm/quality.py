@@ -83,7 +83,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_cla
     if len(totals) < 2:
         return Model(prior=float(max(totals, default=0.5)))
     start = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.greatest(F.lit(1), F.length("text") - WINDOW_CHARS + 1)) + 1
-    windows = sample.select("y", "half", F.substr("text", start.cast("int"), F.lit(WINDOW_CHARS)).alias("w"))
+    window = F.substr(F.coalesce("text", F.lit("")), start.cast("int"), F.lit(WINDOW_CHARS))  # a null text is empty
+    windows = sample.select("y", "half", window.alias("w"))
     windows = windows.limit(4 * per_class).collect()
 
     def built(y: int, halves: tuple[int, ...]) -> bytes:

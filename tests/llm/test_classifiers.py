@@ -61,6 +61,17 @@ def test_nothing_to_learn_and_awkward_texts(spark, documents, module, empty):
     assert module.scored(documents(), module.fit(texts, both)).count() == 0
 
 
+@pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
+def test_labelled_null_and_empty_texts_beside_both_classes(spark, documents, module, label):
+    awkward = {i: None if i % 3 else "" for i in range(40, 60)}
+    assert {(t, i % 2) for i, t in awkward.items() if not is_held_out(i)} == {(None, 0), (None, 1), ("", 0), ("", 1)}
+    texts = documents(*((i, ("good prose here " if i % 2 else "bad ### *** ") * 9) for i in range(40)), *awkward.items())
+    known = spark.createDataFrame([(i, i % 2) for i in range(60)], f"doc_id long, {label} int")
+    scored = {r["doc_id"]: r["score"] for r in module.scored(texts, module.fit(texts, known)).collect()}
+    assert len(scored) == 60 and all(0 <= score <= 1 for score in scored.values())
+    assert len({scored[i] for i in awkward}) == 1
+
+
 def test_language_held_out_accuracy(spark):
     rows = op4_language(spark, MIDDLE).collect()
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang").collect()}
