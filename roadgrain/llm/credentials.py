@@ -52,7 +52,7 @@ def _found(text: Column, kind: str) -> Column:
 
 
 def candidates(documents: DataFrame, repository: str = "source") -> DataFrame:
-    """Per distinct (doc_id, text): repository and ``found``, all matches of all kinds. A null text is empty."""
+    """For each row: doc_id, digest of the text, repository and ``found``, all matches of all kinds. A null text is empty."""
     text = F.coalesce("text", F.lit(""))
     rows = documents.select("doc_id", F.col(repository).alias("repository"), text.alias("text"))
     nothing = F.array().cast("array<struct<kind:string,gap:int,size:int,inner:int,hash:string>>")
@@ -61,8 +61,11 @@ def candidates(documents: DataFrame, repository: str = "source") -> DataFrame:
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """A row for each match that counts: doc_id, digest, repository, kind, start, end, hash (code points, end exclusive)."""
-    matches = found.select(
+    """A row for each match that counts: doc_id, digest, repository, kind, start, end, hash (code points, end exclusive).
+
+    Repeated rows are merged first: ends are running sums over the places of one text.
+    """
+    matches = found.distinct().select(
         "doc_id", "digest", "repository", F.posexplode("found").alias("place", "m")
     ).select("doc_id", "digest", "repository", "place", "m.*")
     so_far = Window.partitionBy("doc_id", "digest", "repository", "kind").orderBy("place")

@@ -154,6 +154,18 @@ def test_ownership_parts_examples_from_live_values(spark):
     assert credentials.secrets(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").limit(0)).count() == 0
 
 
+def test_repeated_rows_have_the_spans_of_one(spark):
+    once = "key: password=abcdef12 then AKIA" + "A1" * 8 + " x secret: zyxwvu98 " + "q7" * 15
+    twice = "api_key = 0123456789 " + "k9" * 14
+    rows = [(1, once, "a")] * 3 + [(2, twice, "a"), (2, twice, "b"), (2, twice, "b"), (2, twice, None), (2, twice, None), (2, once, "a")]
+    ddl = "doc_id long, text string, source string"
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "n_live", "n_examples", "base", "spans"]
+    found = rows_of(credentials.secrets(spark.createDataFrame(rows, ddl)), *names)
+    single = [(1, once, "a"), (2, twice, "a"), (2, once, "a")]
+    assert found == rows_of(credentials.secrets(spark.createDataFrame(single, ddl)), *names)
+    assert sorted(r[6] for r in found) == sorted(",".join(base_spans(t)) for _, t, _ in single)
+
+
 def test_secret_query_runs_no_python(spark, sf_dir):
     result = op8_secrets(spark, sf_dir)
     assert "Python" not in result._jdf.queryExecution().executedPlan().toString()
