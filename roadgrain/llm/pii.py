@@ -172,23 +172,44 @@ class Pseudonyms:
         """The text with all valid values replaced, and how many of each kind."""
         counts = dict.fromkeys(KINDS, 0)
 
-        def swap(found: re.Match) -> str:
-            kind = next(k for k in KINDS if k in found.re.groupindex and found[k] is not None)
-            value, rest = found[kind], ""
-            new = self.of(kind, value)
-            while new is None and kind == "iban" and " " in value:  # capitals that follow are not part of it
-                value, _, last = value.rpartition(" ")
-                rest = f" {last}{rest}"
+        def kind_of(found: re.Match) -> str:
+            return next(k for k in KINDS if k in found.re.groupindex and found[k] is not None)
+
+        def before_next(found: re.Match) -> re.Match | None:
+            """A telephone number that ran into a value of another kind, up to that value."""
+            inner = found
+            while (inner := inner.re.search(text, inner.start() + 1)) and inner.start() < found.end():
+                if kind_of(inner) != "phone" and self.of(kind_of(inner), inner[0]) is not None:
+                    shorter = found.re.match(text, found.start(), inner.start())
+                    if shorter and self.of("phone", shorter[0]) is not None:
+                        return shorter
+            return None
+
+        def swapped(pattern: re.Pattern) -> str:
+            parts, done, found = [], 0, pattern.search(text)
+            while found:
+                kind = kind_of(found)
+                value = found[kind]
                 new = self.of(kind, value)
-            if new is None:
-                return found[0]
-            counts[kind] += 1
-            return new + rest
+                if new is None and kind == "phone" and (shorter := before_next(found)):
+                    value = shorter[0]
+                    new = self.of(kind, value)
+                while new is None and kind == "iban" and " " in value:  # capitals that follow are not part of it
+                    value = value.rpartition(" ")[0]
+                    new = self.of(kind, value)
+                at = found.start() + 1  # what is inside a rejected match, or behind a trimmed one, is read again
+                if new is not None:
+                    counts[kind] += 1
+                    at = found.start(kind) + len(value)
+                    parts += text[done : found.start(kind)], new
+                    done = at
+                found = pattern.search(text, at)
+            return "".join([*parts, text[done:]])
 
         if _HAS_DIGIT.search(text):
-            text = _DIGIT_PATTERN.sub(swap, text)
+            text = swapped(_DIGIT_PATTERN)
         if "@" in text:
-            text = _MAIL_PATTERN.sub(swap, text)
+            text = swapped(_MAIL_PATTERN)
         return text, counts
 
 

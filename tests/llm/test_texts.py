@@ -51,6 +51,28 @@ def test_values_keep_their_format_and_validity():
     assert own.text(text) == pii.Pseudonyms(b"key").text(text) != pii.Pseudonyms(b"other").text(text)
 
 
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        ("order PO12 4111 1111 1111 1111 sent", {"card": 1}),
+        ("BE68 5390 0754 7034 4111 1111 1111 1111", {"iban": 1, "card": 1}),
+        ("AB12 CDEF BE68 5390 0754 7034 PO12 4111 1111 1111 1111 AND MORE", {"iban": 1, "card": 1}),
+        ("+12 34 4111 1111 1111 1111", {"card": 1}),
+        ("PO12 4111 1111 1111 1112", {}),
+        ("call +1 (826) 555-4081 190.137.223.204 now", {"phone": 1, "ip": 1}),
+        ("call +1 (826) 555-4081 4111 1111 1111 1111 now", {"phone": 1, "card": 1}),
+    ],
+)
+def test_values_inside_rejected_and_behind_trimmed_matches(text, kinds):
+    own = pii.Pseudonyms(b"key")
+    expected = text
+    values = {"card": "4111 1111 1111 1111", "iban": "BE68 5390 0754 7034", "phone": "+1 (826) 555-4081", "ip": "190.137.223.204"}
+    for kind, value in values.items():
+        if kind in kinds:
+            expected = expected.replace(value, own.of(kind, value))
+    assert own.text(text) == (expected, dict.fromkeys(pii.KINDS, 0) | kinds)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="0123456789 .-/()+@aZ", max_size=60))
 def test_any_text_has_a_result(text):
