@@ -82,12 +82,15 @@ def numeric_summary(data: DataFrame, columns: list[str]) -> DataFrame:
 def feature_inspection(data: DataFrame) -> DataFrame:
     """Every candidate feature: group, availability, use, nulls and distinct values.
 
-    Rows (feature, feature_group, available, used, null_count, distinct_count).
+    Rows (feature, feature_group, available, used, null_count, distinct_count). Features that are listed as
+    unavailable without being candidates are the group ``unavailable``.
     """
     candidates = [(group, name) for group, names in S.FEATURE_CANDIDATES.items() for name in names]
+    named = {name for _, name in candidates}
+    candidates += [("unavailable", name) for name in S.UNAVAILABLE_FEATURES if name not in named]
     present = [name for _, name in candidates if name in data.columns]
-    numeric = [name for name in present if name in S.NUMERIC_MEASURES]
-    categories = [name for name in present if name not in numeric]
+    categories = [name for group, name in candidates if name in present and group in ("categorical", "temporal")]
+    numeric = [name for name in present if name not in categories]
     # Merge the rows into category combinations first; see distinct_counts.
     combinations = data.groupBy(*categories).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -106,11 +109,9 @@ def feature_inspection(data: DataFrame) -> DataFrame:
                 "feature": F.lit(name),
                 "feature_group": F.lit(group),
                 "available": F.lit(name in present),
-                "used": F.lit(name in present and name not in S.EXCLUDED_FEATURES),
+                "used": F.lit(name in present and name in S.FEATURES),
                 "null_count": F.col(f"nulls_{name}") if name in present else missing,
-                "distinct_count": F.col(f"values_{name}")
-                if name in present and name not in S.NUMERIC_MEASURES
-                else missing,
+                "distinct_count": F.col(f"values_{name}") if name in categories else missing,
             }
         )
     return unfold(totals, rows)

@@ -74,6 +74,24 @@ def surplus_duplicates(spark, sf_dir):
     return K.surplus_rows(observations(spark, sf_dir, "date", "corridor", S.TARGET))
 
 
+_ALL_COLUMNS_SQL = (
+    "date, area, road_intersection, corridor, traffic_volume, average_speed, travel_time_index, congestion_level, "
+    "congestion_class, weather, roadwork, day_of_week, day_type, festival_flag, festival_name, holiday_flag"
+)
+
+
+@query(
+    "K3_surplus_duplicates_all_columns",
+    over_observations(
+        "SELECT count(*) AS row_count, (SELECT count(*) FROM d) AS distinct_row_count, "
+        "count(*) - (SELECT count(*) FROM d) AS duplicate_rows FROM obs",
+        f"d AS (SELECT DISTINCT {_ALL_COLUMNS_SQL} FROM obs)",
+    ),
+)
+def surplus_duplicates_all_columns(spark, sf_dir):
+    return K.surplus_rows(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS))
+
+
 @query("K4_distinct_values", over_observations("SELECT DISTINCT weather FROM obs ORDER BY weather"))
 def distinct_values(spark, sf_dir):
     return K.distinct_values(observations(spark, sf_dir, "weather"), "weather")
@@ -428,23 +446,55 @@ def advisory_read_issues(spark, sf_dir):
 
 
 # ------------------------------------------------------------- feature inspection
+_INSPECTED = {
+    "numeric": ["traffic_volume", "average_speed", "travel_time_index", "congestion_level"],
+    "categorical": ["corridor", "area", "road_intersection", "weather", "roadwork", "day_type"],
+    "temporal": ["day_of_week", "festival_flag", "holiday_flag"],
+}
+_INSPECTED_SQL = {
+    name: f"SELECT '{name}' AS feature, '{group}' AS feature_group, true AS available, "
+    f"{str(name != 'congestion_level').lower()} AS used, count(*) FILTER ({name} IS NULL) AS null_count, "
+    f"{'-1' if group == 'numeric' else f'count(DISTINCT {name})'}::BIGINT AS distinct_count FROM obs"
+    for group, names in _INSPECTED.items()
+    for name in names
+}
 _INSPECTION_SQL = _union(
-    [
-        f"SELECT '{name}' AS feature, '{group}' AS feature_group, true AS available, "
-        f"{str(name not in S.EXCLUDED_FEATURES).lower()} AS used, count(*) FILTER ({name} IS NULL) AS null_count, "
-        f"{'-1' if name in S.NUMERIC_MEASURES else f'count(DISTINCT {name})'}::BIGINT AS distinct_count FROM obs"
-        for group, names in S.FEATURE_CANDIDATES.items()
-        for name in names
-        if name != "roadwork"
-    ]
+    [part for name, part in _INSPECTED_SQL.items() if name != "roadwork"]
     + ["SELECT 'roadwork', 'categorical', false, false, -1, -1"]
 )
+_ABSENT = {
+    "numeric": [
+        "road_capacity_utilization",
+        "incident_reports",
+        "environmental_impact",
+        "public_transport_usage",
+        "traffic_signal_compliance",
+        "parking_usage",
+        "pedestrian_and_cyclist_count",
+    ],
+    "unavailable": [
+        "hour",
+        "direction",
+        "GPS coordinates",
+        "live traffic features",
+        "FASTag features",
+        "signal-event features",
+    ],
+}
+_ABSENT_SQL = [f"SELECT '{name}', '{group}', false, false, -1, -1" for group, names in _ABSENT.items() for name in names]
 
 
 @query("K13_feature_availability", over_observations(_INSPECTION_SQL))
 def feature_availability(spark, sf_dir):
-    """Inspected on a table without ``roadwork``, so that one candidate is missing; -1 where there is no count."""
+    """Its 13 features on a table without ``roadwork``, as its SQL has it; K13_all_candidates has the whole inspection."""
     inspected = K.feature_inspection(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS).drop("roadwork"))
+    return inspected.where(F.col("feature").isin(*_INSPECTED_SQL)).fillna(-1, ["null_count", "distinct_count"])
+
+
+@query("K13_all_candidates", over_observations(_union([*_INSPECTED_SQL.values(), *_ABSENT_SQL])))
+def all_candidates(spark, sf_dir):
+    """Every candidate and every feature listed as unavailable, on the untouched table; -1 where there is no count."""
+    inspected = K.feature_inspection(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS))
     return inspected.fillna(-1, ["null_count", "distinct_count"])
 
 

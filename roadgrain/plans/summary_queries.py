@@ -517,6 +517,22 @@ def distinct_rows(spark, sf_dir):
     return observations(spark, sf_dir, "date", "corridor", S.TARGET).dropDuplicates()
 
 
+@query(
+    "W6_distinct_rows_all_columns",
+    over_observations(
+        f"SELECT date, area, road_intersection, corridor, {sql_r4('traffic_volume')} AS traffic_volume, "
+        f"{sql_r4('average_speed')} AS average_speed, {sql_r4('travel_time_index')} AS travel_time_index, "
+        f"{sql_r4('congestion_level')} AS congestion_level, congestion_class, weather, roadwork, day_of_week, day_type, "
+        "festival_flag, festival_name, holiday_flag FROM d",
+        "d AS (SELECT DISTINCT date, area, road_intersection, corridor, traffic_volume, average_speed, travel_time_index, "
+        "congestion_level, congestion_class, weather, roadwork, day_of_week, day_type, festival_flag, festival_name, "
+        "holiday_flag FROM obs)",
+    ),
+)
+def distinct_rows_all_columns(spark, sf_dir):
+    return rounded(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS).dropDuplicates())
+
+
 @query("W7_union_of_models", _TWO_MODELS_SQL)
 def union_of_models(spark, sf_dir):
     tables = {

@@ -137,11 +137,34 @@ EXCLUDED_FEATURES = {
 }
 
 FEATURE_CANDIDATES = {
-    "numeric": ["traffic_volume", "average_speed", "travel_time_index", "congestion_level"],
+    "numeric": [
+        "traffic_volume",
+        "average_speed",
+        "travel_time_index",
+        "congestion_level",
+        "road_capacity_utilization",
+        "incident_reports",
+        "environmental_impact",
+        "public_transport_usage",
+        "traffic_signal_compliance",
+        "parking_usage",
+        "pedestrian_and_cyclist_count",
+    ],
     "categorical": CATEGORICAL_FEATURES,
     "temporal": ["day_of_week", *BOOLEAN_FEATURES],
 }
 
+# What the integrated table is known not to offer; the first ones are numeric candidates as well.
+UNAVAILABLE_FEATURES = [
+    *FEATURE_CANDIDATES["numeric"][4:],
+    "hour",
+    "direction",
+    "GPS coordinates",
+    "live traffic features",
+    "FASTag features",
+    "signal-event features",
+]
+
 METRIC_NAMES = ["Accuracy", "Weighted Precision", "Weighted Recall", "F1 Score"]
 
 # Advisory wording, one action set per congestion class.

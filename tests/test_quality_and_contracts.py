@@ -27,6 +27,17 @@ def test_profiling(rows):
     assert values(K.surplus_rows(data.limit(0))) == [(0, 0, 0)]
 
 
+def test_every_candidate_is_inspected(rows):
+    data = rows("weather string, incident_reports double, hour int", ("Rain", 1.0, 1), ("Fog", None, None), ("Fog", 2.0, None))
+    found = {r["feature"]: tuple(r)[1:] for r in K.feature_inspection(data).collect()}
+    assert found["incident_reports"] == ("numeric", True, False, 1, None)
+    assert found["weather"] == ("categorical", True, True, 0, 2)
+    assert found["hour"] == ("unavailable", True, False, 2, None)
+    assert found["parking_usage"] == ("numeric", False, False, None, None)
+    assert found["GPS coordinates"] == ("unavailable", False, False, None, None)
+    assert len(found) == 11 + 6 + 3 + 6 and set(S.UNAVAILABLE_FEATURES) <= set(found) and len(S.UNAVAILABLE_FEATURES) == 13
+
+
 def test_excluded_features_are_refused(rows):
     data = rows("congestion_level double, date string", (1.0, "x"))
     assert [r[0] for r in values(K.feature_exclusions(data))] == ["congestion_level", "date"]
