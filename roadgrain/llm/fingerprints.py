@@ -5,6 +5,8 @@ all documents can be in the lexicon, and such a term is in at least that share o
 some block, so blocks report only those (a first pass), and these few are counted exactly
 (a second pass). The lexicon therefore has at most (mean distinct terms of a document) / LEAST
 terms, whatever the corpus; it is sent to the tasks, and no word is ever shuffled.
+What blocks report has no such bound: a block of fewer than 1 / LEAST documents reports all its
+terms, and their union goes to the driver and to the tasks of the second pass.
 
 A fingerprint has the hash of all terms of the band and one hash for each of several
 randomised subsets of the lexicon. The subsets have several densities, so that for texts of
