@@ -71,10 +71,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(data: DataFrame, name: str) -> DataFrame:
+def staged(data: DataFrame, name: str, **options) -> DataFrame:
     """The rows written as Parquet to the shared folder and read again: a lineage cut that outlives executors."""
     path = fresh_path(data.sparkSession, name)
-    data.write.parquet(path)
+    data.write.options(**options).parquet(path)
     return data.sparkSession.read.schema(data.schema).parquet(path)
 
 
