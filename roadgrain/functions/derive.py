@@ -55,8 +55,8 @@ def adverse_weather(column: str = "weather") -> Column:
 
 
 def whole_minutes(seconds: Column) -> Column:
-    """Seconds to minutes, half to even."""
-    return F.rint(seconds / 60.0).cast("bigint")
+    """Seconds to minutes, half to even; null if they are not finite."""
+    return F.rint(seconds / 60.0).try_cast("bigint")
 
 
 def duration_text(seconds: Column) -> Column:
@@ -136,28 +136,35 @@ def illustrative_delay(minutes: Column, kilometres_: Column, class_: Column) ->
     )
 
 
+def json_number(value: Column, absent: float = 0.0) -> Column:
+    """A variant as a double: an absent field is ``absent``, written numbers count as the text reader takes them.
+
+    JSON null, lists, objects and other text are null; true and false are 1 and 0.
+    """
+    return (
+        F.when(value.isNull(), F.lit(absent))
+        .when(F.schema_of_variant(value) == "STRING", decimal_number(F.try_variant_get(value, "$", "string")))
+        .otherwise(F.try_variant_get(value, "$", "double"))
+    )
+
+
 def provider_error(message: Column, provider: Column) -> Column:
     """struct(status, error_code) for a geocoding or routing error text."""
     text = F.lower(message)
-    geocoding = provider == "geocoding"
 
-    def has(*parts: str) -> Column:
-        found = text.contains(parts[0])
-        for part in parts[1:]:
-            found = found | text.contains(part)
-        return found
+    def says(marks: list[str]) -> Column:
+        return F.coalesce(text.rlike("|".join(marks)), F.lit(False))
 
-    timeout = has("timed out", "timeout")
-    missing = F.when(geocoding, has("could not be resolved", "not found")).otherwise(
-        has("no route", "noroute", "no drivable routes")
-    )
-    status = F.when(timeout, 504).when(missing, 404).otherwise(502)
-    code = (
-        F.when(timeout & geocoding, "GEOCODING_TIMEOUT")
-        .when(timeout, "OSRM_TIMEOUT")
-        .when(missing & geocoding, "LOCATION_NOT_FOUND")
-        .when(missing, "ROUTE_NOT_FOUND")
-        .when(geocoding, "GEOCODING_SERVICE_ERROR")
-        .otherwise("OSRM_SERVICE_ERROR")
-    )
-    return F.struct(status.alias("status"), code.alias("error_code"))
+    code = F.lit(None).cast("string")
+    for name, (timeout, missing, other) in S.PROVIDER_CODES.items():
+        of_this = F.when(says(S.TIMEOUT_MARKS), timeout).when(says(S.MISSING_MARKS[name]), missing).otherwise(other)
+        code = F.when(provider == name, of_this).otherwise(code)
+    return F.struct(request_status(code).alias("status"), code.alias("error_code"))
+
+
+def request_status(code: Column) -> Column:
+    """Status that belongs to an error code; 200 without one."""
+    status = F.lit(200)
+    for name, number in S.REQUEST_STATUS.items():
+        status = F.when(code == name, number).otherwise(status)
+    return status

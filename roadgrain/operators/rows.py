@@ -22,3 +22,13 @@ def as_checks(one_row: DataFrame, conditions: dict[str, Column]) -> DataFrame:
 def row_count(data: DataFrame) -> Column:
     """Number of rows as a scalar subquery."""
     return data.agg(F.count(F.lit(1))).scalar()
+
+
+def look_up(rows: DataFrame, answers: DataFrame, key: str, spread: str, salts: int = 16) -> DataFrame:
+    """Left join with a table that has one row per key; a very frequent key is spread over ``salts`` tasks.
+
+    ``spread`` names a column of ``rows`` whose hash deals them out.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = answers.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [key, "_salt"], "left").drop("_salt")

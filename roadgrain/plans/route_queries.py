@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadgrain import schemas as S
-from roadgrain.operators import places as P, routes as R
+from roadgrain.operators import answers, places as P, routes as R
 from roadgrain.operators.rows import unfold
 from roadgrain.plans.registry import query, sql_text
 from roadgrain.plans.shape_queries import sql_duration
@@ -13,12 +13,13 @@ from roadgrain.sources.given import table
 
 
 # ---------------------------------------------------------------- route responses
-def _responses(spark, sf_dir, faults: bool = False) -> DataFrame:
+def _responses(spark, sf_dir, faults: bool = False, odd_numbers: bool = False) -> DataFrame:
     """One stored response per order with one to three candidates.
 
     Distances and durations follow from the price; some candidates tie in their minute
     or in everything, lack a distance or a summary, or carry a one-number point. With
-    ``faults`` some responses break a validity rule.
+    ``faults`` some responses break a validity rule, with ``odd_numbers`` some first distances are
+    null, a word, or a number written as text.
     """
     key, customer, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
     metres = price / 10.0 + 0.0037
@@ -27,7 +28,16 @@ def _responses(spark, sf_dir, faults: bool = False) -> DataFrame:
     far_lat = F.when(key % 29 == 0, F.lit(95.0)).otherwise(lat + 1.0) if faults else lat + 1.0
     first_seconds = F.when(key % 37 == 0, F.lit(-5.0)).otherwise(seconds) if faults else seconds
 
-    def candidate(distance, duration, summary, last_point):
+    def written(number, plain):
+        """A distance in JSON: absent where it is null, else as a number or oddly."""
+        text = number.cast("string")
+        if not plain:
+            quoted = F.concat(F.lit('"'), text, F.lit('"'))
+            odd = F.when(key % 19 == 1, '"abc"').when(key % 19 == 2, "null").when(key % 19 == 3, quoted).otherwise(text)
+            text = F.when(number.isNotNull(), odd)
+        return F.parse_json(text)
+
+    def candidate(distance, duration, summary, last_point, plain=True):
         points = F.array(F.array(lon, lat), F.array(lon + 1.0, last_point), F.array(lon))
         if faults:
             points = F.when(key % 31 == 0, F.array(F.array(lon, lat))).otherwise(points)
@@ -35,7 +45,7 @@ def _responses(spark, sf_dir, faults: bool = False) -> DataFrame:
             "array<struct<summary:string>>"
         )
         return F.struct(
-            distance.alias("distance"),
+            (written(distance, plain) if odd_numbers else distance).alias("distance"),
             duration.alias("duration"),
             legs.alias("legs"),
             F.struct(points.alias("coordinates")).alias("geometry"),
@@ -43,7 +53,7 @@ def _responses(spark, sf_dir, faults: bool = False) -> DataFrame:
 
     candidates = F.array(
         candidate(
-            F.when(key % 17 != 0, metres), first_seconds, F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")), far_lat
+            F.when(key % 17 != 0, metres), first_seconds, F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")), far_lat, False
         ),
         candidate(
             metres * (F.lit(1.0) + ((customer % 5) - 2) * F.lit(0.02)),
@@ -83,18 +93,21 @@ _CANDIDATES_SQL = f"""b AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderprior
       max(CASE WHEN rnk = 1 THEN txt END) AS txt1, max(CASE WHEN rnk = 2 THEN txt END) AS txt2,
       max(CASE WHEN rnk = 1 THEN route_index END) AS id1, max(n) AS total FROM ranked GROUP BY request_id)"""
 
+#: The first candidate's distance can't be read.
+_ODD_SQL = "(route_index = 1 AND request_id % 17 <> 0 AND request_id % 19 IN (1, 2))"
 _T = {name: sql_text(text) for name, text in S.ROUTE_TEXT.items()}
 _SAVED_SQL = "CAST(round_even((s2 - s1) / 60e0, 0) AS BIGINT)"
 
 
 @query(
     "R1_parsed_routes",
-    f"WITH {_CANDIDATES_SQL} SELECT request_id, route_index, summary, metres AS distance_meters, km AS distance_km, "
+    f"WITH {_CANDIDATES_SQL} SELECT request_id, route_index, summary, "
+    f"CASE WHEN NOT {_ODD_SQL} THEN metres END AS distance_meters, CASE WHEN NOT {_ODD_SQL} THEN km END AS distance_km, "
     "seconds AS duration_seconds, txt AS duration_formatted, CAST(2 AS INTEGER) AS point_count, lat AS first_lat, lon AS first_lon, "
     "last_lat FROM f",
 )
 def parsed_routes(spark, sf_dir):
-    return R.candidate_rows(_responses(spark, sf_dir)).select(
+    return R.candidate_rows(_responses(spark, sf_dir, odd_numbers=True)).select(
         "request_id",
         "route_index",
         "summary",
@@ -113,12 +126,16 @@ def _ranked(spark, sf_dir) -> DataFrame:
     return R.rank_routes(R.parse_responses(_responses(spark, sf_dir)))
 
 
+def _ranked_rows(spark, sf_dir) -> DataFrame:
+    return R.ranked_rows(_responses(spark, sf_dir), "request_id")
+
+
 @query(
     "R2_route_ranks",
     f'WITH {_CANDIDATES_SQL} SELECT request_id, rnk AS "rank", route_index FROM ranked',
 )
 def route_ranks(spark, sf_dir):
-    return R.route_rows(_ranked(spark, sf_dir), "request_id").select("request_id", "rank", "route_index")
+    return _ranked_rows(spark, sf_dir).select("request_id", "rank", "route_index")
 
 
 @query(
@@ -127,7 +144,7 @@ def route_ranks(spark, sf_dir):
     "WHEN rnk = 1 THEN 'Recommended' ELSE 'Alternative' END AS status FROM ranked",
 )
 def route_status(spark, sf_dir):
-    return R.route_rows(_ranked(spark, sf_dir), "request_id").select("request_id", "route_index", "status")
+    return _ranked_rows(spark, sf_dir).select("request_id", "route_index", "status")
 
 
 @query(
@@ -140,7 +157,7 @@ def route_status(spark, sf_dir):
     "round_even(km - km1, 1)) END AS recommendation_reason FROM ranked JOIN top USING (request_id)",
 )
 def route_reasons(spark, sf_dir):
-    return R.route_rows(_ranked(spark, sf_dir), "request_id").select(
+    return _ranked_rows(spark, sf_dir).select(
         "request_id", "route_index", "duration_minutes", "recommendation_reason"
     )
 
@@ -172,15 +189,20 @@ _RESPONSE_FAULT_SQL = (
 )
 
 
+_ROUTE_FAULT_SQL = (
+    "CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 19 IN (1, 2) THEN 'UNREADABLE_ROUTE' "
+    "WHEN o_orderkey % 37 = 0 THEN 'INVALID_DURATION' "
+    "WHEN o_orderkey % 31 = 0 THEN 'TOO_FEW_POINTS' WHEN o_orderkey % 29 = 0 THEN 'INVALID_COORDINATES' "
+    "WHEN o_orderkey % 3 >= 1 AND floor(o_totalprice / 100e0) + ((o_orderkey % 11) - 5) * 20 < 0 THEN 'INVALID_DURATION' END"
+)
+
+
 @query(
     "R6_route_validity",
-    f"SELECT o_orderkey AS request_id, coalesce({_RESPONSE_FAULT_SQL}, CASE WHEN o_orderkey % 37 = 0 THEN 'INVALID_DURATION' "
-    "WHEN o_orderkey % 31 = 0 THEN 'TOO_FEW_POINTS' WHEN o_orderkey % 29 = 0 THEN 'INVALID_COORDINATES' "
-    "WHEN o_orderkey % 3 >= 1 AND floor(o_totalprice / 100e0) + ((o_orderkey % 11) - 5) * 20 < 0 THEN 'INVALID_DURATION' END) "
-    "AS problem FROM orders",
+    f"SELECT o_orderkey AS request_id, coalesce({_RESPONSE_FAULT_SQL}, {_ROUTE_FAULT_SQL}) AS problem FROM orders",
 )
 def route_validity(spark, sf_dir):
-    checked = R.validate_routes(R.parse_responses(_responses(spark, sf_dir, faults=True)))
+    checked = R.validate_routes(R.parse_responses(_responses(spark, sf_dir, faults=True, odd_numbers=True)))
     return checked.select("request_id", "problem")
 
 
@@ -207,6 +229,187 @@ def route_bounds(spark, sf_dir):
     return R.route_bounds(_ranked(spark, sf_dir), end(11.0, 75.0), end(12.0, 76.0), "request_id")
 
 
+# ---------------------------------------------------------------- whole requests
+_SPOKEN = {
+    "place_timeout": "Geocoding request timed out after 10s.",
+    "place_network": "Network error connecting to Nominatim geocoding service: refused",
+    "route_timeout": "OSRM routing calculation timed out after 15s.",
+    "route_network": "Network error connecting to OSRM routing service: refused",
+}
+
+
+def _requests(spark, sf_dir) -> DataFrame:
+    """A request for each order between two supplier names; some give coordinates, halves of them or no names."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+
+    def name(number):
+        return F.concat(F.lit("Supplier#"), F.lpad(number.cast("string"), 9, "0"))
+
+    origin, destination = name(customer % 12 + 1), name(F.floor(customer / 12) % 12 + 1)
+    latitude, longitude = F.lit(10.0) + key % 40, F.lit(70.0) + customer % 20
+    return table(spark, sf_dir, "orders").select(
+        key.alias("request_id"),
+        F.when(key % 53 == 0, "  ").when(key % 2 == 0, F.concat(F.lit(" "), F.upper(origin))).otherwise(origin).alias("origin"),
+        F.when(key % 59 == 0, F.lit(None)).otherwise(F.concat(destination, F.lit("  "))).alias("destination"),
+        F.when(key % 61 == 0, 95.0).when(key % 5 == 0, latitude).alias("origin_lat"),
+        F.when((key % 5 == 0) & (key % 67 != 0) | (key % 61 == 0), longitude).alias("origin_lon"),
+        F.when((key % 4 == 1) & (key % 71 != 0), latitude + 1.0).alias("destination_lat"),
+        F.when(key % 4 == 1, longitude).alias("destination_lon"),
+    )
+
+
+def _stored_places(spark, sf_dir) -> DataFrame:
+    """A place answer for each supplier name; some are messages, empty, unreadable or out of range."""
+    key = F.col("s_suppkey")
+    kind = key % 12
+    entry = F.struct(
+        F.when(kind == 6, "x").when(kind == 8, "91.0").otherwise(F.concat(F.lit("12."), key.cast("string"))).alias("lat"),
+        F.lit("77.5").alias("lon"),
+        F.when(kind != 7, F.concat("s_name", F.lit(", City"))).alias("display_name"),
+    )
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("place_id"),
+        F.col("s_name").alias("query"),
+        F.when(kind == 5, "[]").otherwise(F.to_json(F.array(entry))).alias("response"),
+        F.when(kind == 3, _SPOKEN["place_timeout"]).when(kind == 9, _SPOKEN["place_network"]).alias("message"),
+    )
+
+
+def _stored_routes(spark, sf_dir) -> DataFrame:
+    """The responses with faults, some replaced by a message or by text that is no JSON, some not stored."""
+    key = F.col("request_id")
+    return _responses(spark, sf_dir, faults=True, odd_numbers=True).where(key % 73 != 0).select(
+        "request_id",
+        F.when(key % 79 == 0, "<html>").otherwise(F.col("response")).alias("response"),
+        F.when(key % 83 == 0, _SPOKEN["route_timeout"]).when(key % 89 == 0, _SPOKEN["route_network"]).alias("message"),
+    )
+
+
+def _first_of(*cases: tuple[str, str, str]) -> tuple[str, str]:
+    """SQL for the code and the message of the first condition that holds."""
+    codes = " ".join(f"WHEN {condition} THEN {code}" for condition, code, _ in cases)
+    messages = " ".join(f"WHEN {condition} THEN {message}" for condition, _, message in cases)
+    return f"CASE {codes} END", f"CASE {messages} END"
+
+
+def _end_cases(end: str) -> list[tuple[str, str, str]]:
+    given, number = f"({end}_lat IS NOT NULL AND {end}_lon IS NOT NULL)", f"{end}_no % 12"
+    unresolved = f"'Location ''' || {end}_name || ''' could not be resolved by OpenStreetMap Nominatim.'"
+    cases = [
+        (f"{given} AND abs({end}_lat) > 90", "INVALID_GEOCODING_RESPONSE", None),
+        (f"NOT {given} AND {end}_no IS NULL", "GEOCODING_SERVICE_ERROR", "No answer is stored for this place."),
+        (f"NOT {given} AND {number} = 3", "GEOCODING_TIMEOUT", _SPOKEN["place_timeout"]),
+        (f"NOT {given} AND {number} = 9", "GEOCODING_SERVICE_ERROR", _SPOKEN["place_network"]),
+        (f"NOT {given} AND {number} = 6", "GEOCODING_SERVICE_ERROR", "Failed to parse geocoding response."),
+        (f"NOT {given} AND {number} = 8", "INVALID_GEOCODING_RESPONSE", None),
+    ]
+    told = [(c, sql_text(code), sql_text(text or S.REQUEST_MESSAGE[code])) for c, code, text in cases]
+    return [*told, (f"NOT {given} AND {number} = 5", "'LOCATION_NOT_FOUND'", unresolved)]
+
+
+def _own(code: str, condition: str) -> tuple[str, str, str]:
+    return condition, sql_text(code), sql_text(S.REQUEST_MESSAGE[code])
+
+
+_NO_ROUTE = "OSRM routing response: NoRoute - No route found."
+_CODE_SQL, _MESSAGE_SQL = _first_of(
+    _own("INVALID_ORIGIN_COORDINATES", "(origin_lat IS NULL) <> (origin_lon IS NULL)"),
+    _own("INVALID_DESTINATION_COORDINATES", "(destination_lat IS NULL) <> (destination_lon IS NULL)"),
+    _own("EMPTY_ORIGIN", "trim(origin) = ''"),
+    _own("EMPTY_DESTINATION", "destination IS NULL"),
+    _own(
+        "SAME_PLACE",
+        "lower(trim(origin)) = lower(trim(destination)) "
+        "OR coalesce(origin_lat = destination_lat AND origin_lon = destination_lon, false)",
+    ),
+    *_end_cases("origin"),
+    *_end_cases("destination"),
+    ("k % 73 = 0", "'OSRM_SERVICE_ERROR'", "'No answer is stored for this request.'"),
+    ("k % 83 = 0", "'OSRM_TIMEOUT'", sql_text(_SPOKEN["route_timeout"])),
+    ("k % 89 = 0", "'OSRM_SERVICE_ERROR'", sql_text(_SPOKEN["route_network"])),
+    ("k % 79 = 0", "'OSRM_SERVICE_ERROR'", "'Failed to parse OSRM JSON response.'"),
+    ("response_fault = 'INVALID_RESPONSE'", "'ROUTE_NOT_FOUND'", sql_text(_NO_ROUTE)),
+    _own("ROUTE_NOT_FOUND", "response_fault IS NOT NULL"),
+    (
+        "route_fault IS NOT NULL",
+        "'INVALID_ROUTING_RESPONSE'",
+        "CASE route_fault " + " ".join(f"WHEN '{k}' THEN {sql_text(v)}" for k, v in S.ROUTING_MESSAGE.items()) + " END",
+    ),
+)
+_STATUS_SQL = "CASE error_code " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in S.REQUEST_STATUS.items()) + " ELSE 200 END"
+
+
+def _end_sql(end: str) -> str:
+    given = f"{end}_lat IS NOT NULL AND {end}_lon IS NOT NULL"
+    values = {
+        "display_name": (f"trim({end})", f"CASE WHEN {end}_no % 12 = 7 THEN {end}_name ELSE {end}_name || ', City' END"),
+        "latitude": (f"{end}_lat", f"CAST('12.' || {end}_no AS DOUBLE)"),
+        "longitude": (f"{end}_lon", "77.5e0"),
+    }
+    return ", ".join(
+        f"CASE WHEN error_code IS NOT NULL THEN NULL WHEN {given} THEN {own} ELSE {found} END AS {end}_{name}"
+        for name, (own, found) in values.items()
+    )
+
+
+@query(
+    "R5_request_answers",
+    f"""WITH {_CANDIDATES_SQL},
+  q AS (SELECT o_orderkey AS k, 'Supplier#' || lpad(CAST(o_custkey % 12 + 1 AS VARCHAR), 9, '0') AS o,
+      'Supplier#' || lpad(CAST((o_custkey // 12) % 12 + 1 AS VARCHAR), 9, '0') AS t,
+      10e0 + o_orderkey % 40 AS a, 70e0 + o_custkey % 20 AS b, {_RESPONSE_FAULT_SQL} AS response_fault,
+      {_ROUTE_FAULT_SQL} AS route_fault FROM orders),
+  asked AS (SELECT k, response_fault, route_fault,
+      CASE WHEN k % 53 = 0 THEN '  ' WHEN k % 2 = 0 THEN ' ' || upper(o) ELSE o END AS origin,
+      CASE WHEN k % 59 <> 0 THEN t || '  ' END AS destination,
+      CASE WHEN k % 61 = 0 THEN 95e0 WHEN k % 5 = 0 THEN a END AS origin_lat,
+      CASE WHEN k % 5 = 0 AND k % 67 <> 0 OR k % 61 = 0 THEN b END AS origin_lon,
+      CASE WHEN k % 4 = 1 AND k % 71 <> 0 THEN a + 1 END AS destination_lat, CASE WHEN k % 4 = 1 THEN b END AS destination_lon
+    FROM q),
+  met AS (SELECT asked.*, s1.s_suppkey AS origin_no, s1.s_name AS origin_name, s2.s_suppkey AS destination_no,
+      s2.s_name AS destination_name FROM asked LEFT JOIN supplier s1 ON lower(s1.s_name) = lower(trim(origin))
+      LEFT JOIN supplier s2 ON lower(s2.s_name) = lower(trim(destination))),
+  judged AS (SELECT *, {_CODE_SQL} AS error_code, {_MESSAGE_SQL} AS error_message FROM met)
+  SELECT k AS request_id, CAST({_STATUS_SQL} AS INTEGER) AS status, error_code, error_message,
+    {_end_sql("origin")}, {_end_sql("destination")},
+    CASE WHEN error_code IS NULL THEN CAST(total AS INTEGER) END AS route_count,
+    CASE WHEN error_code IS NULL THEN 'route_' || id1 END AS first_route_id,
+    CASE WHEN error_code IS NULL THEN '{S.DURATION_BASIS}' END AS duration_basis,
+    CASE WHEN error_code IS NULL THEN km1 END AS first_distance_km, CASE WHEN error_code IS NULL THEN txt1 END AS first_duration,
+    CASE WHEN error_code IS NULL AND total > 1 THEN 'route_' || id1 END AS recommended_route_id,
+    CASE WHEN error_code IS NULL THEN total > 1 END AS alternatives_available,
+    CASE WHEN error_code IS NOT NULL THEN NULL WHEN total = 1 THEN printf({_T['only_rationale']}, sum1, txt1, km1)
+      WHEN {_SAVED_SQL} > 0 THEN printf({_T['faster_rationale']}, sum1, txt1, km1, {_SAVED_SQL}, sum2, txt2)
+      ELSE printf({_T['shorter_rationale']}, sum1, km1, km2, sum2) END AS recommendation_rationale
+  FROM judged JOIN top ON top.request_id = judged.k""",
+)
+def request_answers(spark, sf_dir):
+    answered = answers.answer_requests(
+        _requests(spark, sf_dir), _stored_places(spark, sf_dir), _stored_routes(spark, sf_dir)
+    )
+    first = F.try_element_at("routes", F.lit(1))
+    ends = [
+        F.col(f"{end}.{part}").alias(f"{end}_{part}")
+        for end in answers.ENDS
+        for part in ("display_name", "latitude", "longitude")
+    ]
+    return answered.select(
+        "request_id",
+        "status",
+        "error_code",
+        "error_message",
+        *ends,
+        F.when(F.col("routes").isNotNull(), F.size("routes")).alias("route_count"),
+        first["id"].alias("first_route_id"),
+        first["duration_basis"].alias("duration_basis"),
+        first["distance_km"].alias("first_distance_km"),
+        first["duration_formatted"].alias("first_duration"),
+        "recommended_route_id",
+        "alternatives_available",
+        "recommendation_rationale",
+    )
+
+
 # ------------------------------------------------------------------ place answers
 _PLACES_SQL = """pl AS (SELECT p_partkey AS k, p_name AS n, p_brand AS b, p_size AS z FROM part),
   e AS (SELECT k, CAST(1 AS INTEGER) AS position, CASE WHEN k % 9 = 0 THEN '   ' ELSE n || ', ' || b END AS display_name,

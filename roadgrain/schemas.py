@@ -106,7 +106,7 @@ PREDICTED_ADVISORY_COLUMNS = [
 
 # Response of a routing provider, and of a place search.
 ROUTES_TYPE = (
-    "array<struct<distance: double, duration: double, "
+    "array<struct<distance: variant, duration: variant, "
     "legs: array<struct<summary: string, steps: array<struct<name: string>>>>, "
     "geometry: struct<coordinates: array<array<double>>>>>"
 )
@@ -240,6 +240,52 @@ ROUTE_TEXT = {
 }
 ROUTE_STATUS = ["Recommended", "Alternative", "Available Route"]
 DURATION_BASIS = "osrm_road_network_estimate"
+
+# Status of a request's answer by error code, and the message that goes with a code alone.
+REQUEST_STATUS = {
+    "INVALID_ORIGIN_COORDINATES": 422,
+    "INVALID_DESTINATION_COORDINATES": 422,
+    "EMPTY_ORIGIN": 422,
+    "EMPTY_DESTINATION": 422,
+    "SAME_PLACE": 422,
+    "LOCATION_NOT_FOUND": 404,
+    "ROUTE_NOT_FOUND": 404,
+    "GEOCODING_TIMEOUT": 504,
+    "OSRM_TIMEOUT": 504,
+    "GEOCODING_SERVICE_ERROR": 502,
+    "INVALID_GEOCODING_RESPONSE": 502,
+    "OSRM_SERVICE_ERROR": 502,
+    "INVALID_ROUTING_RESPONSE": 502,
+}
+REQUEST_MESSAGE = {
+    "INVALID_ORIGIN_COORDINATES": "Origin latitude and longitude must be provided together.",
+    "INVALID_DESTINATION_COORDINATES": "Destination latitude and longitude must be provided together.",
+    "EMPTY_ORIGIN": "Origin must not be empty.",
+    "EMPTY_DESTINATION": "Destination must not be empty.",
+    "SAME_PLACE": "Origin and destination must be different places.",
+    "INVALID_GEOCODING_RESPONSE": "Nominatim returned invalid location coordinates.",
+    "ROUTE_NOT_FOUND": "OSRM returned no drivable routes.",
+}
+# What is said about a route response, by the problem found in it.
+ROUTING_MESSAGE = {
+    "INVALID_RESPONSE": "OSRM returned an invalid routing response.",
+    "MISSING_ROUTES": "OSRM response is missing a valid routes list.",
+    "UNREADABLE_ROUTE": "OSRM returned route data that could not be parsed.",
+    "INVALID_DISTANCE": "OSRM returned an invalid route distance.",
+    "INVALID_DURATION": "OSRM returned an invalid route duration.",
+    "TOO_FEW_POINTS": "OSRM returned route geometry with fewer than two points.",
+    "INVALID_COORDINATES": "OSRM returned invalid route coordinates.",
+}
+# Parts of a provider's message, in lower case, that tell what went wrong.
+TIMEOUT_MARKS = ["timed out", "timeout"]
+MISSING_MARKS = {
+    "geocoding": ["could not be resolved", "not found"],
+    "routing": ["no route", "noroute", "no drivable routes"],
+}
+PROVIDER_CODES = {
+    "geocoding": ("GEOCODING_TIMEOUT", "LOCATION_NOT_FOUND", "GEOCODING_SERVICE_ERROR"),
+    "routing": ("OSRM_TIMEOUT", "ROUTE_NOT_FOUND", "OSRM_SERVICE_ERROR"),
+}
 CITY_SPELLINGS = ["bengaluru", "bangalore"]
 CITY_SUFFIX = ", Bengaluru, Karnataka, India"
 HINT_SUFFIX = ", Bengaluru"

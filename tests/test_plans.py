@@ -98,8 +98,14 @@ def test_routes_do_not_shuffle(spark):
     stored = spark.createDataFrame([(1, "{}")], "id int, response string")
     answered = R.recommend(R.rank_routes(R.validate_routes(R.parse_responses(stored))))
     assert "Exchange" not in plan_of(answered)
-    plan = plan_of(R.route_rows(R.rank_routes(R.parse_responses(stored)), "id"))
-    assert plan.count("from_json") == 1
+    plan = plan_of(R.ranked_rows(stored, "id"))
+    assert plan.count("from_json") == 1 and "Exchange" not in plan
+
+
+def test_ranks_alone_need_no_texts(spark):
+    rows = R.ranked_rows(spark.createDataFrame([(1, "{}")], "id int, response string"), "id")
+    assert "format_string" in plan_of(rows)
+    assert "format_string" not in plan_of(rows.select("id", "rank", "route_index"))
 
 
 def test_skewed_corridor_is_merged_before_the_shuffle(spark):
