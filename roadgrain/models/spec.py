@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgrain import schemas as S
@@ -74,14 +75,64 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/model")
 
 
-def rebuild(spec: dict) -> Pipeline:
-    """The unfitted pipeline a specification describes."""
-    parameters = spec["classifier"]
+def _require_consistent(spec: dict) -> None:
+    """Refuse a document whose parts contradict each other."""
+    features, prepared = spec["features"], spec["preprocessing"]
+    names, labels, sizes = features["categorical"], prepared["labels"], prepared["categorySizes"]
+    inputs = [*features["numeric"], *[f"{name}_encoded" for name in names], *features["boolean"]]
+    problems = {
+        "model class": spec["model_class"] not in ("RandomForestClassifier", "DecisionTreeClassifier"),
+        "category labels": sorted(labels) != sorted(names) or any(len(set(x)) != len(x) for x in labels.values()),
+        "category sizes": len(sizes) != len(names) or any(n != len(labels.get(c, ())) + 1 for c, n in zip(names, sizes)),
+        "assembler inputs": features["assembler_inputs"] != inputs,
+        "vector dimension": features["vector_dimension"] != len(features["numeric"]) + sum(sizes) + len(features["boolean"]),
+        "target labels": len(set(prepared["target_labels"])) != len(prepared["target_labels"]),
+    }
+    found = [name for name, wrong in problems.items() if wrong]
+    if found:
+        raise ValueError(f"Model specification contradicts itself: {', '.join(found)}.")
+
+
+def feature_model(spark: SparkSession, spec: dict) -> PipelineModel:
+    """The fitted feature stages that a specification describes, made from its labels and sizes alone.
+
+    No training row is read: the indexers take the stored labels in the stored order, and the
+    encoder learns its sizes from one row with each category's last index.
+    """
+    _require_consistent(spec)
+    features, prepared = spec["features"], spec["preprocessing"]
+    names, keep = features["categorical"], prepared["handleInvalid"]
+    indexed, encoded = [f"{name}_index" for name in names], [f"{name}_encoded" for name in names]
+    # One model for each category, as the constructor for several columns fills shorter label lists up with nulls.
+    indexer = PipelineModel(
+        stages=[
+            StringIndexerModel.from_labels(prepared["labels"][name], inputCol=name, outputCol=index, handleInvalid=keep)
+            for name, index in zip(names, indexed)
+        ]
+    )
+    target = StringIndexerModel.from_labels(
+        prepared["target_labels"], inputCol=S.TARGET, outputCol=spec["classifier"]["labelCol"], handleInvalid="error"
+    )
+    last = spark.range(1).select(*[F.lit(float(n - 1)).alias(c) for c, n in zip(indexed, prepared["categorySizes"])])
+    encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid=keep).fit(last)
+    assembler = VectorAssembler(
+        inputCols=features["assembler_inputs"], outputCol=spec["classifier"]["featuresCol"], handleInvalid="error"
+    )
+    return PipelineModel(stages=[indexer, encoder, target, assembler])
+
+
+def rebuild(spark: SparkSession, spec: dict, training: DataFrame, order_key: str | None = None) -> PipelineModel:
+    """The model a specification describes: stored features, and its classifier fitted again on the training rows."""
+    parameters, prepared = spec["classifier"], feature_model(spark, spec)
     if spec["model_class"] == "RandomForestClassifier":
         classifier = T.random_forest(parameters["numTrees"], parameters["maxDepth"], parameters["seed"])
     else:
         classifier = T.decision_tree(parameters["maxDepth"], parameters["seed"])
-    return Pipeline(stages=[*T.feature_stages(), classifier])
+    classifier.setLabelCol(parameters["labelCol"]).setFeaturesCol(parameters["featuresCol"])
+    classifier.setPredictionCol(parameters["predictionCol"])
+    with T.training_rows(training, order_key) as rows:
+        fitted = classifier.fit(prepared.transform(rows))
+    return PipelineModel(stages=[*prepared.stages, fitted])
 
 
 def spec_conditions(spec: dict, model: PipelineModel, cutoff_date: str, input_fingerprint: str) -> dict[str, bool]:

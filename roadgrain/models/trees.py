@@ -82,9 +82,11 @@ def labels_of(model: PipelineModel) -> list[str]:
 
 
 def category_labels(model: PipelineModel) -> dict[str, list[str]]:
-    return {
-        name: list(labels) for name, labels in zip(S.CATEGORICAL_FEATURES, model.stages[INDEXER].labelsArray)
-    }
+    """Labels of each category in index order, of a model fitted here or rebuilt from its specification."""
+    indexer = model.stages[INDEXER]
+    if isinstance(indexer, PipelineModel):
+        return {stage.getInputCol(): list(stage.labels) for stage in indexer.stages}
+    return {name: list(labels) for name, labels in zip(S.CATEGORICAL_FEATURES, indexer.labelsArray)}
 
 
 def _decoded(index: Column, labels: list[str]) -> Column:

@@ -15,6 +15,7 @@ from roadgrain.functions.derive import decimal_number, is_finite
 from roadgrain.functions.text import strip
 from roadgrain.operators.rows import unfold
 from roadgrain.schemas import CLASSES
+from roadgrain.sources.files import MALFORMED, MOST_HEADERS, file_headers, header_names, read_cells
 
 ISSUE_TYPE = "array<struct<issue:string,column_name:string,cell:string>>"
 SALTS = 16
@@ -262,6 +263,16 @@ def strict_rows(cells: DataFrame, contract: Contract, malformed: str | None = No
     return good_rows(checked.where(F.assert_true(F.size("issues") == 0, text).isNull()), contract)
 
 
+def check_files(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """``check_rows`` of CSV files, each read under its own header; columns the contract doesn't name are left out.
+
+    A file without a required column fails the whole read, as do an absent path and an empty one.
+    """
+    for row in file_headers(spark, path).select("header").distinct().limit(MOST_HEADERS + 1).collect():
+        require_columns(header_names(row["header"]), contract)
+    return check_rows(read_cells(spark, path).select(*contract.columns, MALFORMED), contract, MALFORMED)
+
+
 # ----------------------------------------------------------- raw text file checks
 TIME_SHAPE = {
     "date": (r"^\d{4}-\d{1,2}-\d{1,2}$", "date"),
@@ -342,7 +353,7 @@ def raw_file_findings(cells: DataFrame, wanted: RawFile) -> DataFrame:
 
 
 def raw_file_profile(cells: DataFrame, wanted: RawFile) -> DataFrame:
-    """One row: row count, first and last time, and the sorted values of each category as text."""
+    """One row: row count, first and last time, and the sorted values of each category as an array."""
     categories = [name for name in wanted.categories if name in cells.columns]
     # Rows are merged by hash to the combinations of category values, which are few.
     merged = cells.groupBy(*[F.col(f"`{name}`") for name in categories]).agg(
@@ -352,31 +363,55 @@ def raw_file_profile(cells: DataFrame, wanted: RawFile) -> DataFrame:
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
         F.min("_first").cast("string").alias("minimum_time"),
         F.max("_last").cast("string").alias("maximum_time"),
-        *[F.concat_ws(", ", F.array_sort(F.collect_set(F.col(f"`{name}`")))).alias(f"{name}_values") for name in categories],
+        *[F.array_sort(F.collect_set(F.col(f"`{name}`"))).alias(f"{name}_values") for name in categories],
     )
 
 
+def category_values(cells: DataFrame, wanted: RawFile) -> DataFrame:
+    """Rows (column_name, value, row_count): every value of every category column; absent cells are null."""
+    categories = [name for name in wanted.categories if name in cells.columns]
+    merged = cells.groupBy(*[F.col(f"`{name}`") for name in categories]).agg(F.count(F.lit(1)).alias("_rows"))
+    values = unfold(merged, [{"column_name": F.lit(name), "value": F.col(f"`{name}`")} for name in categories], "_rows")
+    return values.groupBy("column_name", "value").agg(F.sum("_rows").alias("row_count"))
+
+
+def _whole_file_finding(spark: SparkSession, check: str) -> DataFrame:
+    nothing = {"row_count": F.lit(None).cast("bigint"), "detail": F.lit(None).cast("string")}
+    return unfold(spark.range(1), [{"check": F.lit(check), "column_name": F.lit(""), **nothing}])
+
+
 def registry_findings(
-    spark: SparkSession, tables: dict[str, DataFrame | None], registry: dict[str, RawFile] | None = None
+    spark: SparkSession, tables: dict[str, DataFrame | str | None], registry: dict[str, RawFile] | None = None
 ) -> DataFrame:
-    """Findings of every registered file; an absent one is a finding and the rest still run."""
+    """Findings of every registered file; an absent one is a finding and the rest still run.
+
+    A text in place of a table is the finding of a file that couldn't be read.
+    """
     result = None
     for name, wanted in (registry or RAW_FILES).items():
         cells = tables.get(name)
         if cells is None:
-            found = unfold(
-                spark.range(1),
-                [
-                    {
-                        "check": F.lit("missing file"),
-                        "column_name": F.lit(""),
-                        "row_count": F.lit(None).cast("bigint"),
-                        "detail": F.lit(None).cast("string"),
-                    }
-                ],
-            )
+            found = _whole_file_finding(spark, "missing file")
+        elif isinstance(cells, str):
+            found = _whole_file_finding(spark, cells)
         else:
             found = raw_file_findings(cells, wanted)
         named = found.withColumn("dataset", F.lit(name))
         result = named if result is None else result.unionByName(named)
     return result
+
+
+def folder_findings(spark: SparkSession, folder: str, registry: dict[str, RawFile] | None = None) -> DataFrame:
+    """``registry_findings`` of a folder: what is there is read, absent and empty files are findings.
+
+    A dataset may be a file or a folder of part files. An absent folder lacks every file.
+    """
+    tables: dict[str, DataFrame | str | None] = {}
+    for name in registry or RAW_FILES:
+        try:
+            tables[name] = read_cells(spark, f"{folder.rstrip('/')}/{name}").drop(MALFORMED)
+        except FileNotFoundError:
+            continue
+        except ValueError as error:
+            tables[name] = "duplicate column names" if "duplicate" in str(error) else "empty file"
+    return registry_findings(spark, tables, registry)

@@ -6,11 +6,15 @@ their own checks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from roadgrain import schemas as S
 from roadgrain.operators.quality import duplicate_keys
 from roadgrain.operators.rows import as_checks, row_count
+from roadgrain.sources.files import listing
 
 
 def require(checks: DataFrame) -> DataFrame:
@@ -18,10 +22,29 @@ def require(checks: DataFrame) -> DataFrame:
     return checks.where(F.assert_true(F.col("passed"), F.concat(F.lit("Check failed: "), F.col("name"))).isNull())
 
 
-def rows_kept(before: DataFrame, after: DataFrame) -> DataFrame:
-    return as_checks(
-        after.agg(F.count(F.lit(1)).alias("n")), {"rows_kept": F.col("n") == row_count(before)}
-    )
+def rows_kept(before: DataFrame | int, after: DataFrame) -> DataFrame:
+    """``before`` may be the number of rows that was observed while the output was written."""
+    wanted = F.lit(before) if isinstance(before, int) else row_count(before)
+    return as_checks(after.agg(F.count(F.lit(1)).alias("n")), {"rows_kept": F.col("n") == wanted})
+
+
+def write_observed(source: DataFrame, make: Callable[[DataFrame], DataFrame], path: str) -> dict[str, int]:
+    """Write what ``make`` does of the source as Parquet; input_rows and output_rows, counted while rows pass by.
+
+    No pass over the data is spent on the counts.
+    """
+    read, written = Observation("input"), Observation("output")
+    counted = source.observe(read, F.count(F.lit(1)).alias("rows"))
+    make(counted).observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return {"input_rows": read.get["rows"], "output_rows": written.get["rows"]}
+
+
+def output_exists(spark: SparkSession, path: str) -> bool:
+    """Whether files are stored at the path; only the listing is looked at."""
+    try:
+        return not listing(spark, path).isEmpty()
+    except AnalysisException:
+        return False
 
 
 def expected_size(data: DataFrame, rows: int | Column, corridors: int | Column) -> DataFrame:
@@ -84,9 +107,13 @@ def _note_errors(condition: Column, note: str) -> Column:
     return F.count_if(condition != F.col("context_notes").contains(start))
 
 
-def advisory_checks(source: DataFrame, advisories: DataFrame, key: list[str], output_exists: bool = True) -> DataFrame:
+def advisory_checks(
+    source: DataFrame | int, advisories: DataFrame, key: list[str], output_exists: bool = True
+) -> DataFrame:
     """Eleven checks on historical advisories; ``key`` is the pair or row id that must be unique.
 
+    ``source`` may be the number of rows observed by ``write_observed``, which saves a pass over it.
+
     All rule checks come from one pass, merged per (class, level); the key needs a
     group-by of its own. Run it on the stored advisories rather than on the plan that
     makes them.
@@ -116,7 +143,8 @@ def advisory_checks(source: DataFrame, advisories: DataFrame, key: list[str], ou
     return as_checks(
         totals,
         {
-            "input_row_count_equals_output_row_count": F.col("n") == row_count(source),
+            "input_row_count_equals_output_row_count": F.col("n")
+            == (F.lit(source) if isinstance(source, int) else row_count(source)),
             "unique_key": row_count(duplicate_keys(advisories, key)) == 0,
             "no_null_congestion_class": F.col("null_class") == 0,
             "valid_advisory_levels": F.col("bad_level") == 0,

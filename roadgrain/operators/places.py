@@ -106,29 +106,28 @@ def match_corridors(roads: DataFrame, corridors: DataFrame, request: str = "requ
     array). Rows (request, corridor_id, is_fallback): a request with no match gets the
     first corridor, marked as fallback, because it is not evidence.
 
-    Containment is turned into an equi-join: each distinct normalised name is cut into
-    its substrings of the lengths that keywords have, and those are joined to the
-    keywords. Neither side is compared all against all.
+    Containment is turned into an equi-join on one signature length, that of the shortest keyword:
+    each distinct name gives its substrings of that length, which meet the keywords that begin
+    with them; then the whole keyword is looked for. Neither side is compared all against all.
     """
     named = roads.select(request, normal_name(F.col("name")).alias("road"))
     keywords = (
         corridors.select("position", "corridor_id", F.explode("keywords").alias("k"))
         .select("position", "corridor_id", normal_name(F.col("k")).alias("keyword"))
         .where("keyword <> ''")
-        .distinct()
     )
-    lengths = keywords.agg(F.collect_set(F.length("keyword"))).scalar()
+    n = keywords.agg(F.min(F.length("keyword"))).scalar()
+    signed = keywords.select("corridor_id", "keyword", F.substring("keyword", F.lit(1), n).alias("signature"))
     pieces = (
         named.where("road <> ''")
         .select("road")
         .distinct()
-        .select("road", F.explode(lengths).alias("n"))
-        .where("n <= length(road)")
-        .select("road", "n", F.explode(F.sequence(F.lit(1), F.length("road") - F.col("n") + 1)).alias("start"))
-        .select("road", F.substring("road", F.col("start"), F.col("n")).alias("keyword"))
-        .distinct()
+        .where(F.length("road") >= n)
+        .select("road", F.explode(F.sequence(F.lit(1), F.length("road") - n + 1)).alias("start"))
+        .select("road", F.substring("road", F.col("start"), n).alias("signature"))
     )
-    road_matches = pieces.join(keywords, "keyword").select("road", "corridor_id").distinct()
+    met = pieces.join(signed, "signature").where(F.contains("road", "keyword"))
+    road_matches = met.groupBy("road", "corridor_id").agg(F.count(F.lit(1)).alias("places")).drop("places")
     first = corridors.agg(F.min_by("corridor_id", "position")).scalar()
     # The filters are on an aggregate and stay above the group-by, so both uses of
     # ``cells`` keep the same shuffle, which is then done once.

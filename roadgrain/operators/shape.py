@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -84,29 +86,29 @@ def filtered(
     return data
 
 
-def scenario_predicate(
-    corridor: str = "All Corridors",
-    day_type: str = ALL,
-    festival: str = ALL,
-    holiday: str = ALL,
-    weather: str = ALL,
-    roadwork: str = ALL,
-) -> Column:
-    """Predicate of the six scenario controls; each has an "all" value."""
-    predicate = F.lit(True)
-    if corridor != "All Corridors":
-        predicate = predicate & (F.col("corridor") == corridor)
-    if day_type != ALL:
-        predicate = predicate & (F.col("day_type") == day_type)
-    if festival != ALL:
-        predicate = predicate & (F.col("festival_flag") == F.lit(festival == "Festival"))
-    if holiday != ALL:
-        predicate = predicate & (F.col("holiday_flag") == F.lit(holiday == "Holiday"))
-    if weather != ALL:
-        predicate = predicate & (F.col("weather") == weather)
-    if roadwork != ALL:
-        predicate = predicate & (F.col("roadwork") == roadwork)
-    return predicate
+# The controls of a scenario, the column each reads, its choice that leaves everything in,
+# and the choice that stands for a true flag.
+SCENARIO_CONTROLS = {
+    "corridor": ("corridor", "All Corridors", None),
+    "day_type": ("day_type", ALL, None),
+    "festival": ("festival_flag", ALL, "Festival"),
+    "holiday": ("holiday_flag", ALL, "Holiday"),
+    "weather": ("weather", ALL, None),
+    "roadwork": ("roadwork", ALL, None),
+}
+
+
+def scenario_predicate(**choices: str) -> Column:
+    """Predicate of the scenario controls that are set; one that is left out or set to "all" keeps every row."""
+    unknown = choices.keys() - SCENARIO_CONTROLS.keys()
+    if unknown:
+        raise ValueError(f"No such scenario control: {', '.join(sorted(unknown))}.")
+    wanted = {name: choice for name, choice in choices.items() if choice != SCENARIO_CONTROLS[name][1]}
+    terms = [F.lit(True)]
+    for name, choice in wanted.items():
+        column, _, when_true = SCENARIO_CONTROLS[name]
+        terms.append(F.col(column) == (F.lit(choice) if when_true is None else F.lit(choice == when_true)))
+    return reduce(Column.__and__, terms)
 
 
 def filter_scenario(data: DataFrame, **controls: str) -> DataFrame:

@@ -14,11 +14,12 @@ from roadgrain import schemas as S
 from roadgrain.models import spec as specs, trees as T
 from roadgrain.operators import gates, scoring
 from roadgrain.operators.advisory import advise_predictions
-from roadgrain.operators.split import split_at
+from roadgrain.operators.split import split_at, test_period
 from roadgrain.plans import runs
 from roadgrain.plans.registry import over_observations, query, r4, rounded, sql_r4
 from roadgrain.plans.shape_queries import CUTOFF_SQL
 from roadgrain.session import fresh_path
+from roadgrain.sources import reports
 from roadgrain.sources.given import observations
 from roadgrain.sources.files import fingerprint
 
@@ -178,13 +179,11 @@ def decoded_labels(spark, sf_dir):
     over_observations("SELECT count(*) AS test_rows, CAST(0 AS BIGINT) AS differing_predictions FROM test", _SPLIT_SQL),
 )
 def rebuilt_from_specification(spark, sf_dir):
-    """A model refitted from the specification predicts the same class for every test row."""
+    """A model rebuilt from the stored document alone predicts the same class for every test row."""
     trained = _trained(spark, sf_dir)
-    data = observations(spark, sf_dir)
-    training, testing = split_at(data, trained.specification["training"]["cutoff_date"])
-    with T.training_rows(training, "obs_id") as rows:
-        rebuilt = specs.rebuild(trained.specification).fit(rows)
-    again = T.predict(rebuilt, testing).select("obs_id", F.col("prediction").alias("again"))
+    document = specs.load_spec(spark, _stored(spark, sf_dir))
+    training, testing = split_at(observations(spark, sf_dir), document["training"]["cutoff_date"])
+    again = T.predict(specs.rebuild(spark, document, training, "obs_id"), testing).select("obs_id", F.col("prediction").alias("again"))
     return (
         trained.predictions.select("obs_id", "prediction")
         .join(again, "obs_id")
@@ -304,15 +303,65 @@ def advisories_from_tree(spark, sf_dir):
     ),
 )
 def tree_advisory_checks(spark, sf_dir):
-    trained = _trained(spark, sf_dir)
-    testing = _test_rows(spark, sf_dir)
-    period = testing.agg(F.struct(F.min("date").alias("a"), F.max("date").alias("b"))).scalar()
+    """Of stored advisories, against the metrics of the stored specification and the split's own period."""
+    trained, folder = _trained(spark, sf_dir), _stored(spark, sf_dir)
+    gates.write_observed(trained.predictions, lambda rows: advise_predictions(rows, "obs_id"), f"{folder}/advisories")
+    stored = spark.read.parquet(f"{folder}/advisories")
+    document = reports.read_reports(spark, f"{folder}/specification")
+    period = test_period(observations(spark, sf_dir, "date"))
     return gates.predicted_advisory_checks(
-        testing,
+        _test_rows(spark, sf_dir),
         trained.predictions,
-        advise_predictions(trained.predictions, "obs_id"),
+        stored,
         ["obs_id"],
-        (period.getField("a"), period.getField("b")),
-        trained.metrics,
-        trained.metrics,
+        (period.select("first_date").scalar(), period.select("last_date").scalar()),
+        scoring.weighted_metrics(scoring.confusion_matrix(stored)),
+        reports.parse_spec_metrics(document, "report").select("metric", "value"),
+        gates.output_exists(spark, f"{folder}/advisories"),
+    )
+
+
+def _class_totals_sql(*models: str) -> str:
+    return over_observations(
+        " UNION ALL ".join(
+            f"SELECT '{model}' AS model, congestion_class AS actual_class, count(*) AS test_rows, true AS in_classes "
+            "FROM test GROUP BY congestion_class"
+            for model in models
+        ),
+        _SPLIT_SQL,
+    )
+
+
+def _class_totals(matrix: DataFrame, model: str) -> DataFrame:
+    """What any prediction has in common: rows per actual class, and predicted classes that are classes."""
+    known = F.bool_and(F.col("predicted_class").isin(S.CLASSES))
+    return matrix.groupBy("actual_class").agg(F.sum("count").alias("test_rows"), known.alias("in_classes")).withColumn(
+        "model", F.lit(model)
+    )
+
+
+@query("M3_matrix_totals", _class_totals_sql("decision_tree"))
+def matrix_totals(spark, sf_dir):
+    return _class_totals(_trained(spark, sf_dir).matrix, "decision_tree")
+
+
+@query("M4_matrix_totals", _class_totals_sql("decision_tree", "random_forest"))
+def benchmark_totals(spark, sf_dir):
+    forest = _class_totals(_trained(spark, sf_dir, "forest").matrix, "random_forest")
+    return _class_totals(_trained(spark, sf_dir).matrix, "decision_tree").unionByName(forest)
+
+
+@query(
+    "A9_importance_groups",
+    "SELECT unnest([{}]) AS feature_group, true AS in_range, true AS adds_up_to_one".format(
+        ", ".join(f"'{name}'" for name in S.FEATURES)
+    ),
+)
+def importance_groups(spark, sf_dir):
+    """Every feature once, between 0 and 1, and all of them adding up to 1."""
+    trained = _trained(spark, sf_dir, "forest")
+    found = T.grouped_importances(T.slot_importances(trained.model, observations(spark, sf_dir)))
+    total = found.agg(F.sum("importance")).scalar()
+    return found.select(
+        "feature_group", F.col("importance").between(0.0, 1.0).alias("in_range"), (F.abs(total - 1.0) < 1e-4).alias("adds_up_to_one")
     )

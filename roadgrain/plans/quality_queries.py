@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadgrain import schemas as S
 from roadgrain.operators import contracts as C, gates as G, quality as K, scoring
 from roadgrain.operators.advisory import advise, advise_predictions
-from roadgrain.operators.split import split_at
+from roadgrain.operators.split import cutoff_date, split_at, test_period
 from roadgrain.operators.summaries import summarise_all
 from roadgrain.plans.registry import (
     ACTIONS_SQL,
     NOTES_SQL,
+    QUERIES,
     over_observations,
     over_predictions,
     query,
     rounded,
     sql_r4,
 )
+from roadgrain.plans.shape_queries import CUTOFF_SQL
 from roadgrain.plans.summary_queries import MATRIX_SQL, metrics_sql
+from roadgrain.session import fresh_path
+from roadgrain.sources import reports
 from roadgrain.sources.given import observations, rule_predictions, table
 
 
@@ -62,18 +66,6 @@ def duplicate_keys(spark, sf_dir):
     return K.duplicate_keys(observations(spark, sf_dir, "date", "corridor"), ["date", "corridor"])
 
 
-@query(
-    "K3_surplus_duplicates",
-    over_observations(
-        "SELECT count(*) AS row_count, (SELECT count(*) FROM d) AS distinct_row_count, "
-        "count(*) - (SELECT count(*) FROM d) AS duplicate_rows FROM obs",
-        "d AS (SELECT DISTINCT date, corridor, congestion_class FROM obs)",
-    ),
-)
-def surplus_duplicates(spark, sf_dir):
-    return K.surplus_rows(observations(spark, sf_dir, "date", "corridor", S.TARGET))
-
-
 _ALL_COLUMNS_SQL = (
     "date, area, road_intersection, corridor, traffic_volume, average_speed, travel_time_index, congestion_level, "
     "congestion_class, weather, roadwork, day_of_week, day_type, festival_flag, festival_name, holiday_flag"
@@ -81,14 +73,14 @@ _ALL_COLUMNS_SQL = (
 
 
 @query(
-    "K3_surplus_duplicates_all_columns",
+    "K3_surplus_duplicates",
     over_observations(
         "SELECT count(*) AS row_count, (SELECT count(*) FROM d) AS distinct_row_count, "
         "count(*) - (SELECT count(*) FROM d) AS duplicate_rows FROM obs",
         f"d AS (SELECT DISTINCT {_ALL_COLUMNS_SQL} FROM obs)",
     ),
 )
-def surplus_duplicates_all_columns(spark, sf_dir):
+def surplus_duplicates(spark, sf_dir):
     return K.surplus_rows(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS))
 
 
@@ -209,7 +201,25 @@ def raw_file_findings(spark, sf_dir):
     ),
 )
 def raw_file_profile(spark, sf_dir):
-    return C.raw_file_profile(_traffic_cells(spark, sf_dir), C.RAW_FILES["traffic.csv"])
+    profile = C.raw_file_profile(_traffic_cells(spark, sf_dir), C.RAW_FILES["traffic.csv"])
+    values = [name for name in profile.columns if name.endswith("_values")]
+    return profile.withColumns({name: F.array_join(name, ", ") for name in values})
+
+
+@query(
+    "K8_category_values",
+    over_observations(
+        _union(
+            [
+                f"SELECT '{n}' AS column_name, {n} AS value, count(*) AS row_count FROM traffic GROUP BY {n}"
+                for n in ("junction", "congestion_level", "signal_status")
+            ]
+        ),
+        _TRAFFIC_CELLS_SQL,
+    ),
+)
+def category_values(spark, sf_dir):
+    return C.category_values(_traffic_cells(spark, sf_dir), C.RAW_FILES["traffic.csv"])
 
 
 def _toll_cells(spark, sf_dir) -> DataFrame:
@@ -276,6 +286,37 @@ def registry_findings(spark, sf_dir):
     ).fillna(0, ["row_count"])
 
 
+def _write_cells(cells: DataFrame, path: str) -> None:
+    """Text cells as CSV files with a header, blanks as they are."""
+    writer = cells.write.mode("append").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+@query(
+    "K9_folder_findings",
+    over_observations(
+        f"SELECT 'traffic.csv' AS dataset, t.* FROM ({_TRAFFIC_FINDINGS}) t UNION ALL SELECT 'toll.csv', t.* FROM ("
+        + _findings_sql("toll", C.RAW_FILES["toll.csv"], list(C.RAW_FILES["toll.csv"].columns))
+        + ") t UNION ALL SELECT 'signal.csv', 'missing file', '', 0, NULL "
+        "UNION ALL SELECT 'festival_calendar.csv', 'empty file', '', 0, NULL",
+        _TRAFFIC_CELLS_SQL,
+        _TOLL_CELLS_SQL,
+    ),
+)
+def folder_findings(spark, sf_dir):
+    """The files are written from the tables first: one absent, one without a header, one in two column orders."""
+    folder = fresh_path(spark, "raw-folder")
+    _write_cells(_traffic_cells(spark, sf_dir), f"{folder}/traffic.csv")
+    toll = _toll_cells(spark, sf_dir)
+    early = F.col("transaction_count").cast("int") <= 2
+    _write_cells(toll.where(early), f"{folder}/toll.csv")
+    _write_cells(toll.where(~early).select(*reversed(toll.columns)), f"{folder}/toll.csv")
+    toll.where("false").select("timestamp").union(spark.range(1).select(F.lit(""))).coalesce(1).write.text(
+        f"{folder}/festival_calendar.csv"
+    )
+    return C.folder_findings(spark, folder).fillna(0, ["row_count"])
+
+
 # ---------------------------------------------------------------- strict reads
 def _report_sql(found: str) -> str:
     return (
@@ -410,6 +451,164 @@ def temporal_read_issues(spark, sf_dir):
     return C.issue_report(C.check_rows(_day_cells(spark, sf_dir), C.DAY_OF_WEEK_SUMMARY))
 
 
+# Files whose column orders differ, with short and long lines.
+def _write_lines(cells: DataFrame, path: str, key: Column) -> None:
+    """CSV lines in two column orders: even keys in the given one, odd ones reversed behind a note.
+
+    Some lines lack their last field, some have one too many. A separator that no line has keeps the
+    writer from quoting them.
+    """
+    columns = [name for name in cells.columns if name != "k"]
+    for odd, names in enumerate([columns, ["note", *reversed(columns)]]):
+        fields = [F.lit("n") if name == "note" else F.col(name) for name in names]
+        line = F.concat_ws(",", *fields)
+        short, long = F.concat_ws(",", *fields[:-1]), F.concat(line, F.lit(",x"))
+        written = F.when(key % 401 == 0, short).when(key % 409 == 0, long).otherwise(line)
+        lines = cells.where(key % 2 == odd).select(written.alias(",".join(names)))
+        lines.write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
+
+
+def _lines_sql(columns: list[str]) -> str:
+    """``cells``, given as ``good`` with a key k, after it was written by ``_write_lines``.
+
+    A field may be lost, and in a line with too few or too many fields an empty one counts as lost.
+    """
+    lost = {columns[0]: 1, columns[-1]: 0}
+    fields = [
+        f"CASE WHEN k % 401 = 0 AND k % 2 = {lost.get(name, 2)} THEN NULL "
+        f"WHEN k % 401 = 0 OR k % 409 = 0 THEN nullif({name}, '') ELSE {name} END AS {name}"
+        for name in columns
+    ]
+    even, odd = " || ',' || ".join(columns), "'n,' || " + " || ',' || ".join(reversed(columns))
+    short = " || ',' || ".join(columns[:-1]), "'n,' || " + " || ',' || ".join(reversed(columns[1:]))
+    raw = (
+        f"CASE WHEN k % 401 = 0 THEN CASE WHEN k % 2 = 0 THEN {short[0]} ELSE {short[1]} END "
+        f"WHEN k % 409 = 0 THEN CASE WHEN k % 2 = 0 THEN {even} ELSE {odd} END || ',x' END AS raw"
+    )
+    return f"cells AS (SELECT k, {', '.join(fields)}, {raw} FROM good)"
+
+
+_MALFORMED_SQL = "SELECT 'wrong number of fields' AS issue, '' AS column_name, raw AS cell FROM cells WHERE raw IS NOT NULL"
+
+
+def _summary_cells(spark, sf_dir) -> DataFrame:
+    key = F.col("o_orderkey")
+
+    def number(modulus: int, text: str = ""):
+        return F.concat((key % modulus).cast("string"), F.lit(text))
+
+    return table(spark, sf_dir, "orders").select(
+        key.alias("k"),
+        F.when(key % 311 == 0, "").when(key % 313 == 0, F.concat(F.lit("c"), key - 1)).otherwise(F.concat(F.lit("c"), key)).alias("corridor"),
+        F.when(key % 103 == 0, "12.5").otherwise(number(900)).alias("record_count"),
+        F.when(key % 113 == 0, "half").otherwise(number(99, ".5")).alias("average_traffic_volume"),
+        number(60, ".25").alias("average_speed"),
+        F.when(key % 117 == 0, "12.5d").otherwise(number(95, ".75")).alias("average_congestion_level"),
+        number(3, ".5").alias("average_travel_time_index"),
+        number(90).alias("low_congestion_count"),
+        F.when(key % 127 == 0, "").otherwise(number(80)).alias("medium_congestion_count"),
+        F.when(key % 109 == 0, "many").otherwise(number(70)).alias("high_congestion_count"),
+    )
+
+
+_SUMMARY_SQL = (
+    "good AS (SELECT k, CASE WHEN k % 311 = 0 THEN '' WHEN k % 313 = 0 THEN 'c' || (k - 1) ELSE 'c' || k END AS corridor, "
+    "CASE WHEN k % 103 = 0 THEN '12.5' ELSE CAST(k % 900 AS VARCHAR) END AS record_count, "
+    "CASE WHEN k % 113 = 0 THEN 'half' ELSE (k % 99) || '.5' END AS average_traffic_volume, (k % 60) || '.25' AS average_speed, "
+    "CASE WHEN k % 117 = 0 THEN '12.5d' ELSE (k % 95) || '.75' END AS average_congestion_level, "
+    "(k % 3) || '.5' AS average_travel_time_index, CAST(k % 90 AS VARCHAR) AS low_congestion_count, "
+    "CASE WHEN k % 127 = 0 THEN '' ELSE CAST(k % 80 AS VARCHAR) END AS medium_congestion_count, "
+    "CASE WHEN k % 109 = 0 THEN 'many' ELSE CAST(k % 70 AS VARCHAR) END AS high_congestion_count "
+    "FROM (SELECT o_orderkey AS k FROM orders)), " + _lines_sql(C.CORRIDOR_SUMMARY.columns)
+)
+
+
+@query(
+    "K10_corridor_summary_issues",
+    f"WITH {_SUMMARY_SQL} "
+    + _report_sql(
+        _union(
+            [
+                _MALFORMED_SQL,
+                _issue_sql("cells", "incomplete", "corridor", "corridor IS NULL"),
+                _issue_sql("cells", "incomplete", "high_congestion_count", "high_congestion_count IS NULL"),
+                _issue_sql("cells", "incomplete", "medium_congestion_count", "medium_congestion_count IS NULL"),
+                _issue_sql("cells", "empty key", "corridor", "corridor = ''"),
+                _issue_sql(
+                    "cells",
+                    "duplicate key",
+                    "corridor",
+                    "corridor <> '' AND corridor IN (SELECT corridor FROM cells GROUP BY corridor HAVING count(*) > 1)",
+                ),
+                _issue_sql("cells", "invalid integer", "record_count", "record_count = '12.5'"),
+                _issue_sql("cells", "invalid integer", "medium_congestion_count", "medium_congestion_count = ''"),
+                _issue_sql("cells", "invalid integer", "high_congestion_count", "high_congestion_count = 'many'"),
+                _issue_sql("cells", "invalid number", "average_traffic_volume", "average_traffic_volume = 'half'"),
+                _issue_sql("cells", "invalid number", "average_congestion_level", "average_congestion_level = '12.5d'"),
+            ]
+        )
+    ),
+)
+def corridor_summary_issues(spark, sf_dir):
+    folder = fresh_path(spark, "corridor-summary")
+    _write_lines(_summary_cells(spark, sf_dir), folder, F.col("k"))
+    return C.issue_report(C.check_files(spark, folder, C.CORRIDOR_SUMMARY))
+
+
+def _day_type_cells(spark, sf_dir) -> DataFrame:
+    key = F.col("o_orderkey")
+    number = F.concat((key % 70).cast("string"), F.lit(".25"))
+    return table(spark, sf_dir, "orders").select(
+        key.alias("k"),
+        F.when(key % 101 == 0, "").when(key % 7 < 2, "Weekend").otherwise("Weekday").alias("day_type"),
+        F.when(key % 103 == 0, "-2").when(key % 107 == 0, "1e3").otherwise((key % 900).cast("string")).alias("record_count"),
+        F.when(key % 109 == 0, "NaN").otherwise(number).alias("average_traffic_volume"),
+        F.when(key % 113 == 0, "-inf").otherwise(number).alias("average_speed"),
+        F.when(key % 127 == 0, "fast").otherwise(number).alias("average_congestion_level"),
+        F.when(key % 131 == 0, "").otherwise(number).alias("average_travel_time_index"),
+        (key % 50).cast("string").alias("high_congestion_count"),
+        F.when(key % 137 == 0, "100.5").otherwise(number).alias("high_congestion_percentage"),
+    )
+
+
+_DAY_TYPE_SQL = (
+    "good AS (SELECT k, CASE WHEN k % 101 = 0 THEN '' WHEN k % 7 < 2 THEN 'Weekend' ELSE 'Weekday' END AS day_type, "
+    "CASE WHEN k % 103 = 0 THEN '-2' WHEN k % 107 = 0 THEN '1e3' ELSE CAST(k % 900 AS VARCHAR) END AS record_count, "
+    "CASE WHEN k % 109 = 0 THEN 'NaN' ELSE v END AS average_traffic_volume, "
+    "CASE WHEN k % 113 = 0 THEN '-inf' ELSE v END AS average_speed, "
+    "CASE WHEN k % 127 = 0 THEN 'fast' ELSE v END AS average_congestion_level, "
+    "CASE WHEN k % 131 = 0 THEN '' ELSE v END AS average_travel_time_index, CAST(k % 50 AS VARCHAR) AS high_congestion_count, "
+    "CASE WHEN k % 137 = 0 THEN '100.5' ELSE v END AS high_congestion_percentage "
+    "FROM (SELECT o_orderkey AS k, (o_orderkey % 70) || '.25' AS v FROM orders)), " + _lines_sql(C.DAY_TYPE_SUMMARY.columns)
+)
+
+
+@query(
+    "K11_day_type_issues",
+    f"WITH {_DAY_TYPE_SQL} "
+    + _report_sql(
+        _union(
+            [
+                _MALFORMED_SQL,
+                _issue_sql("cells", "incomplete", "day_type", "coalesce(day_type, '') = ''"),
+                _issue_sql("cells", "incomplete", "average_travel_time_index", "average_travel_time_index = ''"),
+                _issue_sql("cells", "incomplete", "high_congestion_percentage", "high_congestion_percentage IS NULL"),
+                _issue_sql("cells", "out of range", "record_count", "record_count = '-2'"),
+                _issue_sql("cells", "invalid integer", "record_count", "record_count = '1e3'"),
+                _issue_sql("cells", "non-finite number", "average_traffic_volume", "average_traffic_volume = 'NaN'"),
+                _issue_sql("cells", "non-finite number", "average_speed", "average_speed = '-inf'"),
+                _issue_sql("cells", "invalid number", "average_congestion_level", "average_congestion_level = 'fast'"),
+                _issue_sql("cells", "out of range", "high_congestion_percentage", "high_congestion_percentage = '100.5'"),
+            ]
+        )
+    ),
+)
+def day_type_issues(spark, sf_dir):
+    folder = fresh_path(spark, "day-types")
+    _write_lines(_day_type_cells(spark, sf_dir), folder, F.col("k"))
+    return C.issue_report(C.check_files(spark, folder, C.DAY_TYPE_SUMMARY))
+
+
 def _advisory_cells(spark, sf_dir) -> DataFrame:
     rows = advise(observations(spark, sf_dir), "obs_id")
     key = F.col("obs_id")
@@ -445,7 +644,18 @@ def advisory_read_issues(spark, sf_dir):
     return C.issue_report(C.check_rows(_advisory_cells(spark, sf_dir), C.ADVISORY_ROWS))
 
 
+@query("K12_advisory_file_issues", QUERIES["K12_advisory_read_issues"].sql)
+def advisory_file_issues(spark, sf_dir):
+    """The same advisories from CSV files, half of which have their columns reversed."""
+    cells, folder = _advisory_cells(spark, sf_dir), fresh_path(spark, "advisories")
+    high = F.col("advisory_level") == "High"
+    _write_cells(cells.where(high), folder)
+    _write_cells(cells.where(~high).select(*reversed(cells.columns)), folder)
+    return C.issue_report(C.check_files(spark, folder, C.ADVISORY_ROWS))
+
+
 # ------------------------------------------------------------- feature inspection
+# ---------------------------------------------------------------- fixed values
 _INSPECTED = {
     "numeric": ["traffic_volume", "average_speed", "travel_time_index", "congestion_level"],
     "categorical": ["corridor", "area", "road_intersection", "weather", "roadwork", "day_type"],
@@ -458,10 +668,6 @@ _INSPECTED_SQL = {
     for group, names in _INSPECTED.items()
     for name in names
 }
-_INSPECTION_SQL = _union(
-    [part for name, part in _INSPECTED_SQL.items() if name != "roadwork"]
-    + ["SELECT 'roadwork', 'categorical', false, false, -1, -1"]
-)
 _ABSENT = {
     "numeric": [
         "road_capacity_utilization",
@@ -481,16 +687,10 @@ _ABSENT = {
         "signal-event features",
     ],
 }
+# ------------------------------------------------------------ end fixed values
 _ABSENT_SQL = [f"SELECT '{name}', '{group}', false, false, -1, -1" for group, names in _ABSENT.items() for name in names]
 
 
-@query("K13_feature_availability", over_observations(_INSPECTION_SQL))
-def feature_availability(spark, sf_dir):
-    """Its 13 features on a table without ``roadwork``, as its SQL has it; K13_all_candidates has the whole inspection."""
-    inspected = K.feature_inspection(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS).drop("roadwork"))
-    return inspected.where(F.col("feature").isin(*_INSPECTED_SQL)).fillna(-1, ["null_count", "distinct_count"])
-
-
 @query("K13_all_candidates", over_observations(_union([*_INSPECTED_SQL.values(), *_ABSENT_SQL])))
 def all_candidates(spark, sf_dir):
     """Every candidate and every feature listed as unavailable, on the untouched table; -1 where there is no count."""
@@ -617,12 +817,11 @@ def split_quality(spark, sf_dir):
     ),
 )
 def advisory_checks(spark, sf_dir):
-    """With the (date, corridor) key, which is not unique in these tables, so one check fails."""
-    data = observations(spark, sf_dir)
-    return G.advisory_checks(data, advise(data), ["date", "corridor"])
-
-
-_TEST_SQL = "test AS (SELECT * FROM pred WHERE date > DATE '2000-01-01')"
+    """Of stored advisories, with the (date, corridor) key, which is not unique in these tables, so one check fails."""
+    path = fresh_path(spark, "advisories")
+    counted = G.write_observed(observations(spark, sf_dir), advise, path)
+    stored = spark.read.parquet(path)
+    return G.advisory_checks(counted["input_rows"], stored, ["date", "corridor"], G.output_exists(spark, path))
 
 
 @query(
@@ -640,30 +839,41 @@ _TEST_SQL = "test AS (SELECT * FROM pred WHERE date > DATE '2000-01-01')"
                 "no_null_advisory_level": "(SELECT count(*) FROM test LEFT JOIN actions ON class = predicted_congestion_class "
                 "WHERE advisory_level IS NULL) = 0",
                 "advisory_levels_supported": "true",
-                "test_period_exact": "(SELECT min(date) = DATE '2000-01-02' AND max(date) = (SELECT max(date) FROM obs) FROM test)",
+                "test_period_exact": "(SELECT min(date) = (SELECT min(date) FROM dates WHERE date > (SELECT cutoff_date FROM cut)) "
+                "AND max(date) = (SELECT max(date) FROM dates) FROM test)",
                 "metrics_match_baseline": "true",
                 "output_exists": "true",
             }
         ),
         ACTIONS_SQL,
-        _TEST_SQL,
+        CUTOFF_SQL,
+        "test AS (SELECT * FROM pred WHERE date > (SELECT cutoff_date FROM cut))",
     ),
 )
 def predicted_advisory_checks(spark, sf_dir):
+    """Of stored advisories, against a stored specification's metrics and the split's own period."""
     carried = [n for n in S.PREDICTED_ADVISORY_COLUMNS[:11] if not n.endswith("congestion_class")]
     predictions = rule_predictions(spark, sf_dir, "obs_id", *carried)
-    _, testing = split_at(observations(spark, sf_dir, "obs_id", "date"), "2000-01-01")
-    _, tested = split_at(predictions, "2000-01-01")
-    metrics = scoring.weighted_metrics(scoring.confusion_matrix(tested))
-    last = observations(spark, sf_dir, "date").agg(F.max("date")).scalar()
+    facts = observations(spark, sf_dir, "obs_id", "date")
+    cutoff = cutoff_date(facts).select("cutoff_date").scalar()
+    testing, tested = (split_at(data, cutoff)[1] for data in (facts, predictions))
+    folder = fresh_path(spark, "prediction-run")
+    G.write_observed(tested, lambda rows: advise_predictions(rows, "obs_id"), f"{folder}/advisories")
+    measured = scoring.weighted_metrics(scoring.confusion_matrix(tested))
+    values = F.map_from_entries(F.collect_list(F.struct("metric", "value")))
+    measured.agg(F.to_json(F.struct(values.alias("evaluation")))).write.text(f"{folder}/specification")
+    stored = spark.read.parquet(f"{folder}/advisories")
+    document = reports.read_reports(spark, f"{folder}/specification")
+    period = test_period(facts)
     return G.predicted_advisory_checks(
         testing,
         tested,
-        advise_predictions(tested, "obs_id"),
+        stored,
         ["obs_id"],
-        (F.lit("2000-01-02").cast("date"), last),
-        metrics,
-        metrics,
+        (period.select("first_date").scalar(), period.select("last_date").scalar()),
+        scoring.weighted_metrics(scoring.confusion_matrix(stored)),
+        reports.parse_spec_metrics(document, "report").select("metric", "value"),
+        G.output_exists(spark, f"{folder}/advisories"),
     )
 
 

@@ -14,7 +14,7 @@ from roadgrain.operators.calendar import integrate_calendar
 from roadgrain.operators.scoring import confusion_matrix, weighted_metrics
 from roadgrain.operators.shape import add_corridor, standardise
 from roadgrain.operators.split import cutoff_date, split_at
-from roadgrain.sources.files import fingerprint, read_calendar, read_raw
+from roadgrain.sources.files import fingerprint, input_digest, read_calendar, read_raw
 
 
 def integrate(spark: SparkSession, raw_path: str, calendar_path: str) -> DataFrame:
@@ -35,9 +35,13 @@ class Trained:
     cutoff: str
 
 
-def train(integrated: DataFrame, classifier, order_key: str | None = None) -> Trained:
+def train(
+    integrated: DataFrame, classifier, order_key: str | None = None, input_paths: list[str] | None = None
+) -> Trained:
     """Split by time, fit, score the later part and describe the model.
 
+    With ``input_paths`` the digests of the input files' bytes become part of the description.
+
     Two small results reach the driver: the cutoff date and the confusion counts (at
     most nine), from which all metrics are computed in one pass over the predictions.
     """
@@ -61,14 +65,29 @@ def train(integrated: DataFrame, classifier, order_key: str | None = None) -> Tr
         {row["metric"]: row["value"] for row in metrics.collect()},
         importances,
     )
+    if input_paths:
+        description["training"]["input_files"] = file_marks(integrated.sparkSession, input_paths)
     return Trained(model, predictions, counted, metrics, description, cutoff.isoformat())
 
 
-def predict_and_advise(spark: SparkSession, integrated: DataFrame, path: str, *keep: str) -> DataFrame:
-    """Load a stored model, verify it against the input, score the test period and advise."""
+def file_marks(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The digest of every input's bytes, in the given order."""
+    return [input_digest(spark, path) for path in paths]
+
+
+def predict_and_advise(
+    spark: SparkSession, integrated: DataFrame, path: str, *keep: str, input_paths: list[str] | None = None
+) -> DataFrame:
+    """Load a stored model, verify it against the input, score the test period and advise.
+
+    A model that was trained with its input files' digests wants the same bytes again.
+    """
     stored, model = specs.load_spec(spark, path), specs.load_model(path)
     cutoff = stored["training"]["cutoff_date"]
     mark = "-".join(str(part) for part in fingerprint(integrated).first())
-    specs.require_spec(specs.spec_conditions(stored, model, cutoff, mark))
+    conditions = specs.spec_conditions(stored, model, cutoff, mark)
+    if "input_files" in stored["training"]:
+        conditions["input_files"] = stored["training"]["input_files"] == file_marks(spark, input_paths or [])
+    specs.require_spec(conditions)
     _, testing = split_at(integrated, cutoff)
     return advise_predictions(T.predict(model, testing), *keep)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadgrain import schemas as S
-from roadgrain.operators import aggregates as A, scoring, summaries
+from roadgrain.functions.derive import threshold_class
+from roadgrain.operators import aggregates as A, gates, reporting, scoring, summaries
+from roadgrain.operators.advisory import advise, apply_rules
 from roadgrain.operators.shape import typed
+from roadgrain.operators.split import cutoff_date, with_part
 from roadgrain.plans.registry import (
     CALENDAR_SQL,
     over_observations,
@@ -14,8 +17,10 @@ from roadgrain.plans.registry import (
     query,
     r4,
     rounded,
+    sql_class,
     sql_r4,
 )
+from roadgrain.plans.shape_queries import CUTOFF_SQL
 from roadgrain.plans.summary_queries import MATRIX_SQL, metrics_sql
 from roadgrain.session import fresh_path
 from roadgrain.sources import files, reports, synthetic
@@ -279,6 +284,169 @@ def run_report(spark, sf_dir):
     )
 
 
+def _scored(spark, sf_dir, *columns: str) -> DataFrame:
+    """Observations with their part (P8's cutoff) and the rule's prediction; the other columns as asked."""
+    facts = observations(spark, sf_dir, "date", "traffic_volume", S.TARGET, *[c for c in columns if c not in ("date", "traffic_volume")])
+    cutoff = cutoff_date(observations(spark, sf_dir, "date")).select("cutoff_date").scalar()
+    classes = {
+        reporting.ACTUAL: F.col(S.TARGET),
+        reporting.PREDICTED: threshold_class(F.col("traffic_volume") / 5000.0),
+    }
+    return with_part(facts.withColumns(classes), cutoff)
+
+
+def _store(name: str):
+    return lambda data: files.stored(data, name)
+
+
+_PARTED_SQL = (
+    f"{CUTOFF_SQL}, s AS (SELECT *, CASE WHEN date <= (SELECT cutoff_date FROM cut) THEN 'training' ELSE 'testing' END AS part FROM pred), "
+    "tested AS (SELECT * FROM s WHERE part = 'testing'), "
+    "matrix AS (SELECT actual_congestion_class AS actual_class, predicted_congestion_class AS predicted_class, count(*) AS count "
+    "FROM tested GROUP BY ALL)"
+)
+_PART_LINES_SQL = (
+    "SELECT 'dataset' AS section, part || ' rows' AS name, CAST(count(*) AS VARCHAR) AS value FROM s GROUP BY part "
+    "UNION ALL SELECT 'dataset', part || ' first date', CAST(min(date) AS VARCHAR) FROM s GROUP BY part "
+    "UNION ALL SELECT 'dataset', part || ' last date', CAST(max(date) AS VARCHAR) FROM s GROUP BY part "
+    "UNION ALL SELECT 'dataset', 'total rows', CAST(count(*) AS VARCHAR) FROM s"
+)
+_EVALUATION_SQL = "UNION ALL SELECT 'evaluation', metric, printf('%.6f', value) FROM m_weighted"
+_CELLS_SQL = "UNION ALL SELECT 'confusion matrix', actual_class || ',' || predicted_class, CAST(count AS VARCHAR) FROM "
+
+
+def _context_lines_sql(rows: str) -> str:
+    counts = {
+        "festival": "festival_flag",
+        "holiday": "holiday_flag",
+        "roadwork": "roadwork = 'Yes'",
+        "rain_or_fog": "weather IN ('Rain', 'Fog')",
+    }
+    return " ".join(
+        f"UNION ALL SELECT 'context', '{name}', CAST(count(*) FILTER ({condition}) AS VARCHAR) FROM {rows}"
+        for name, condition in counts.items()
+    )
+
+
+@query(
+    "S8_training_report",
+    over_predictions(
+        f"""{_PART_LINES_SQL} UNION ALL SELECT 'class distribution', part || ' ' || congestion_class,
+          printf('count=%d, percentage=%.4f%%', count(*), 100e0 * count(*) / any_value(n))
+          FROM s JOIN (SELECT part, count(*) AS n FROM s GROUP BY part) USING (part) GROUP BY part, congestion_class
+        {_EVALUATION_SQL} {_CELLS_SQL} matrix UNION ALL SELECT 'quality', part || ' rows with a null feature',
+          CAST(count(*) FILTER ({" OR ".join(f"{c} IS NULL" for c in S.FEATURES)}) AS VARCHAR) FROM s GROUP BY part
+        UNION ALL SELECT 'quality', 'training before testing', CASE WHEN max(date) FILTER (part = 'training')
+          < min(date) FILTER (part = 'testing') THEN 'PASS' ELSE 'FAIL' END FROM s""",
+        _PARTED_SQL,
+        metrics_sql("matrix", "m"),
+    ),
+)
+def training_report(spark, sf_dir):
+    return reporting.training_report(_scored(spark, sf_dir, *S.FEATURES), _store("training-report"))
+
+
+@query(
+    "S8_benchmark_report",
+    over_predictions(
+        f"{_PART_LINES_SQL} UNION ALL SELECT 'volume rule', metric, printf('%.6f', value) FROM m_weighted "
+        f"UNION ALL SELECT 'blended rule', metric, printf('%.6f', value) FROM n_weighted {_CELLS_SQL} matrix2",
+        _PARTED_SQL,
+        f"matrix2 AS (SELECT congestion_class AS actual_class, {sql_class('((traffic_volume / 5000e0 + congestion_level) / 2e0)')} "
+        "AS predicted_class, count(*) AS count FROM tested GROUP BY ALL)",
+        metrics_sql("matrix", "m"),
+        metrics_sql("matrix2", "n"),
+    ),
+)
+def benchmark_report(spark, sf_dir):
+    blend = threshold_class((F.col("traffic_volume") / 5000.0 + F.col("congestion_level")) / 2.0)
+    scored = _scored(spark, sf_dir, "congestion_level").withColumn("blended", blend)
+    models = {"volume rule": reporting.PREDICTED, "blended rule": "blended"}
+    return reporting.benchmark_report(scored, models, _store("benchmark-report"))
+
+
+_LEVEL_SQL = "CASE {} WHEN 'Low' THEN 'Normal' WHEN 'Medium' THEN 'Moderate' ELSE 'High' END"
+
+
+@query(
+    "S8_advisory_report",
+    over_observations(
+        "SELECT 'dataset' AS section, 'total advisories' AS name, CAST(count(*) AS VARCHAR) AS value FROM obs "
+        f"UNION ALL SELECT 'advisory level', {_LEVEL_SQL.format('congestion_class')}, CAST(count(*) AS VARCHAR) FROM obs GROUP BY congestion_class "
+        "UNION ALL SELECT 'congestion class', congestion_class, CAST(count(*) AS VARCHAR) FROM obs GROUP BY congestion_class "
+        f"{_context_lines_sql('obs')} UNION ALL SELECT 'validation', 'rows_kept', CASE WHEN (SELECT count(*) FROM obs) "
+        "= (SELECT count(*) FROM orders) THEN 'PASS' ELSE 'FAIL' END"
+    ),
+)
+def advisory_report(spark, sf_dir):
+    """Of stored advisories, with the check that every observation, counted while it passed, has one."""
+    path = fresh_path(spark, "advisories")
+    counted = gates.write_observed(observations(spark, sf_dir), advise, path)
+    stored = spark.read.parquet(path)
+    checks = gates.rows_kept(counted["input_rows"], stored)
+    return reporting.advisory_report(stored, _store("advisory-report"), checks)
+
+
+@query(
+    "S8_prediction_report",
+    over_predictions(
+        f"{_PART_LINES_SQL} UNION ALL SELECT 'predictions', predicted_congestion_class, CAST(count(*) AS VARCHAR) FROM tested "
+        f"GROUP BY predicted_congestion_class {_EVALUATION_SQL} {_CELLS_SQL} matrix UNION ALL SELECT 'advisory level', "
+        f"{_LEVEL_SQL.format('predicted_congestion_class')}, CAST(count(*) AS VARCHAR) FROM tested GROUP BY predicted_congestion_class "
+        f"{_context_lines_sql('tested')}",
+        _PARTED_SQL,
+        metrics_sql("matrix", "m"),
+    ),
+)
+def prediction_report(spark, sf_dir):
+    scored = _scored(spark, sf_dir, "festival_flag", "holiday_flag", "roadwork", "weather")
+    advised = apply_rules(scored, reporting.PREDICTED)
+    return reporting.prediction_report(advised, _store("prediction-report"))
+
+
+def _feature_report_sql() -> str:
+    features = [*S.CATEGORICAL_FEATURES, "day_of_week", *S.BOOLEAN_FEATURES]
+    lines = [("dataset", "rows", "count(*)"), ("dataset", "first date", "min(date)"), ("dataset", "last date", "max(date)")]
+    lines += [
+        ("target", c, f"printf('count=%d, percentage=%.4f%%', count(*) FILTER ({S.TARGET} = '{c}'), "
+         f"100e0 * count(*) FILTER ({S.TARGET} = '{c}') / count(*))")
+        for c in S.CLASSES
+    ]
+    lines += [("distinct values", c, f"count(DISTINCT {c})") for c in features]
+    lines += [("null counts", c, f"count(*) FILTER ({c} IS NULL)") for c in [*features, *S.NUMERIC_MEASURES]]
+    for c in S.NUMERIC_MEASURES:
+        lines.append(("numeric summary", f"{c} count", f"count({c})"))
+        for name, function in (("min", "min"), ("max", "max"), ("mean", "avg")):
+            lines.append(("numeric summary", f"{c} {name}", f"printf('%.3f', {function}({c}) + 1e-7)"))
+    parts = [f"SELECT '{s}' AS section, '{n}' AS name, CAST({v} AS VARCHAR) AS value FROM obs" for s, n, v in lines]
+    parts += [f"SELECT 'excluded', '{c}', '{why}'" for c, why in S.EXCLUDED_FEATURES.items()]
+    parts += [f"SELECT 'unavailable', '{c}', ''" for c in S.UNAVAILABLE_FEATURES]
+    return " UNION ALL ".join(parts)
+
+
+@query("S8_feature_report", over_observations(_feature_report_sql()))
+def feature_report(spark, sf_dir):
+    return reporting.feature_report(observations(spark, sf_dir, *S.INTEGRATED_COLUMNS), _store("feature-report"))
+
+
+@query(
+    "S11_file_fingerprint",
+    """WITH y AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, string_agg(o_orderkey || ',' || o_custkey, chr(10) ORDER BY o_orderkey) || chr(10)
+         AS content FROM orders GROUP BY 1)
+       SELECT y AS year, CAST(length(content) AS BIGINT) AS length, sha256(content) AS sha256 FROM y""",
+)
+def file_fingerprint(spark, sf_dir):
+    """Digests of the bytes of text files, one for the orders of each year, that are written from the table first."""
+    path = fresh_path(spark, "years")
+    lines = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("y"), "o_orderkey", F.concat_ws(",", "o_orderkey", "o_custkey").alias("line")
+    )
+    dealt = lines.repartition("y").sortWithinPartitions("y", "o_orderkey")
+    dealt.select("y", "line").write.partitionBy("y").text(path)
+    year = F.regexp_extract("file", r"y=(\d+)", 1)
+    return files.file_digests(spark, path).where("length > 0").select(year.alias("year"), "length", "sha256")
+
+
 # ---------------------------------------------------------------- text reports
 def _shares(spark, sf_dir) -> DataFrame:
     """Four shares in [0, 1] per corridor, and the number in its road name."""
@@ -522,114 +690,3 @@ def _synthetic_calendar(spark, sf_dir) -> DataFrame:
 @query("S17_synthetic_calendar", f"WITH {_SYNTHETIC_CALENDAR_SQL} SELECT * FROM scal")
 def synthetic_calendar(spark, sf_dir):
     return _synthetic_calendar(spark, sf_dir)
-
-
-_DAY = "CAST(epoch(date) / 86400 AS BIGINT)"
-
-
-def _stepped_draws(source: str, name: str, draws: dict[str, list[str]]) -> str:
-    """Named parts computing the final state of several draws, one key per step."""
-    prime, parts, previous = 2147483647, [], source
-    steps = max(len(keys) for keys in draws.values())
-    for step in range(steps):
-        mixed = [
-            f"(({f'{d}_s' if step else synthetic.SEED}) + ({keys[step]})::BIGINT % {prime}) * 48271 % {prime} AS {d}_m"
-            for d, keys in draws.items()
-            if step < len(keys)
-        ]
-        live = [d for d, keys in draws.items() if step < len(keys)]
-        parts.append(f"{name}_a{step} AS (SELECT *, {', '.join(mixed)} FROM {previous})")
-        once = [f"xor({d}_m, {d}_m >> 15) * 69621 % {prime} AS {d}_o" for d in live]
-        parts.append(f"{name}_b{step} AS (SELECT *, {', '.join(once)} FROM {name}_a{step})")
-        drop = ", ".join([f"{d}_m" for d in live] + [f"{d}_o" for d in live] + ([f"{d}_s" for d in live] if step else []))
-        final = [f"xor({d}_o, {d}_o >> 13) AS {d}_s" for d in live]
-        parts.append(f"{name}_c{step} AS (SELECT * EXCLUDE ({drop}), {', '.join(final)} FROM {name}_b{step})")
-        previous = f"{name}_c{step}"
-    parts.append(f"{name} AS (SELECT * FROM {previous})")
-    return ", ".join(parts)
-
-
-_TRAFFIC_SQL = (
-    _SYNTHETIC_CALENDAR_SQL
-    + ", t0 AS (SELECT s_suppkey % 6 AS idx, s_name AS junction, date, day_type, h AS hour FROM supplier, scal, "
-    "(SELECT unnest([0, 4, 8, 12, 16, 20]) AS h)), "
-    + _stepped_draws(
-        "t0",
-        "t1",
-        {"w": [_DAY, "1"], "n": [_DAY, "idx", "hour", "2"], "g": [_DAY, "idx", "hour", "3"]},
-    )
-    + ", t2 AS (SELECT *, ['Clear', 'Cloudy', 'Light Rain', 'Heavy Rain'][CAST(w_s % 4 + 1 AS INTEGER)] AS weather, "
-    "n_s % 141 - 70 AS noise, g_s % 100 AS share FROM t1), "
-    "t3 AS (SELECT *, greatest(20, CASE WHEN hour IN (8, 12, 16, 20) THEN 420 ELSE 220 END "
-    "+ CASE WHEN dayofweek(date) IN (0, 6) THEN 140 ELSE 0 END + CASE WHEN day_type = 'Festival Day' THEN 230 ELSE 0 END "
-    "+ CASE WHEN weather IN ('Light Rain', 'Heavy Rain') THEN 180 ELSE 0 END + idx * 35 + noise)::BIGINT AS volume FROM t2), "
-    "traffic AS (SELECT date + to_hours(hour) AS timestamp, junction, volume AS traffic_volume, "
-    "CASE WHEN volume / (800e0 + idx * 40) >= 0.9e0 THEN 'Severe' WHEN volume / (800e0 + idx * 40) >= 0.7e0 THEN 'High' "
-    "WHEN volume / (800e0 + idx * 40) >= 0.45e0 THEN 'Moderate' ELSE 'Low' END AS congestion_level, weather, "
-    "CASE WHEN share < 65 THEN 'Green' WHEN share < 85 THEN 'Yellow' ELSE 'Red' END AS signal_status FROM t3)"
-)
-
-
-def _traffic(spark, sf_dir) -> DataFrame:
-    junctions = table(spark, sf_dir, "supplier").select(
-        (F.col("s_suppkey") % 6).alias("junction_index"), F.col("s_name").alias("junction")
-    )
-    return synthetic.synthetic_traffic(junctions, _synthetic_calendar(spark, sf_dir))
-
-
-@query(
-    "S18_synthetic_observations",
-    f"WITH {_TRAFFIC_SQL} SELECT junction, congestion_level, weather, count(*) AS row_count, "
-    "sum(traffic_volume)::BIGINT AS total_volume, min(timestamp) AS first_time, max(timestamp) AS last_time "
-    "FROM traffic GROUP BY junction, congestion_level, weather",
-)
-def synthetic_observations(spark, sf_dir):
-    return (
-        _traffic(spark, sf_dir)
-        .groupBy("junction", "congestion_level", "weather")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum("traffic_volume").alias("total_volume"),
-            F.min("timestamp").alias("first_time"),
-            F.max("timestamp").alias("last_time"),
-        )
-    )
-
-
-_TOLL_SQL = (
-    _SYNTHETIC_CALENDAR_SQL
-    + ", t0 AS (SELECT s_suppkey % 4 AS idx, s_name AS toll_plaza, date, day_type, h AS hour FROM supplier, scal, "
-    "(SELECT unnest([6, 12, 18, 22]) AS h)), "
-    + _stepped_draws("t0", "t1", {"v": [_DAY, "idx", "hour", "4"], "x": [_DAY, "idx", "hour", "5"]})
-    + ", toll AS (SELECT date, toll_plaza, greatest(20, 500 + idx * 80 + CASE WHEN dayofweek(date) IN (0, 6) THEN 170 ELSE 0 END "
-    "+ CASE WHEN day_type = 'Festival Day' THEN 260 ELSE 0 END + v_s % 181 - 90)::BIGINT AS vehicles, x_s % 26 AS extra FROM t1)"
-)
-
-
-@query(
-    "S19_synthetic_tolls",
-    f"WITH {_TOLL_SQL} SELECT toll_plaza, count(*) AS row_count, sum(vehicles)::BIGINT AS vehicle_count, "
-    "sum(vehicles + extra)::BIGINT AS transaction_count, max(extra) AS largest_surplus FROM toll GROUP BY toll_plaza",
-)
-def synthetic_tolls(spark, sf_dir):
-    plazas = table(spark, sf_dir, "supplier").select(
-        (F.col("s_suppkey") % 4).alias("plaza_index"), F.col("s_name").alias("toll_plaza")
-    )
-    rows = synthetic.synthetic_tolls(plazas, _synthetic_calendar(spark, sf_dir))
-    return rows.groupBy("toll_plaza").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum("vehicle_count").alias("vehicle_count"),
-        F.sum("transaction_count").alias("transaction_count"),
-        F.max(F.col("transaction_count") - F.col("vehicle_count")).alias("largest_surplus"),
-    )
-
-
-@query(
-    "S20_synthetic_signals",
-    f"WITH {_TRAFFIC_SQL} SELECT junction, signal_status, count(*) AS row_count, max(timestamp) AS last_time FROM traffic GROUP BY ALL",
-)
-def synthetic_signals(spark, sf_dir):
-    signals = synthetic.synthetic_signals(_traffic(spark, sf_dir))
-    return signals.groupBy("junction", "signal_status").agg(
-        F.count(F.lit(1)).alias("row_count"), F.max("timestamp").alias("last_time")
-    )

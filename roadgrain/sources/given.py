@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from roadgrain import schemas as S
 from roadgrain.functions.derive import corridor_name, day_type, threshold_class
 from roadgrain.operators.calendar import integrate_calendar
+from roadgrain.operators.rows import unfold
 
 # Month, day, name, festival, holiday of the yearly calendar.
 YEARLY_CALENDAR = [
@@ -67,16 +68,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The date dimension: the yearly template over the years of the facts' first to last date."""
-    rows = ", ".join(
-        f"({month}, {day}, '{name}', {festival}, {holiday})"
-        for month, day, name, festival, holiday in YEARLY_CALENDAR
-    )
-    year = F.year("o_orderdate")
-    limits = table(spark, sf_dir, "orders").agg(F.min(year).alias("first"), F.max(year).alias("last"))
-    years = F.sequence(limits.select("first").scalar(), limits.select("last").scalar())
-    template = spark.sql(f"SELECT * FROM VALUES {rows} AS t(m, d, festival_name, festival_flag, holiday_flag)")
-    return template.withColumn("y", F.explode(years)).select(
+    """The date dimension: the yearly template over the years of the facts' first to last date, found in one look."""
+    day = F.col("o_orderdate")
+    limits = table(spark, sf_dir, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    years = limits.select(F.explode(F.sequence(F.year("first"), F.year("last"))).alias("y"))
+    names = ("m", "d", "festival_name", "festival_flag", "holiday_flag")
+    template = unfold(years, [{n: F.lit(v) for n, v in zip(names, row)} for row in YEARLY_CALENDAR], "y")
+    return template.select(
         F.make_date("y", "m", "d").alias("date"),
         "festival_name",
         "festival_flag",

@@ -107,10 +107,10 @@ def parse_importances(specs: DataFrame, key: str = "spec", text: str = "text") -
     )
     cells = specs.select(key, values.alias("cells"))
     total = F.aggregate(
-        "cells", F.lit(0.0), lambda acc, c: acc + F.coalesce(c.getField("t").try_cast("double"), F.lit(0.0))
+        "cells", F.lit(0.0), lambda acc, c: acc + F.coalesce(decimal_number(c.getField("t")), F.lit(0.0))
     )
     listed = cells.withColumn("total", total).select(key, "total", F.inline("cells"))
-    importance = F.col("t").try_cast("double")
+    importance = decimal_number(F.col("t"))
     return listed.select(
         key,
         "feature_group",

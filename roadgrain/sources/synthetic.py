@@ -1,41 +1,11 @@
-"""Generated observations, toll rows, signal rows and calendars.
-
-Every value is a function of the row's keys and the seed, so any partitioning and any
-repeated task gives the same rows. Keys are expanded with ``explode`` of literal or
-computed arrays, never with a join of everything with everything.
-"""
+"""A calendar for every date of a span: flags, names and day categories."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.functions.derive import load_ratio_class
 from roadgrain.operators.calendar import day_category, neighbour_holidays
 
-SEED = 42
-_PRIME = 2147483647
-# ---------------------------------------------------------------- fixed values
-WEATHER = ["Clear", "Cloudy", "Light Rain", "Heavy Rain"]
-OBSERVATION_HOURS = [0, 4, 8, 12, 16, 20]
-BUSY_HOURS = [8, 12, 16, 20]
-TOLL_HOURS = [6, 12, 18, 22]
-SIGNAL_SHARES = {"Green": 65, "Yellow": 20, "Red": 15}
-BUSY_BASE, QUIET_BASE, WEEKEND_EXTRA, EVENT_EXTRA, RAIN_EXTRA, JUNCTION_STEP = 420, 220, 140, 230, 180, 35
-CAPACITY_BASE, CAPACITY_STEP, VOLUME_FLOOR, NOISE = 800, 40, 20, 70
-TOLL_BASE, TOLL_STEP, TOLL_WEEKEND, TOLL_EVENT, TOLL_NOISE, TOLL_TRANSACTIONS = 500, 80, 170, 260, 90, 25
-# ------------------------------------------------------------ end fixed values
-
-
-def draw(bound: int, *keys: Column | int, seed: int = SEED) -> Column:
-    """Reproducible integer in [0, bound) from integer keys: multiply and shift-xor rounds."""
-    state = F.lit(seed).cast("bigint")
-    for key in keys:
-        value = F.lit(key).cast("bigint") if isinstance(key, int) else key.cast("bigint")
-        mixed = F.pmod((state + F.pmod(value, F.lit(_PRIME))) * F.lit(48271).cast("bigint"), F.lit(_PRIME))
-        state = F.pmod(mixed.bitwiseXOR(F.shiftright(mixed, 15)) * F.lit(69621).cast("bigint"), F.lit(_PRIME))
-        state = state.bitwiseXOR(F.shiftright(state, 13))
-    return F.pmod(state, F.lit(bound).cast("bigint"))
-
 
 def date_spine(limits: DataFrame, first: str = "first", last: str = "last") -> DataFrame:
     """Every date from ``first`` to ``last`` of a one-row table, both included."""
@@ -63,107 +33,3 @@ def synthetic_calendar(days: DataFrame, festivals: DataFrame, holidays: DataFram
     return day_category(neighbour_holidays(flagged, all_holidays)).select(
         "date", "festival_name", "is_festival", "is_holiday", "day_type"
     )
-
-
-def _day_number(date: Column) -> Column:
-    return F.unix_date(date)
-
-
-def _weekend(date: Column) -> Column:
-    return F.dayofweek(date).isin(1, 7)
-
-
-def _pick(share: Column, shares: dict[str, int]) -> Column:
-    """Choice by cumulative weights from an integer in [0, 100)."""
-    result, upper = None, 0
-    for name, weight in shares.items():
-        upper += weight
-        condition = share < upper
-        result = F.when(condition, name) if result is None else result.when(condition, name)
-    return result
-
-
-def _expanded(places: DataFrame, calendar: DataFrame, hours: list[int], key: str) -> DataFrame:
-    """Places x days x hours.
-
-    The days travel as one array value (bounded by the calendar) and are expanded next
-    to each place; rows are then spread by place and date for the work that follows.
-    """
-    days = calendar.agg(F.array_sort(F.collect_list(F.struct("date", "day_type")))).scalar()
-    return (
-        places.select(*places.columns, F.explode(days).alias("d"))
-        .select(*places.columns, "d.date", "d.day_type")
-        .repartition(F.col(key), F.col("date"))
-        .select(*places.columns, "date", "day_type", F.explode(F.array(*[F.lit(h) for h in hours])).alias("hour"))
-    )
-
-
-def _timestamp() -> Column:
-    return (F.col("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hour"))).cast("timestamp_ntz")
-
-
-def synthetic_traffic(junctions: DataFrame, calendar: DataFrame, seed: int = SEED) -> DataFrame:
-    """Six observations per day and junction.
-
-    ``junctions`` is (junction_index, junction), ``calendar`` needs date and day_type.
-    Volume adds hour, weekend, event, rain and junction effects and noise, with a floor;
-    the class follows from volume over capacity. The weather is one draw per day.
-    """
-    rows = _expanded(junctions, calendar, OBSERVATION_HOURS, "junction_index")
-    day, index = _day_number(F.col("date")), F.col("junction_index")
-    weather = F.element_at(
-        F.array(*[F.lit(w) for w in WEATHER]), (draw(len(WEATHER), day, 1, seed=seed) + 1).cast("int")
-    )
-    rows = rows.withColumn("weather", weather)
-
-    def extra(condition: Column, amount: int) -> Column:
-        return F.when(condition, F.lit(amount)).otherwise(F.lit(0))
-
-    noise = draw(2 * NOISE + 1, day, index, F.col("hour"), 2, seed=seed) - NOISE
-    volume = F.greatest(
-        F.lit(VOLUME_FLOOR).cast("bigint"),
-        F.when(F.col("hour").isin(BUSY_HOURS), BUSY_BASE).otherwise(QUIET_BASE)
-        + extra(_weekend(F.col("date")), WEEKEND_EXTRA)
-        + extra(F.col("day_type") == "Festival Day", EVENT_EXTRA)
-        + extra(F.col("weather").isin("Light Rain", "Heavy Rain"), RAIN_EXTRA)
-        + index * JUNCTION_STEP
-        + noise,
-    )
-    share = draw(100, day, index, F.col("hour"), 3, seed=seed)
-    return rows.withColumn("traffic_volume", volume).select(
-        _timestamp().alias("timestamp"),
-        "junction",
-        "traffic_volume",
-        load_ratio_class(F.col("traffic_volume"), CAPACITY_BASE + index * CAPACITY_STEP).alias("congestion_level"),
-        "weather",
-        _pick(share, SIGNAL_SHARES).alias("signal_status"),
-    )
-
-
-def synthetic_signals(traffic: DataFrame) -> DataFrame:
-    return traffic.select("timestamp", "junction", "signal_status")
-
-
-def synthetic_tolls(plazas: DataFrame, calendar: DataFrame, seed: int = SEED) -> DataFrame:
-    """Four rows per day and plaza; transactions exceed vehicles by 0 to 25.
-
-    ``plazas`` is (plaza_index, toll_plaza).
-    """
-    rows = _expanded(plazas, calendar, TOLL_HOURS, "plaza_index")
-    day, index = _day_number(F.col("date")), F.col("plaza_index")
-    keys = (day, index, F.col("hour"))
-    vehicles = F.greatest(
-        F.lit(VOLUME_FLOOR).cast("bigint"),
-        F.lit(TOLL_BASE)
-        + index * TOLL_STEP
-        + F.when(_weekend(F.col("date")), TOLL_WEEKEND).otherwise(0)
-        + F.when(F.col("day_type") == "Festival Day", TOLL_EVENT).otherwise(0)
-        + draw(2 * TOLL_NOISE + 1, *keys, 4, seed=seed)
-        - TOLL_NOISE,
-    )
-    return rows.withColumn("vehicle_count", vehicles).select(
-        _timestamp().alias("timestamp"),
-        "toll_plaza",
-        "vehicle_count",
-        (F.col("vehicle_count") + draw(TOLL_TRANSACTIONS + 1, *keys, 5, seed=seed)).alias("transaction_count"),
-    )

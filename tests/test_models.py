@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,7 +74,60 @@ def test_forest_specification(data):
     forest = runs.train(data, T.random_forest(num_trees=3, max_depth=3), "obs_id")
     assert forest.specification["model_class"] == "RandomForestClassifier"
     assert forest.specification["classifier"]["numTrees"] == 3
-    assert specs.rebuild(forest.specification).getStages()[-1].getMaxDepth() == 3
+    training = split_at(data, forest.cutoff)[0]
+    again = specs.rebuild(data.sparkSession, forest.specification, training, "obs_id").stages[-1]
+    assert again.getNumTrees == 3 and again.getOrDefault("maxDepth") == 3
+
+
+def _again(trained, data, document):
+    training, testing = split_at(data, trained.cutoff)
+    model = specs.rebuild(data.sparkSession, document, training, "obs_id")
+    return model, T.predict(model, testing)
+
+
+def test_rebuilt_from_the_document_alone(trained, data):
+    document = json.loads(json.dumps(trained.specification))
+    model, again = _again(trained, data, document)
+    assert T.category_labels(model) == T.category_labels(trained.model) and T.labels_of(model) == T.labels_of(trained.model)
+    assert list(model.stages[T.ENCODER].categorySizes) == list(trained.model.stages[T.ENCODER].categorySizes)
+    assert model.stages[T.CLASSIFIER].toDebugString.split("\n")[1:] == trained.model.stages[T.CLASSIFIER].toDebugString.split("\n")[1:]
+    both = again.select("obs_id", F.col("prediction").alias("p")).join(trained.predictions, "obs_id")
+    assert both.count() == trained.predictions.count() and both.where("p <> prediction").count() == 0
+    unseen = split_at(data, trained.cutoff)[1].withColumn("weather", F.lit("Hail"))
+    assert T.predict(model, unseen).where("predicted_congestion_class IS NULL").count() == 0
+
+
+def test_a_changed_label_order_changes_the_result(trained, data):
+    document = json.loads(json.dumps(trained.specification))
+    document["preprocessing"]["target_labels"].reverse()
+    model, again = _again(trained, data, document)
+    assert T.labels_of(model) == T.labels_of(trained.model)[::-1]
+    assert again.where("actual_congestion_class = 'Medium'").select("label").distinct().collect()[0][0] == 0.0
+    document = json.loads(json.dumps(trained.specification))
+    document["preprocessing"]["labels"]["corridor"].reverse()
+    prepared = specs.feature_model(data.sparkSession, document).transform(data)
+    first = document["preprocessing"]["labels"]["corridor"][0]
+    assert prepared.where(F.col("corridor") == first).select("corridor_index").distinct().collect() == [(0.0,)]
+
+
+@pytest.mark.parametrize(
+    "change, words",
+    [
+        (lambda d: d["features"]["categorical"].pop(), "category labels, category sizes, assembler inputs"),
+        (lambda d: d["features"]["assembler_inputs"].reverse(), "assembler inputs"),
+        (lambda d: d["features"]["numeric"].pop(), "assembler inputs, vector dimension"),
+        (lambda d: d["preprocessing"]["labels"]["weather"].append("Hail"), "category sizes"),
+        (lambda d: d["preprocessing"]["labels"]["weather"].append("Fog"), "category labels"),
+        (lambda d: d["preprocessing"]["categorySizes"].reverse(), "category sizes"),
+        (lambda d: d["preprocessing"]["target_labels"].append("High"), "target labels"),
+        (lambda d: d.update(model_class="NaiveBayes"), "model class"),
+    ],
+)
+def test_a_document_that_contradicts_itself_is_refused(trained, data, change, words):
+    document = json.loads(json.dumps(trained.specification))
+    change(document)
+    with pytest.raises(ValueError, match=words):
+        specs.feature_model(data.sparkSession, document)
 
 
 def test_stored_model_gives_the_same_advice(spark, trained, data):

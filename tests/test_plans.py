@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadgrain import schemas as S
@@ -14,6 +15,7 @@ from roadgrain.operators.contracts import RAW_FILES, raw_file_findings
 from roadgrain.operators.places import match_corridors
 from roadgrain.operators.quality import null_counts
 from roadgrain.operators.split import chronological_split
+from roadgrain.plans.all_queries import QUERIES
 from roadgrain.sources.given import calendar, observations
 
 
@@ -40,6 +42,32 @@ def test_small_sides_are_broadcast_without_hints(spark, sf_dir):
     assert plan.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in plan
 
 
+@pytest.mark.parametrize("name, scans", [("J1_calendar_left_join", 2), ("V3_historical_advisories", 2), ("V4_predicted_advisories", 2)])
+def test_the_calendar_looks_at_the_facts_once(spark, sf_dir, name, scans):
+    assert plan_of(QUERIES[name].run(spark, sf_dir)).count("orders.parquet") <= scans
+
+
+def test_stored_advisories_are_checked_without_the_facts(spark, sf_dir):
+    plan = plan_of(QUERIES["G5_advisory_checks"].run(spark, sf_dir))
+    assert "orders.parquet" not in plan and plan.count("FileScan parquet") == 2
+
+
+@pytest.mark.parametrize(
+    "name", ["training_report", "benchmark_report", "advisory_report", "prediction_report", "feature_report"]
+)
+def test_reports_are_made_of_merged_rows(spark, sf_dir, name):
+    """What is left after the one look at the facts reads the stored combinations only."""
+    plan = plan_of(QUERIES[f"S8_{name}"].run(spark, sf_dir))
+    assert "orders.parquet" not in plan and "customer.parquet" not in plan
+
+
+def test_keywords_meet_names_on_one_length(spark):
+    roads = spark.createDataFrame([(1, "outer ring road")], "request_id int, name string")
+    corridors = spark.createDataFrame([(1, "c", ["ring", "outer ring"])], "position int, corridor_id string, keywords array<string>")
+    plan = plan_of(match_corridors(roads, corridors))
+    assert "Contains(road" in plan and "collect_set" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_large_calendar_is_sorted_instead_of_broadcast(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

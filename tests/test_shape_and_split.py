@@ -130,6 +130,8 @@ def test_page_filter_uses_actual_class_and_skips_absent_columns(facts):
 def test_scenario_filter_without_match(facts):
     wide = facts.withColumns({"weather": F.lit("Fog"), "roadwork": F.lit("No")})
     assert shape.filter_scenario(wide, weather="Rain").count() == 0
+    with pytest.raises(ValueError, match="No such scenario control: hour"):
+        shape.filter_scenario(wide, hour="8")
     assert sorted(r[0] for r in values(shape.filter_scenario(wide, holiday="Holiday", festival="Non-Festival"), "id")) == [3, 4]
     assert shape.lookup(facts, "corridor", "nowhere").count() == 0
 

@@ -219,10 +219,6 @@ def half_year(spark):
     return synthetic.synthetic_calendar(synthetic.date_spine(limits), festivals, holidays)
 
 
-def places(spark, n, index, name):
-    return spark.range(n).select(F.col("id").alias(index), F.concat(F.lit("P"), "id").alias(name))
-
-
 def test_generated_calendar(half_year):
     assert half_year.count() == 182
     days = {str(d): (n, f, h, t) for d, n, f, h, t in values(half_year)}
@@ -233,28 +229,6 @@ def test_generated_calendar(half_year):
     assert days["2024-11-04"][3] == "Normal Day"
 
 
-def test_generated_observations(spark, half_year):
-    junctions = places(spark, 6, "junction_index", "junction")
-    traffic = synthetic.synthetic_traffic(junctions, half_year)
-    assert traffic.count() == 182 * 6 * 6
-    assert files.same_content(traffic, synthetic.synthetic_traffic(junctions.repartition(5), half_year.repartition(3)))
-    assert not files.same_content(traffic, synthetic.synthetic_traffic(junctions, half_year, seed=7))
-    assert traffic.agg(F.min("traffic_volume")).first()[0] >= synthetic.VOLUME_FLOOR
-    assert traffic.groupBy(F.to_date("timestamp")).agg(F.count_distinct("weather").alias("n")).where("n > 1").count() == 0
-    shares = dict(values(traffic.groupBy("signal_status").agg(F.count(F.lit(1)) * 100.0 / 6552)))
-    for name, weight in synthetic.SIGNAL_SHARES.items():
-        assert abs(shares[name] - weight) < 3
-    signals = synthetic.synthetic_signals(traffic)
-    assert signals.columns == ["timestamp", "junction", "signal_status"] and signals.count() == 6552
-
-
-def test_generated_tolls(spark, half_year):
-    tolls = synthetic.synthetic_tolls(places(spark, 4, "plaza_index", "toll_plaza"), half_year)
-    assert tolls.count() == 182 * 4 * 4
-    extra = tolls.agg(F.min(F.col("transaction_count") - F.col("vehicle_count")), F.max(F.col("transaction_count") - F.col("vehicle_count")))
-    assert values(extra) == [(0, 25)]
-
-
 def test_given_calendar_has_unique_dates(spark):
     dates = calendar(spark, SF_DIR)
     assert dates.count() == dates.select("date").distinct().count()
