@@ -2,9 +2,12 @@
 
 Nodes are runs of ``longest - 1`` words, edges runs of ``longest`` words between overlapping
 nodes. Tasks cut texts into pieces, merge equal pieces, and add up edges chunk by chunk; where a
-piece ends before an edge is full, the shorter run that is left is its end correction. Spark adds
-the edges of all tasks. Every shorter run then needs no look at a text: it occurs as often as its
-outgoing edges and the corrections that begin with it flow through it. Words travel as 64-bit ids.
+piece ends before an edge is full, the shorter run that is left is its end correction. One
+shuffle brings the edges that begin with the same two words together and sorts them. Then every
+run of two words or more needs no look at a text: it occurs as often as the edges and
+corrections that begin with it flow through it, which are neighbours. Beginnings that hold many
+edges are salted by the word that follows. Words travel as 64-bit ids; single words are counted
+with their spelling, in a second pass that returns only words of frequent runs.
 
 Where all that flows into a node comes from one edge and leaves by one edge, the node lies inside
 an unary path: whatever is known of the path is known of it. Such nodes are folded into their
@@ -26,7 +29,13 @@ from roadgrain.llm.common import in_arrow, staged
 LONGEST, LEAST, SHARE, BEST = 3, 10, 50, 2000
 NO_LANGUAGE = "und"
 #: Bytes of text that are added up together inside a task.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
+#: Documents looked at for beginnings to salt, the share of edges that makes one hot, and its salts.
+LOOKED_AT, HOT_SHARE, SALTS = 8000, 1 / 4000, 256
+#: Word ids that are sent to the tasks at most (8 bytes each); with more, words meet them in a join.
+MOST_SENT = 4_000_000
+#: Different words that a task adds up before it tells their counts.
+HELD_WORDS = 300_000
 #: UTF-8 bytes: A-Z become a-z, what ends a piece becomes a line feed, a tab a blank.
 PIECE_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else 10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256)
@@ -101,8 +110,17 @@ def _given(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("lang").cast("string").alias("lang"), "text")
 
 
-def edges(documents: DataFrame, longest: int, seed: int) -> DataFrame:
-    """w0, w1, ... (word ids, 0 where a piece has ended) and n, added up within chunks only."""
+def _beginning(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A number for the first two words of a run; it only decides about salts."""
+    return first ^ (second << 21 | second >> 43 & (1 << 21) - 1)
+
+
+def edges(documents: DataFrame, longest: int, seed: int, hot: np.ndarray | None = None) -> DataFrame:
+    """w0, w1, ... (word ids, 0 where a piece has ended), salt and n, added up within chunks only.
+
+    ``hot`` holds the sorted numbers of beginnings that are salted by the word that follows them.
+    """
+    hot = np.zeros(0, np.int64) if hot is None else hot
 
     def cut(batches):
         for held in _chunks(batches):
@@ -115,68 +133,144 @@ def edges(documents: DataFrame, longest: int, seed: int) -> DataFrame:
                 columns = [np.where(left > k, later[k : k + len(words)], 0) for k in range(longest)]
                 columns, n = _summed(columns, times)
                 for at in range(0, len(n), 1 << 17):
-                    own = slice(at, at + (1 << 17))
+                    own = [ids[c[at : at + (1 << 17)]] for c in columns]
+                    salt = np.zeros(len(own[0]), np.int64)
+                    if len(hot) and longest > 2:
+                        salted = np.isin(_beginning(own[0], own[1]), hot)
+                        salt[salted] = 1 + own[2][salted] % SALTS
                     yield pa.RecordBatch.from_arrays(
-                        [*[pa.array(ids[c[own]]) for c in columns], pa.array(n[own])],
-                        names=[*[f"w{k}" for k in range(longest)], "n"],
+                        [*map(pa.array, own), pa.array(salt), pa.array(n[at : at + (1 << 17)])],
+                        names=[*[f"w{k}" for k in range(longest)], "salt", "n"],
                     )
 
-    schema = ", ".join(f"w{k} long" for k in range(longest)) + ", n long"
+    schema = ", ".join(f"w{k} long" for k in range(longest)) + ", salt long, n long"
     return in_arrow(_given(documents), cut, schema)
 
 
-def lexicon(documents: DataFrame, seed: int) -> DataFrame:
-    """id, lang, word and n (occurrences) of every word of every language."""
+def lexicon(documents: DataFrame, seed: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """id, lang, word and n (occurrences) of words of every language; id 0 without a word has a language's total.
+
+    ``wanted``, if given, holds the sorted ids of the only words to return.
+    """
+
+    def told(held: Counter):
+        langs, words = zip(*held)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([word_id(g, w, seed) if w is not None else 0 for g, w in held], pa.int64()),
+                pa.array([g.decode() for g in langs], pa.string()),
+                pa.array([w.decode() if w is not None else None for w in words], pa.string()),
+                pa.array(held.values(), pa.int64()),
+            ],
+            names=["id", "lang", "word", "n"],
+        )
 
     def cut(batches):
-        for held in _chunks(batches):
-            for lang, pieces in held.items():
+        held: Counter = Counter()  # of a task, told when it is full
+        for chunk in _chunks(batches):
+            for lang, pieces in chunk.items():
                 places, words, _, times = _numbered(pieces)
-                if len(words):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(_ids(places, lang, seed)),
-                            pa.array([lang.decode()] * len(places), pa.string()),
-                            pa.array([w.decode() for w in places], pa.string()),
-                            pa.array(np.bincount(words, times, len(places)).astype(np.int64)),
-                        ],
-                        names=["id", "lang", "word", "n"],
-                    )
+                n, spelled = np.bincount(words, times, len(places)).astype(np.int64), np.fromiter(places, object, len(places))
+                held[lang, None] += int(n.sum())
+                if wanted is not None:
+                    own = np.isin(_ids(places, lang, seed), wanted)
+                    spelled, n = spelled[own], n[own]
+                for word, count in zip(spelled.tolist(), n.tolist()):
+                    held[lang, word] += count
+            if len(held) > HELD_WORDS:
+                yield told(held)
+                held.clear()
+        if held:
+            yield told(held)
 
     found = in_arrow(_given(documents), cut, "id long, lang string, word string, n long")
     return found.groupBy("id", "lang", "word").agg(F.sum("n").alias("n"))
 
 
-def own_ids(documents: DataFrame, most: int = 8) -> tuple[DataFrame, int]:
-    """The stored lexicon and a seed under which no two words share an id, so that ids stand for words exactly."""
-    for seed in range(most):
-        words = staged(lexicon(documents, seed), "words")
-        if words.groupBy("id").count().where("count > 1").isEmpty():
-            return words, seed
-    raise RuntimeError("Two words share an id under every seed.")
+def hot_beginnings(documents: DataFrame, longest: int, seed: int) -> np.ndarray:
+    """Numbers of the two-word beginnings that hold more than ``HOT_SHARE`` of the edges of some documents.
+
+    About ``LOOKED_AT`` documents, drawn by a hash of their text. Only the way the edges are dealt out
+    depends on the answer, as with the bounds of a range partitioning; at most 1 / HOT_SHARE numbers return.
+    """
+    share = min(1.0, LOOKED_AT / max(1, documents.count()))
+    drawn = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_003)) < share * 1_000_003
+    cut = edges(documents.where(drawn), longest, seed)
+    counted = cut.groupBy("w0", "w1").agg(F.count(F.lit(1)).alias("edges"))
+    total = counted.agg(F.sum("edges")).first()[0] or 0
+    found = counted.where(F.col("edges") > max(64, total * HOT_SHARE)).select("w0", "w1").collect()
+    return np.unique(_beginning(*(np.array([r[i] for r in found], np.int64) for i in (0, 1))))
 
 
 def flows(cut: DataFrame, longest: int, least: int) -> DataFrame:
-    """gram (array of word ids) and n of all runs of up to ``longest`` words that occur ``least`` times.
+    """gram (array of word ids) and n of all runs of 2 to ``longest`` words that occur ``least`` times.
 
-    Level by level, the longest first: edges and corrections of a level are added up, which
-    completes the counts of its full runs; each then flows into the run that it begins with.
-    Complete runs that are frequent enough are marked and travel on.
+    In a sorted partition the edges and corrections that begin with a run are neighbours, so each
+    level's counts are sums over stretches. What is held over from one batch to the next is one
+    sum a level. Salted beginnings are summed up to one row a salt and put together afterwards.
     """
     names = [f"w{k}" for k in range(longest)]
-    rows = cut.withColumn("complete", F.lit(False))
-    for k in range(longest, 0, -1):
-        summed = rows.groupBy(*names, "complete").agg(F.sum("n").alias("n"))
-        if k == 1:
-            break
-        last = names[k - 1]
-        ends = ~F.col("complete") & (F.col(last) != 0)
-        shorter = [F.when(ends, F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) if c == last else F.col(c) for c in names]
-        onward = F.struct(*shorter, F.col("complete"), F.col("n"))
-        finished = F.struct(*names, F.lit(True).alias("complete"), F.col("n"))
-        rows = summed.select(F.inline(F.when(ends & (F.col("n") >= least), F.array(onward, finished)).otherwise(F.array(onward))))
-    frequent = summed.where(F.col("complete") | (F.col("n") >= least))
-    return frequent.select(F.filter(F.array(*names), lambda w: w != 0).alias("gram"), "n")
+
+    def stretches(batches):
+        held: dict[int, tuple] = {}
+
+        def told(keys: list[np.ndarray], n: np.ndarray, salt: np.ndarray):
+            k = len(keys)
+            good = (keys[-1] != 0) & ((n >= least) | (salt != 0) & (k == 2))
+            m = int(good.sum())
+            values = np.stack([key[good] for key in keys], axis=1).ravel()
+            grams = pa.ListArray.from_arrays(pa.array(np.arange(0, k * m + 1, k), pa.int32()), pa.array(values))
+            return pa.RecordBatch.from_arrays([grams, pa.array(n[good])], names=["gram", "n"])
+
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            *words, salt, n = (c.to_numpy(zero_copy_only=False) for c in rows.columns)
+            new = np.r_[True, salt[1:] != salt[:-1]]
+            for k in range(1, longest + 1):
+                new = new | np.r_[True, words[k - 1][1:] != words[k - 1][:-1]]
+                if k == 1:
+                    continue
+                starts = np.flatnonzero(new)
+                keys, of, sums = [w[starts] for w in words[:k]], salt[starts], np.add.reduceat(n, starts)
+                if k in held:
+                    *key, at, so_far = held[k]
+                    if at == of[0] and all(x == y[0] for x, y in zip(key, keys)):
+                        sums[0] += so_far
+                    else:
+                        keys = [np.r_[x, y] for x, y in zip(key, keys)]
+                        of, sums = np.r_[at, of], np.r_[so_far, sums]
+                held[k] = (*[key[-1] for key in keys], of[-1], sums[-1])
+                yield told([key[:-1] for key in keys], sums[:-1], of[:-1])
+        for k, (*key, at, so_far) in held.items():
+            yield told([np.array([x]) for x in key], np.array([so_far]), np.array([at]))
+
+    dealt = cut.repartition("w0", "w1", "salt").sortWithinPartitions(*names)
+    found = in_arrow(dealt.select(*names, "salt", "n"), stretches, "gram array<long>, n long")
+    return found.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def counted(documents: DataFrame, longest: int, least: int, most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """The stored frequent runs (gram, n), single words too, and the stored words of theirs with every language's total.
+
+    The seed of the ids is one under which no word of a frequent run shares its id with another
+    word, so that ids stand for words exactly.
+    """
+    for seed in range(most):
+        hot = hot_beginnings(documents, longest, seed)
+        runs = staged(flows(edges(documents, longest, seed, hot), longest, least), "runs")
+        ids = runs.select(F.explode("gram").alias("id")).distinct()
+        if ids.count() <= MOST_SENT:
+            wanted = np.sort(np.array([r[0] for r in ids.toLocalIterator()], np.int64))
+            words = lexicon(documents, seed, wanted)
+        else:
+            every = lexicon(documents, seed)
+            words = every.join(ids, "id", "left_semi").union(every.where("id = 0"))
+        words = staged(words, "words")
+        if words.where("id <> 0").groupBy("id").count().where("count > 1").isEmpty():
+            single = words.where("id <> 0").select(F.array("id").alias("gram"), "n")
+            return runs.union(single), words
+    raise RuntimeError("Two words share an id under every seed.")
 
 
 def _first(gram: Column | str, k: Column) -> Column:
@@ -245,14 +339,13 @@ def mined(
     """
     if not 2 <= longest or not 0 <= share <= 100 or least < 1:
         raise ValueError("Phrases have two words or more, a share is between 0 and 100, and counts begin at 1.")
-    words, seed = own_ids(documents)
-    counts = staged(flows(edges(documents, longest, seed), longest, least), "runs")
+    counts, words = counted(documents, longest, least)
     linked = nodes(counts)
     folded = linked.where(~((F.col("came") == F.col("n")) & (F.col("went") == F.col("n"))))
     longer = F.greatest("came", "went")
     kept = folded.where((longer == 0) | (100 * longer < share * F.col("n")))
     found = _spelled(scored(kept, counts), words, ["a", "l", "r", "score"])
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = words.where("id = 0").select("lang", "n")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
@@ -266,8 +359,7 @@ def paths(documents: DataFrame, longest: int = LONGEST, least: int = LEAST) -> D
     Every frequent edge is in exactly one path. A path lies inside single pieces, which bounds it.
     Nulls, empty texts and repeated rows as in ``mined``.
     """
-    words, seed = own_ids(documents)
-    counts = staged(flows(edges(documents, longest, seed), longest, least), "runs")
+    counts, words = counted(documents, longest, least)
     unary = nodes(counts).where((F.col("came") == F.col("n")) & (F.col("went") == F.col("n"))).select(F.col("gram").alias("node"))
     own = counts.where(F.size("gram") == longest)
     short = F.lit(longest - 1)
