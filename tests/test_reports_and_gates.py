@@ -54,7 +54,7 @@ def test_prediction_report(scored, store):
 
 
 def test_training_report(scored, store):
-    kept = ("weather", *S.BOOLEAN_FEATURES)
+    kept = ("weather", "roadwork", *S.BOOLEAN_FEATURES)
     rows = scored.fillna(False, ["holiday_flag"]).withColumns({c: F.lit(1.0) for c in S.FEATURES if c not in kept})
     rows = rows.withColumn("weather", F.when(F.col("part") == "testing", "Fog"))
     found = lines(reporting.training_report(rows, store))
