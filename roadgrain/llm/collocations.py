@@ -36,6 +36,8 @@ LOOKED_AT, HOT_SHARE, SALTS = 8000, 1 / 4000, 256
 MOST_SENT = 4_000_000
 #: Different words that a task adds up before it tells their counts.
 HELD_WORDS = 300_000
+#: Buckets of word ids; a task holds the words of one at a time.
+BUCKETS = 1024
 #: UTF-8 bytes: A-Z become a-z, what ends a piece becomes a line feed, a tab a blank.
 PIECE_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else 10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256)
@@ -150,20 +152,21 @@ def edges(documents: DataFrame, longest: int, seed: int, hot: np.ndarray | None
 def lexicon(documents: DataFrame, seed: int, wanted: np.ndarray | None = None) -> DataFrame:
     """id, lang, word and n (occurrences) of words of every language; id 0 without a word has a language's total.
 
+    Counts travel packed, a row for each task and bucket of ids, and a bucket's words are added up
+    as its rows pass by; what is held is one bucket's different words.
     ``wanted``, if given, holds the sorted ids of the only words to return.
     """
 
     def told(held: Counter):
-        langs, words = zip(*held)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([word_id(g, w, seed) if w is not None else 0 for g, w in held], pa.int64()),
-                pa.array([g.decode() for g in langs], pa.string()),
-                pa.array([w.decode() if w is not None else None for w in words], pa.string()),
-                pa.array(held.values(), pa.int64()),
-            ],
-            names=["id", "lang", "word", "n"],
-        )
+        """The counts held, one row for each bucket of ids."""
+        rows = defaultdict(list)
+        for (lang, word), n in held.items():
+            own = 0 if word is None else word_id(lang, word, seed)
+            rows[own % BUCKETS].append((own, lang.decode(), None if word is None else word.decode(), n))
+        columns = [list(zip(*row)) for row in rows.values()]
+        kinds = [pa.list_(kind) for kind in (pa.int64(), pa.string(), pa.string(), pa.int64())]
+        lists = [pa.array([c[i] for c in columns], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *lists], names=["bucket", "id", "lang", "word", "n"])
 
     def cut(batches):
         held: Counter = Counter()  # of a task, told when it is full
@@ -183,8 +186,28 @@ def lexicon(documents: DataFrame, seed: int, wanted: np.ndarray | None = None) -
         if held:
             yield told(held)
 
-    found = in_arrow(_given(documents), cut, "id long, lang string, word string, n long")
-    return found.groupBy("id", "lang", "word").agg(F.sum("n").alias("n"))
+    def add_up(batches):
+        at, held = None, Counter()
+        for rows in batches:
+            for bucket, *lists in zip(*rows.to_pydict().values()):
+                if bucket != at and held:
+                    yield summed(held)
+                    held.clear()
+                at = bucket
+                for own, lang, word, n in zip(*lists):
+                    held[own, lang, word] += n
+        if held:
+            yield summed(held)
+
+    def summed(held: Counter):
+        columns = [*zip(*held), tuple(held.values())]
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names=["id", "lang", "word", "n"])
+
+    packed = "bucket long, id array<long>, lang array<string>, word array<string>, n array<long>"
+    found = in_arrow(_given(documents), cut, packed).repartition("bucket").sortWithinPartitions("bucket")
+    return in_arrow(found, add_up, "id long, lang string, word string, n long")
 
 
 def hot_beginnings(documents: DataFrame, longest: int, seed: int) -> np.ndarray:
