@@ -125,12 +125,15 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str) -> DataFrame:
 def bounded(documents: DataFrame, known: DataFrame, by: str, most: int) -> tuple[DataFrame, dict]:
     """doc_id, text, ``by`` and half (0 or 1) of about ``most`` documents of each value of ``by``; and all values' counts.
 
-    Only for fitting. The documents are picked from (doc_id, by) by a hash of the id, so no
-    group is sorted or gathered; the picked ids, limited in number, are broadcast.
+    Only for fitting. The documents are picked from (doc_id, by) by a hash of the id alone, so no
+    group is sorted or gathered; the picked ids, as many as that on average, are broadcast. An id
+    that several rows share is picked once, with its smallest ``by``, and gives one of its texts.
     """
-    totals = {r[by]: r["count"] for r in known.groupBy(by).count().collect() if r[by] is not None}
+    single = known.groupBy("doc_id").agg(F.min(by).alias(by))
+    totals = {r[by]: r["count"] for r in single.groupBy(by).count().collect() if r[by] is not None}
     share = F.create_map(*[x for v, n in totals.items() for x in (F.lit(v), F.lit(min(1.0, most / n)))] or [F.lit(""), F.lit(0.0)])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    picked = known.where(draw < share[F.col(by)]).select("doc_id", by).limit(2 * most * max(1, len(totals)))
+    picked = single.where(draw < share[F.col(by)])
     sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    return sample.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))), totals
+    texts = sample.groupBy("doc_id", by).agg(F.min("text").alias("text"))
+    return texts.select("doc_id", "text", by, F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)).alias("half")), totals
