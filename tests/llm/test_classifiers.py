@@ -147,3 +147,34 @@ def test_mixed_repeats_rows_by_their_copies(spark, documents):
 def test_the_fold_is_the_checksum_of_the_id(spark):
     rows = spark.range(200).select("id", common.held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_one_repeated_id_gives_one_row_of_a_sample(spark, documents):
+    rows = documents(*((7, f"copy {i}") for i in range(300)), *((i, "other words") for i in range(100, 160)))
+    known = rows.select("doc_id", "lang")
+    sample, totals = common.bounded(rows, known, "lang", 1000)
+    assert sample.count() == sample.select("doc_id").distinct().count() == 61 and totals == {"en": 61}
+
+
+def test_toxic_wording_is_caught_in_every_language_and_in_new_forms(spark, documents, prose):
+    """Made-up insults of two languages, among ordinary words; one language has few labelled texts."""
+    draw = random.Random(2)
+    vocabulary = {"a": [f"{x}{y}" for x in ("tor", "bel", "min", "sar") for y in ("ano", "eli", "uto", "ira", "ose")]}
+    vocabulary["b"] = [f"{x}{y}" for x in ("gru", "pfe", "sch") for y in ("ndig", "rlich", "mmer", "zeit", "stoff")]
+    insults = {"a": ["fibbert", "quogly", "zwindle"], "b": ["krazzel", "krazzun", "krazzomi"]}
+
+    def text(lang, toxic):
+        words = [draw.choice(vocabulary[lang]) + draw.choice(vocabulary[lang]) for _ in range(draw.randrange(20, 90))]
+        for _ in range(draw.randrange(2, 4) if toxic else 0):
+            words.insert(draw.randrange(len(words)), draw.choice(insults[lang]))
+        return " ".join(words)
+
+    rows = [(i, "b" if i % 8 == 0 else "a", int(i % 5 == 1 or i % 40 == 8)) for i in range(1500)]
+    texts = documents(*((i, text(lang, toxic)) for i, lang, toxic in rows), (9001, text("b", 0) + " krazzetto krazzi"), (9002, text("b", 0)))
+    known = spark.createDataFrame([(i, toxic) for i, _, toxic in rows], "doc_id long, toxic int")
+    scored = {r["doc_id"]: r["score"] for r in toxicity.scored(texts, toxicity.fit(texts, known)).collect()}
+    for lang in ("a", "b"):
+        held = [(scored[i], toxic) for i, g, toxic in rows if g == lang and is_held_out(i)]
+        assert np.mean([s >= 0.5 for s, toxic in held if toxic]) >= 0.9
+        assert np.mean([s < 0.5 for s, toxic in held if not toxic]) >= 0.97
+    assert scored[9001] > scored[9002]
