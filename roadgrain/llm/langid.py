@@ -23,6 +23,8 @@ LONGEST = 4
 #: Bounds of the sample: documents of each language, and landmarks in all.
 PER_LANGUAGE = 800
 LANDMARKS = 400
+#: Rows of the sample that many languages share, and the fewest that each of them has.
+MOST_ROWS, FEWEST = 40_000, 20
 RIDGE = 1e-3
 BATCH = 64
 UNKNOWN = "und"
@@ -71,9 +73,15 @@ class Model:
 
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
-    """Learn from text and lang of documents outside the held-out fold; no such rows give an empty model."""
+    """Learn from text and lang of documents outside the held-out fold; no such rows give an empty model.
+
+    About ``per_language`` documents of each language; with more than ``MOST_ROWS / per_language`` languages
+    these share the rows, and each keeps ``FEWEST`` at least, so that none drops out. An id of several rows is
+    one document with its smallest lang; null and empty texts and texts without letters teach nothing.
+    """
     known = documents.select("doc_id", "lang").where(F.col("lang").isNotNull() & ~held_out())
-    sample, _ = bounded(documents, known, "lang", per_language)
+    each = max(FEWEST, min(per_language, MOST_ROWS // max(1, known.select("lang").distinct().count())))
+    sample, _ = bounded(documents, known, "lang", each)
 
     def cut(batches):
         for rows in batches:
@@ -82,7 +90,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
             yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(packed, pa.binary())], names=["doc_id", "lang", "v"])
 
     rows = in_arrow(sample.select(F.col("doc_id").cast("long"), "lang", "text"), cut, "doc_id long, lang string, v binary")
-    rows = rows.limit(50 * per_language).collect()
+    rows = rows.collect()
     rows = sorted((r for r in rows if r["v"] is not None), key=lambda r: (hash_id(r["doc_id"]), r["lang"], r["v"]))
     if not rows:
         return Model()
