@@ -178,3 +178,14 @@ def test_toxic_wording_is_caught_in_every_language_and_in_new_forms(spark, docum
         assert np.mean([s >= 0.5 for s, toxic in held if toxic]) >= 0.9
         assert np.mean([s < 0.5 for s, toxic in held if not toxic]) >= 0.97
     assert scored[9001] > scored[9002]
+
+
+def test_sixty_languages_are_all_learned(spark, documents):
+    draw = random.Random(4)
+    whole = None
+    for k in range(60):
+        letters = "".join(draw.sample("abcdefghijklmnopqrstuvwxyz", 6))
+        texts = [(100 * k + i, " ".join("".join(draw.choices(letters, k=5)) for _ in range(12))) for i in range(12)]
+        whole = documents(*texts, lang=f"l{k}") if whole is None else whole.unionByName(documents(*texts, lang=f"l{k}"))
+    model = langid.fit(whole.coalesce(8), per_language=4)
+    assert len(model.languages) == 60
