@@ -591,7 +591,7 @@ _DAY_TYPE_SQL = (
             [
                 _MALFORMED_SQL,
                 _issue_sql("cells", "incomplete", "day_type", "coalesce(day_type, '') = ''"),
-                _issue_sql("cells", "incomplete", "average_travel_time_index", "average_travel_time_index = ''"),
+                _issue_sql("cells", "incomplete", "average_travel_time_index", "coalesce(average_travel_time_index, '') = ''"),
                 _issue_sql("cells", "incomplete", "high_congestion_percentage", "high_congestion_percentage IS NULL"),
                 _issue_sql("cells", "out of range", "record_count", "record_count = '-2'"),
                 _issue_sql("cells", "invalid integer", "record_count", "record_count = '1e3'"),
