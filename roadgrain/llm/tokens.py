@@ -15,6 +15,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -25,8 +26,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Remembered pieces per worker; the memory is emptied when it is full.
 REMEMBERED = 500_000
-#: Ids in one Arrow batch that goes back to Spark.
-BATCH_IDS = 2_000_000
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 8 << 20
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
@@ -48,7 +49,9 @@ class Pieces(dict):
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, piece: bytes) -> bytes:
-        if piece.isalpha():  # ASCII letters: nothing is left to normalise or to split
+        if not piece:
+            ids = b""
+        elif piece.isalpha():  # ASCII letters: nothing is left to normalise or to split
             ids = _bytes([t.id for t in self.model.tokenize(piece.decode())])
         elif piece[-1:] in b",." and piece[-2:-1].isalnum():
             ids = self[piece[:-1]] + self[piece[-1:]]
@@ -57,12 +60,30 @@ class Pieces(dict):
         self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        if "<|" in text:  # may hold a special token, whose case counts
-            return self.whole(text)
+    def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """The ids of every text and the end id; a null text is empty.
+
+        Each different piece of the texts is looked up or tokenised once; splitting and putting ids
+        together is left to Arrow.
+        """
         if len(self) > REMEMBERED:
             self.clear()
-        return b"".join(map(self.__getitem__, text.encode().lower().split()))
+        texts = pc.fill_null(texts, "")
+        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        plain = pc.if_else(pc.match_substring(texts, "<|"), "", texts)  # such texts may hold a special token, whose case counts
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        places = pieces.flatten().dictionary_encode()
+        known = [self[piece.encode()] for piece in places.dictionary.to_pylist()]
+        at, code = pieces.offsets.to_numpy().astype(np.int64), places.indices.to_numpy().copy()
+        at -= at[0]
+        code[at[special]] = np.arange(len(known), len(known) + len(special))  # their only piece is the empty text
+        known += [self.whole(texts[int(i)].as_py()) for i in special] + [_bytes([end_id])]
+        code = np.insert(code, at[1:], len(known) - 1)
+        sizes = np.array([len(ids) // 4 for ids in known], np.int32)
+        starts = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(known), "<i4")))
+        ends = np.r_[0, np.cumsum(sizes[code], dtype=np.int64)][at + np.arange(len(at))]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), lists.take(pa.array(code)).flatten())
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -79,6 +100,14 @@ def _encoder(path: str) -> Pieces:
     return _pieces[path]
 
 
+def _slices(texts: pa.Array):
+    """Place and number of texts in a row that have about ``SLICE_BYTES`` together, one at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(sizes) // SLICE_BYTES
+    bounds = np.r_[0, np.flatnonzero(np.diff(group)) + 1, len(sizes)] if len(sizes) else np.zeros(1, int)
+    return [(int(a), int(b - a)) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
 def encoded(documents: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """One row of FILE_SCHEMA for each document, partitions in ascending order of doc_id.
 
@@ -89,36 +118,22 @@ def encoded(documents: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     def encode(batches):
         pieces = _encoder(path)
         part, start = TaskContext.get().partitionId(), 0
-        end = _bytes([end_id])
-
-        def batch(ids, lengths, doc_ids, starts):
-            offsets = np.zeros(len(lengths) + 1, np.int32)
-            np.cumsum(lengths, out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc_ids, pa.int64()),
-                    pa.array(np.full(len(lengths), part, np.int32)),
-                    pa.array(starts, pa.int64()),
-                    pa.array(lengths, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), values),
-                ],
-                names=["doc_id", "part", "local_start", "n_tokens", "ids"],
-            )
-
-        ids, lengths, doc_ids, starts, held = [], [], [], [], 0
         for rows in batches:
-            for doc_id, text in zip(rows.column(0), rows.column(1)):
-                own = (pieces.encode(text.as_py()) if text.is_valid else b"") + end
-                n = len(own) // 4
-                ids.append(own), lengths.append(n), doc_ids.append(doc_id.as_py()), starts.append(start)
-                start += n
-                held += n
-                if held >= BATCH_IDS:
-                    yield batch(ids, lengths, doc_ids, starts)
-                    ids, lengths, doc_ids, starts, held = [], [], [], [], 0
-        if lengths:
-            yield batch(ids, lengths, doc_ids, starts)
+            for at, n in _slices(rows.column(1)):
+                ids = pieces.encode(rows.column(1).slice(at, n), end_id)
+                lengths = np.diff(ids.offsets.to_numpy()).astype(np.int32)
+                before = start + np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+                start = int(before[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0).slice(at, n),
+                        pa.array(np.full(n, part, np.int32)),
+                        pa.array(before[:-1]),
+                        pa.array(lengths),
+                        ids,
+                    ],
+                    names=["doc_id", "part", "local_start", "n_tokens", "ids"],
+                )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return in_arrow(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"), encode, FILE_SCHEMA)
