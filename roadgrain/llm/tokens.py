@@ -25,7 +25,7 @@ from roadgrain.session import fresh_path
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Remembered pieces per worker; the memory is emptied when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Bytes of text that are encoded together.
 SLICE_BYTES = 8 << 20
 
@@ -54,7 +54,7 @@ class Pieces(dict):
         elif piece.isalpha():  # ASCII letters: nothing is left to normalise or to split
             ids = _bytes([t.id for t in self.model.tokenize(piece.decode())])
         elif piece[-1:] in b",." and piece[-2:-1].isalnum():
-            ids = self[piece[:-1]] + self[piece[-1:]]
+            return self[piece[:-1]] + self[piece[-1:]]  # put together anew, so that the memory holds more words
         else:
             ids = self.whole(piece.decode())
         self[piece] = ids
