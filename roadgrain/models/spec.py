@@ -130,8 +130,8 @@ def rebuild(spark: SparkSession, spec: dict, training: DataFrame, order_key: str
         classifier = T.decision_tree(parameters["maxDepth"], parameters["seed"])
     classifier.setLabelCol(parameters["labelCol"]).setFeaturesCol(parameters["featuresCol"])
     classifier.setPredictionCol(parameters["predictionCol"])
-    with T.training_rows(training, order_key) as rows:
-        fitted = classifier.fit(prepared.transform(rows))
+    with T.assembled_rows(training, prepared, classifier, order_key) as rows:
+        fitted = classifier.fit(rows)
     return PipelineModel(stages=[*prepared.stages, fitted])
 
 

@@ -53,10 +53,26 @@ def random_forest(
     )
 
 
+def fit_features(training: DataFrame) -> PipelineModel:
+    """The feature stages fitted on the different combinations of category values and target.
+
+    Labels are sorted, so that they depend on nothing else, and rows are read and merged once. The indexer keeps
+    each label of a category on the driver, as MLlib models do.
+    """
+    combinations = training.select(*S.CATEGORICAL_FEATURES, S.TARGET).distinct().persist()
+    try:
+        return Pipeline(stages=feature_stages()).fit(combinations)
+    finally:
+        combinations.unpersist()
+
+
 @contextmanager
-def training_rows(training: DataFrame, order_key: str | None = None, partitions: int | None = None):
-    """The training columns, persisted while models are fitted and released afterwards.
+def assembled_rows(
+    training: DataFrame, features: PipelineModel, classifier, order_key: str | None = None, partitions: int | None = None
+):
+    """Label and vector of the training rows, made once, kept on disk while a classifier is fitted and released afterwards.
 
+    The learner looks at them three times before it caches rows of its own, to which the memory is left.
     With ``order_key`` (a unique column) rows are placed and ordered by it, so that the
     sampling inside the tree learner does not depend on how the input was partitioned.
     """
@@ -64,17 +80,21 @@ def training_rows(training: DataFrame, order_key: str | None = None, partitions:
     if order_key:
         count = partitions or int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         wanted = wanted.repartition(count, order_key).sortWithinPartitions(order_key)
-    cached = wanted.select(*S.FEATURES, S.TARGET).persist(StorageLevel.MEMORY_AND_DISK)
+    assembled = features.transform(wanted.select(*S.FEATURES, S.TARGET))
+    cached = assembled.select(classifier.getLabelCol(), classifier.getFeaturesCol()).persist(StorageLevel.DISK_ONLY)
     try:
         yield cached
     finally:
         cached.unpersist()
 
 
-def fit(training: DataFrame, classifier, order_key: str | None = None) -> PipelineModel:
-    """Fit all stages. The indexer keeps each label of a category on the driver, as MLlib models do."""
-    with training_rows(training, order_key) as rows:
-        return Pipeline(stages=[*feature_stages(), classifier]).fit(rows)
+def fit(
+    training: DataFrame, classifier, order_key: str | None = None, features: PipelineModel | None = None
+) -> PipelineModel:
+    """Fit all stages, or the classifier behind feature stages that are already fitted."""
+    features = features or fit_features(training)
+    with assembled_rows(training, features, classifier, order_key) as rows:
+        return PipelineModel(stages=[*features.stages, classifier.fit(rows)])
 
 
 def labels_of(model: PipelineModel) -> list[str]:

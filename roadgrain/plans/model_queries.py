@@ -6,6 +6,7 @@ fitted tree have none.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +25,17 @@ from roadgrain.sources.given import observations
 from roadgrain.sources.files import fingerprint
 
 _FITTED: dict[tuple[str, str, str], runs.Trained] = {}
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations, joined and written once per application and table folder for all fits and predictions."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path, data = fresh_path(spark, "observations"), observations(spark, sf_dir)
+        data.write.option("parquet.block.size", 32 << 20).parquet(path)
+        _STORED[key] = spark.read.schema(data.schema).parquet(path)
+    return _STORED[key]
 
 
 def _trained(spark: SparkSession, sf_dir: str, kind: str = "tree") -> runs.Trained:
@@ -31,12 +43,14 @@ def _trained(spark: SparkSession, sf_dir: str, kind: str = "tree") -> runs.Train
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _FITTED:
         classifier = T.decision_tree() if kind == "tree" else T.random_forest()
-        _FITTED[key] = runs.train(observations(spark, sf_dir), classifier, "obs_id")
+        other = next((_FITTED[k] for k in _FITTED if k[:2] == key[:2]), None)  # feature stages are the same for all kinds
+        stages = other and PipelineModel(stages=other.model.stages[: T.CLASSIFIER])
+        _FITTED[key] = runs.train(_observed(spark, sf_dir), classifier, "obs_id", features=stages)
     return _FITTED[key]
 
 
 def _test_rows(spark, sf_dir) -> DataFrame:
-    return split_at(observations(spark, sf_dir), _trained(spark, sf_dir).cutoff)[1]
+    return split_at(_observed(spark, sf_dir), _trained(spark, sf_dir).cutoff)[1]
 
 
 _SPLIT_SQL = (
@@ -182,7 +196,7 @@ def rebuilt_from_specification(spark, sf_dir):
     """A model rebuilt from the stored document alone predicts the same class for every test row."""
     trained = _trained(spark, sf_dir)
     document = specs.load_spec(spark, _stored(spark, sf_dir))
-    training, testing = split_at(observations(spark, sf_dir), document["training"]["cutoff_date"])
+    training, testing = split_at(_observed(spark, sf_dir), document["training"]["cutoff_date"])
     again = T.predict(specs.rebuild(spark, document, training, "obs_id"), testing).select("obs_id", F.col("prediction").alias("again"))
     return (
         trained.predictions.select("obs_id", "prediction")
@@ -275,7 +289,7 @@ def specification_checks(spark, sf_dir):
     """A stored model against its own input, and against an input with one changed flag column."""
     path = _stored(spark, sf_dir)
     stored, model = specs.load_spec(spark, path), specs.load_model(path)
-    data = observations(spark, sf_dir)
+    data = _observed(spark, sf_dir)
     changed = data.withColumn("holiday_flag", ~F.col("holiday_flag"))
     result = None
     for label, source in (("same", data), ("changed", changed)):

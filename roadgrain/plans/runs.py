@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,49 +26,60 @@ def integrate(spark: SparkSession, raw_path: str, calendar_path: str) -> DataFra
 
 @dataclass
 class Trained:
-    """A fitted model with its test predictions and specification."""
+    """A fitted model with its test predictions; counts, metrics and the specification are made when first asked for.
+
+    Two small results reach the driver: the cutoff date and the confusion counts (at
+    most nine), from which all metrics are computed in one pass over the predictions.
+    """
 
     model: PipelineModel
     predictions: DataFrame
-    matrix: DataFrame
-    metrics: DataFrame
-    specification: dict
     cutoff: str
+    integrated: DataFrame
+    input_paths: list[str] | None = None
+
+    @cached_property
+    def matrix(self) -> DataFrame:
+        return self.integrated.sparkSession.createDataFrame(
+            confusion_matrix(self.predictions).collect(), "actual_class string, predicted_class string, count bigint"
+        )
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return weighted_metrics(self.matrix)
+
+    @cached_property
+    def specification(self) -> dict:
+        mark = fingerprint(self.integrated).first()
+        importances = T.grouped_importances(T.slot_importances(self.model, self.integrated)).collect()
+        description = specs.model_spec(
+            self.model,
+            self.cutoff,
+            "-".join(str(part) for part in mark),
+            {row["metric"]: row["value"] for row in self.metrics.collect()},
+            {row["feature_group"]: row["importance"] for row in importances},
+        )
+        if self.input_paths:
+            description["training"]["input_files"] = file_marks(self.integrated.sparkSession, self.input_paths)
+        return description
 
 
 def train(
-    integrated: DataFrame, classifier, order_key: str | None = None, input_paths: list[str] | None = None
+    integrated: DataFrame,
+    classifier,
+    order_key: str | None = None,
+    input_paths: list[str] | None = None,
+    features: PipelineModel | None = None,
 ) -> Trained:
     """Split by time, fit, score the later part and describe the model.
 
     With ``input_paths`` the digests of the input files' bytes become part of the description.
-
-    Two small results reach the driver: the cutoff date and the confusion counts (at
-    most nine), from which all metrics are computed in one pass over the predictions.
+    ``features`` are feature stages fitted on the same training rows, if there are any.
     """
-    cutoff = cutoff_date(integrated).first()["cutoff_date"]
-    training, testing = split_at(integrated, cutoff.isoformat())
-    model = T.fit(training, classifier, order_key)
-    predictions = T.predict(model, testing)
-    matrix = confusion_matrix(predictions)
-    counted = integrated.sparkSession.createDataFrame(
-        matrix.collect(), "actual_class string, predicted_class string, count bigint"
-    )
-    metrics = weighted_metrics(counted)
-    mark = fingerprint(integrated).first()
-    importances = {row["feature_group"]: row["importance"] for row in T.grouped_importances(
-        T.slot_importances(model, integrated)
-    ).collect()}
-    description = specs.model_spec(
-        model,
-        cutoff.isoformat(),
-        "-".join(str(part) for part in mark),
-        {row["metric"]: row["value"] for row in metrics.collect()},
-        importances,
-    )
-    if input_paths:
-        description["training"]["input_files"] = file_marks(integrated.sparkSession, input_paths)
-    return Trained(model, predictions, counted, metrics, description, cutoff.isoformat())
+    cutoff = cutoff_date(integrated).first()["cutoff_date"].isoformat()
+    training, testing = split_at(integrated, cutoff)
+    model = T.fit(training, classifier, order_key, features)
+    return Trained(model, T.predict(model, testing), cutoff, integrated, input_paths)
 
 
 def file_marks(spark: SparkSession, paths: list[str]) -> list[str]:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from roadgrain import schemas as S
 from roadgrain.models import spec as specs, trees as T
 from roadgrain.operators.split import split_at
-from roadgrain.plans import runs
+from roadgrain.plans import model_queries, runs
 from roadgrain.session import fresh_path
+from roadgrain.sources.files import fingerprint
 from roadgrain.sources.given import observations
 from tests.conftest import values
 
@@ -155,3 +156,28 @@ def test_other_specification_is_refused(trained):
     assert [name for name, ok in conditions.items() if not ok] == ["native_model_flag", "cutoff_date"]
     with pytest.raises(ValueError, match="native_model_flag, cutoff_date"):
         specs.require_spec(conditions)
+
+
+def test_nothing_is_described_before_it_is_asked_for(monkeypatch, data):
+    def refuse(*_):
+        raise AssertionError("the input was fingerprinted")
+
+    monkeypatch.setattr(runs, "fingerprint", refuse)
+    trained = runs.train(data, T.decision_tree(max_depth=1), "obs_id")
+    assert trained.metrics.count() == 4
+    with pytest.raises(AssertionError):
+        trained.specification
+
+
+def test_feature_stages_fitted_before_give_the_same_model(trained, data):
+    features = T.fit_features(split_at(data, trained.cutoff)[0])
+    again = runs.train(data, T.decision_tree(), "obs_id", features=features)
+    assert again.specification == trained.specification | {"tree": again.specification["tree"]}
+    assert again.specification["tree"].split("\n")[1:] == trained.specification["tree"].split("\n")[1:]
+
+
+def test_observations_of_the_fits_are_joined_once(spark, sf_dir):
+    stored = model_queries._observed(spark, sf_dir)
+    assert stored is model_queries._observed(spark, sf_dir)
+    assert "Join" not in stored._jdf.queryExecution().executedPlan().toString()
+    assert fingerprint(stored).first() == fingerprint(observations(spark, sf_dir)).first()
