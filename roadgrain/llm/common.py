@@ -8,6 +8,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -34,7 +35,21 @@ def in_arrow(data: DataFrame, function, schema: str) -> DataFrame:
         target = os.path.join(tempfile.mkdtemp(prefix="package-"), "roadgrain")
         context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), "roadgrain"))
         _shipped.add(context.applicationId)
-    return data.mapInArrow(function, schema)
+
+    def released(batches):
+        for rows in function(batches):
+            yield rows
+            pa.default_memory_pool().release_unused()  # workers are kept, and with them what Arrow has set aside
+
+    return data.mapInArrow(released, schema)
+
+
+def slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
+    """Place and number of texts in a row that have about ``most`` bytes together, one at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(sizes) // most
+    bounds = np.r_[0, np.flatnonzero(np.diff(group)) + 1, len(sizes)] if len(sizes) else np.zeros(1, int)
+    return [(int(a), int(b - a)) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def with_scores(documents: DataFrame, name: str, make_scorer) -> DataFrame:

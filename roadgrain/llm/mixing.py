@@ -11,18 +11,22 @@ pass over (tokens, posteriors) that replays them and returns one sum for each do
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.llm.common import bounded, held_out, in_arrow, logistic, small, staged
+from roadgrain.llm.common import bounded, held_out, in_arrow, logistic, slices, small, staged
 
 #: Bounds of the sample and of the vocabulary.
 PER_DOMAIN = 4_000
 BUCKETS = 1 << 16
 REMEMBERED = 500_000
+#: Bytes of text that are classified together.
+SLICE_BYTES = 8 << 20
 APART = 4.0
 ROUNDS = 30
 TOLERANCE = 1e-6
@@ -37,6 +41,23 @@ def domains(labels: DataFrame) -> DataFrame:
     return marks.select("doc_id", domain.alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
 
 
+class Units(dict):
+    """The bucket of a part of a piece as a tuple; empty if ``kept`` is given and does not have it."""
+
+    def __init__(self, kept: set[int] | None):
+        self.kept = kept
+
+    def bucket(self, unit: bytes) -> tuple[int, ...]:
+        bucket = xxhash.xxh3_64_intdigest(unit) % BUCKETS
+        return (bucket,) if self.kept is None or bucket in self.kept else ()
+
+    def __missing__(self, unit: bytes) -> tuple[int, ...]:
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[unit] = own = self.bucket(unit)
+        return own
+
+
 class Buckets(dict):
     """Buckets of a piece of text: its word, the word's first letters, its marks and its capitals.
 
@@ -44,26 +65,17 @@ class Buckets(dict):
     """
 
     def __init__(self, kept: np.ndarray | None = None):
-        self.kept = None if kept is None else set(kept.tolist())
-        self.units: dict[bytes, int] = {}  # the first letters and marks, far fewer than words
-
-    def _bucket(self, unit: bytes) -> int:
-        if unit not in self.units:
-            if len(self.units) > REMEMBERED:
-                self.units.clear()
-            self.units[unit] = xxhash.xxh3_64_intdigest(unit) % BUCKETS
-        return self.units[unit]
+        self.units = Units(None if kept is None else set(kept.tolist()))  # the first letters and marks, far fewer than words
 
     def __missing__(self, piece: bytes) -> tuple[int, ...]:
         if len(self) > REMEMBERED:
             self.clear()
-        word = piece.translate(None, _MARKS).lower()
-        marks = piece.translate(None, _LETTERS)
-        buckets = [xxhash.xxh3_64_intdigest(b"=" + word) % BUCKETS]
-        buckets += map(self._bucket, (b"4" + word[:4], b"6" + word[:6], b"." + marks))
+        word, marks = piece.translate(None, _MARKS).lower(), piece.translate(None, _LETTERS)
+        units = self.units
+        own = units.bucket(b"=" + word) + units[b"4" + word[:4]] + units[b"6" + word[:6]] + units[b"." + marks]
         if len(piece) > 2 and piece.isupper():
-            buckets.append(self._bucket(b"capitals"))
-        own = self[piece] = tuple(b for b in buckets if self.kept is None or b in self.kept)
+            own += units[b"capitals"]
+        self[piece] = own
         return own
 
 
@@ -76,10 +88,20 @@ def counted(text: str | None, buckets: Buckets) -> tuple[int, np.ndarray]:
     distinct = set(pieces)
     own = set().union(*map(buckets.__getitem__, distinct))
     if len(pieces) >= 20:
-        own.add(xxhash.xxh3_64_intdigest(b"repeats %d" % (10 * len(distinct) // len(pieces))) % BUCKETS)
+        own.add(REPEATS[10 * len(distinct) // len(pieces)])
     return len(pieces), np.fromiter(own, np.int64, len(own))
 
 
+#: Buckets of texts of at least 20 pieces, by tenths of distinct pieces.
+REPEATS = [xxhash.xxh3_64_intdigest(b"repeats %d" % tenths) % BUCKETS for tenths in range(11)]
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """The different numbers, sorted; the array is sorted in place."""
+    numbers.sort()
+    return numbers[np.r_[True, numbers[1:] != numbers[:-1]]] if len(numbers) else numbers
+
+
 @dataclass(frozen=True)
 class Classifier:
     """Domains, the buckets' log probabilities in each, and a one-versus-rest calibration of each domain."""
@@ -91,6 +113,34 @@ class Classifier:
     def evidence(self, own: np.ndarray) -> np.ndarray:
         return self.table[own].sum(0, dtype=float)
 
+    def evidences(self, texts: pa.Array, buckets: Buckets) -> tuple[np.ndarray, np.ndarray]:
+        """Number of pieces and evidence of every text, as ``counted`` and ``evidence`` give them one by one.
+
+        Each different piece of the texts is looked up once; Arrow splits, and pairs of a text and a
+        piece or a bucket are made distinct as sorted numbers.
+        """
+        pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        places = pieces.flatten().dictionary_encode()
+        found = [buckets[piece] if piece else () for piece in places.dictionary.cast(pa.binary()).to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        starts, flat = np.cumsum(sizes) - sizes, np.fromiter(chain.from_iterable(found), np.int64)
+        empty = pc.binary_length(places.dictionary).to_numpy() == 0
+        text = np.repeat(np.arange(len(texts)), np.diff(pieces.offsets.to_numpy()))
+        code = places.indices.to_numpy().astype(np.int64)
+        text, code = text[~empty[code]], code[~empty[code]]
+        n = np.bincount(text, minlength=len(texts))
+        text, code = np.divmod(_distinct(text * len(found) + code), max(1, len(found)))
+        distinct = np.bincount(text, minlength=len(texts))
+        text, code = text[sizes[code] > 0], code[sizes[code] > 0]
+        times = sizes[code]
+        at = np.repeat(starts[code] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        long = np.flatnonzero(n >= 20)
+        repeats = np.array(REPEATS)[10 * distinct[long] // n[long]]
+        pairs = np.r_[np.repeat(text, times) * BUCKETS + flat[at], long * BUCKETS + repeats]
+        text, own = np.divmod(_distinct(pairs), BUCKETS)
+        rows = self.table[own].astype(float)
+        return n, np.column_stack([np.bincount(text, rows[:, k], len(texts)) for k in range(rows.shape[1])])
+
     def posterior(self, evidence: np.ndarray) -> np.ndarray:
         """Rows of posteriors for rows of evidence."""
         if self.weights is None:
@@ -172,16 +222,14 @@ def memberships(documents: DataFrame, classifier: Classifier) -> DataFrame:
     def classify(batches):
         buckets = Buckets(np.flatnonzero(classifier.table.any(1)))
         for rows in batches:
-            n, e = [], np.zeros((rows.num_rows, len(classifier.names)))
-            for i, text in enumerate(rows.column(2)):
-                pieces, own = counted(text.as_py(), buckets)
-                n.append(pieces)
-                e[i] = classifier.evidence(own)
-            p = list(classifier.posterior(e))
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns[:2], pa.array(n, pa.int64()), pa.array(p, pa.list_(pa.float64()))],
-                names=["doc_id", "digest", "n_tokens", "p"],
-            )
+            for at, size in slices(rows.column(2), SLICE_BYTES):
+                part = rows.slice(at, size)
+                n, e = classifier.evidences(part.column(2), buckets)
+                p = list(classifier.posterior(e))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:2], pa.array(n, pa.int64()), pa.array(p, pa.list_(pa.float64()))],
+                    names=["doc_id", "digest", "n_tokens", "p"],
+                )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     return in_arrow(rows, classify, "doc_id long, digest long, n_tokens long, p array<double>")

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadgrain.llm.common import in_arrow
+from roadgrain.llm.common import in_arrow, slices
 from roadgrain.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -27,7 +27,7 @@ END_ID = 1
 #: Remembered pieces per worker; the memory is emptied when it is full.
 REMEMBERED = 1_000_000
 #: Bytes of text that are encoded together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
@@ -100,14 +100,6 @@ def _encoder(path: str) -> Pieces:
     return _pieces[path]
 
 
-def _slices(texts: pa.Array):
-    """Place and number of texts in a row that have about ``SLICE_BYTES`` together, one at least."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    group = np.cumsum(sizes) // SLICE_BYTES
-    bounds = np.r_[0, np.flatnonzero(np.diff(group)) + 1, len(sizes)] if len(sizes) else np.zeros(1, int)
-    return [(int(a), int(b - a)) for a, b in zip(bounds[:-1], bounds[1:])]
-
-
 def encoded(documents: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """One row of FILE_SCHEMA for each document, partitions in ascending order of doc_id.
 
@@ -119,7 +111,7 @@ def encoded(documents: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         pieces = _encoder(path)
         part, start = TaskContext.get().partitionId(), 0
         for rows in batches:
-            for at, n in _slices(rows.column(1)):
+            for at, n in slices(rows.column(1), SLICE_BYTES):
                 ids = pieces.encode(rows.column(1).slice(at, n), end_id)
                 lengths = np.diff(ids.offsets.to_numpy()).astype(np.int32)
                 before = start + np.r_[0, np.cumsum(lengths, dtype=np.int64)]
