@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,10 @@ WORD_BYTES = bytes(
 )
 
 
+#: Bytes of an Arrow batch of whole texts, both in the executor and in its Python workers.
+BATCH_BYTES = 16 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
@@ -37,13 +42,32 @@ def in_arrow(data: DataFrame, function, schema: str) -> DataFrame:
         _shipped.add(context.applicationId)
 
     def released(batches):
+        pool, later = pa.default_memory_pool(), False
         for rows in function(batches):
+            if later:
+                pool.release_unused()
             yield rows
-            pa.default_memory_pool().release_unused()  # workers are kept, and with them what Arrow has set aside
+            del rows
+            later = True
+        pool.release_unused()  # now that nothing is held: workers are kept, and with them what Arrow has set aside
 
     return data.mapInArrow(released, schema)
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES):
+    """Jobs started inside send about ``most`` bytes to Python at once, however long texts are; a lower setting stays."""
+    held = spark.conf.get(_BATCH_KEY)
+    larger = held.removesuffix("b").isdigit() and int(held.removesuffix("b")) > most
+    if larger:
+        spark.conf.set(_BATCH_KEY, str(most))
+    try:
+        yield
+    finally:
+        if larger:
+            spark.conf.set(_BATCH_KEY, held)
+
+
 def slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
     """Place and number of texts in a row that have about ``most`` bytes together, one at least."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)

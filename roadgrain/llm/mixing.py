@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.llm.common import bounded, held_out, in_arrow, logistic, slices, small, staged
+from roadgrain.llm.common import bounded, bounded_batches, held_out, in_arrow, logistic, slices, small, staged
 
 #: Bounds of the sample and of the vocabulary.
 PER_DOMAIN = 4_000
@@ -353,7 +353,8 @@ def mix(
     equal rates. An empty table gives no rows.
     """
     classifier = fit(documents, labelled, per_domain)
-    member = staged(memberships(documents, classifier), "members")
+    with bounded_batches(documents.sparkSession):
+        member = staged(memberships(documents, classifier), "members")
     rates = fit_rates(member, classifier.names, weights, anchor, most)
     return rated(member, rates).withColumn("n_copies", copies()), rates
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.llm.common import free_name, in_arrow, small, staged
+from roadgrain.llm.common import bounded_batches, free_name, in_arrow, small, staged
 
 SHINGLE = 5
 FUNCTIONS = 64
@@ -471,7 +471,8 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = SHINGLE
     and text are read. An empty table gives no rows.
     """
     texts = documents.select("doc_id", "text")
-    base = staged(_signed(texts, size), "signed")
+    with bounded_batches(documents.sparkSession):
+        base = staged(_signed(texts, size), "signed")
     linked = base.where("n > 0 AND doc_id IS NOT NULL")
     groups = staged(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")), "classes")
     classes = linked.join(groups, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["rep", "d1", "d2"])

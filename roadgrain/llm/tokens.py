@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadgrain.llm.common import in_arrow, slices
+from roadgrain.llm.common import bounded_batches, in_arrow, slices
 from roadgrain.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -186,7 +186,8 @@ def tokenize(
 
     spark = documents.sparkSession
     path = path or fresh_path(spark, "token-ids")
-    write_ids(encoded(documents, vocabulary or public_tokenizers.path(VOCABULARY), end_id), path)
+    with bounded_batches(spark):
+        write_ids(encoded(documents, vocabulary or public_tokenizers.path(VOCABULARY), end_id), path)
     files = read_ids(spark, path)
     return (
         digests(files)

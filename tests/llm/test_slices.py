@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import weakref
+
 import numpy as np
 import pyarrow as pa
 
-from roadgrain.llm import common, mixing
+from roadgrain.llm import common, mixing, tokens
 
 ODD = [None, "", " ", "a", "a a\tb\x0b c  ", "é ü x y", " lead", "A B C " * 30, "tail\n", "x y z, " * 9 + "q", "USA USA 12"]
 
@@ -34,3 +36,56 @@ def test_arrow_gives_memory_back_after_every_batch(spark, monkeypatch):
     data = type("Data", (), {"sparkSession": spark, "mapInArrow": lambda self, function, schema: function})()
     assert list(common.in_arrow(data, lambda batches: iter(batches), "n long")([1, 2])) == [1, 2]
     assert len(calls) == 2
+
+
+def test_arrow_gives_memory_back_when_no_batch_is_held(spark, monkeypatch):
+    made, alive = [], []
+
+    def release(self):
+        alive.append(sum(batch() is not None for batch in made))
+
+    def function(batches):
+        for _ in batches:
+            batch = np.zeros(1)
+            made.append(weakref.ref(batch))
+            yield batch
+
+    pool = type("Pool", (), {"release_unused": release})()
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    data = type("Data", (), {"sparkSession": spark, "mapInArrow": lambda self, function, schema: function})()
+    for batch in common.in_arrow(data, function, "n long")(iter(range(3))):
+        del batch
+    assert alive[-1] == 0 and max(alive) <= 1
+
+
+KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_long_texts_reach_the_tokenizer_in_small_batches(spark, documents, monkeypatch):
+    seen, before, write = [], spark.conf.get(KEY), tokens.write_ids
+
+    def spy(rows, path):
+        seen.append(spark.conf.get(KEY))
+        write(rows, path)
+
+    monkeypatch.setattr(tokens, "write_ids", spy)
+    assert tokens.tokenize(documents((1, "a b"), (2, None))).count() == 2
+    assert int(seen[0]) <= 16 << 20 and spark.conf.get(KEY) == before
+
+
+def test_batches_are_bounded_in_bytes_and_a_lower_setting_stays(spark):
+    def sizes(batches):
+        for rows in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rows.nbytes])], names=["n"])
+
+    rows = spark.range(48, numPartitions=1).selectExpr("repeat('x', 1 << 20) AS text")
+    with common.bounded_batches(spark):
+        found = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert len(found) >= 3 and max(found) <= 18 << 20 and sum(found) >= 48 << 20
+    held = spark.conf.get(KEY)
+    try:
+        spark.conf.set(KEY, "1048576")
+        with common.bounded_batches(spark):
+            assert spark.conf.get(KEY) == "1048576"
+    finally:
+        spark.conf.set(KEY, held)
