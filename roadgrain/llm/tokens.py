@@ -9,9 +9,10 @@ doc_id skips row groups and pages.
 
 from __future__ import annotations
 
-import array
 import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from roadgrain.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Remembered pieces per worker; the memory is emptied when it is full.
+#: Remembered pieces per worker; beyond that, those of the last slice stay.
 REMEMBERED = 1_000_000
 #: Bytes of text that are encoded together.
 SLICE_BYTES = 4 << 20
@@ -32,8 +33,22 @@ SLICE_BYTES = 4 << 20
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
 
-class Pieces(dict):
-    """Ids of white-space separated pieces of text, as little-endian 32-bit bytes.
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + n) for n, byte in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+#: Letters below U+0100 that have one code point when composed and a lower case of one code point.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_WORD = re.compile(f"[{_LETTERS}]+")
+_TAILED = f"[0-9{_LETTERS}][,.]$"
+
+
+class Pieces:
+    """Ids of white-space separated pieces of text, remembered as Arrow arrays.
 
     Only for tokenizers that lower-case, drop white space and never join across it, such as the
     word-level vocabulary here; then the ids of a text are those of its pieces.
@@ -44,50 +59,63 @@ class Pieces(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-
-    def whole(self, text: str) -> bytes:
-        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def __missing__(self, piece: bytes) -> bytes:
-        if not piece:
-            ids = b""
-        elif piece.isalpha():  # ASCII letters: nothing is left to normalise or to split
-            ids = _bytes([t.id for t in self.model.tokenize(piece.decode())])
-        elif piece[-1:] in b",." and piece[-2:-1].isalnum():
-            return self[piece[:-1]] + self[piece[-1:]]  # put together anew, so that the memory holds more words
-        else:
-            ids = self.whole(piece.decode())
-        self[piece] = ids
-        return ids
+        self.known, self.lists = pa.array([], pa.string()), _lists([])
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def tokenised(self, piece: str) -> list[int]:
+        if not _WORD.fullmatch(piece):
+            return self.whole(piece)
+        if not piece.isascii():
+            piece = piece.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.model.tokenize(piece)]  # letters only: nothing is left to normalise or to split
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the pieces stand among the known ones; new ones are tokenised once and put behind them."""
+        n = len(self.known)
+        among = pa.concat_arrays([self.known, pieces]).dictionary_encode()
+        new = among.dictionary.slice(n).to_numpy(zero_copy_only=False)
+        self.lists = pa.concat_arrays([self.lists, _lists([self.tokenised(piece) for piece in new])])
+        self.known = among.dictionary
+        return among.indices.to_numpy()[n:]
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """The ids of every text and the end id; a null text is empty.
 
-        Each different piece of the texts is looked up or tokenised once; splitting and putting ids
-        together is left to Arrow.
+        Each different piece of the texts is looked up once, a comma or full stop behind a word by
+        itself; splitting and putting ids together is left to Arrow.
         """
-        if len(self) > REMEMBERED:
-            self.clear()
         texts = pc.fill_null(texts, "")
-        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
-        plain = pc.if_else(pc.match_substring(texts, "<|"), "", texts)  # such texts may hold a special token, whose case counts
-        pieces = pc.ascii_split_whitespace(pc.ascii_lower(plain))
-        places = pieces.flatten().dictionary_encode()
-        known = [self[piece.encode()] for piece in places.dictionary.to_pylist()]
-        at, code = pieces.offsets.to_numpy().astype(np.int64), places.indices.to_numpy().copy()
+        marked = pc.match_substring(texts, "<|")  # such texts may hold a special token, whose case counts
+        special = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(marked, "", texts)))
+        found = pieces.flatten().dictionary_encode()
+        tailed = pc.match_substring_regex(found.dictionary, _TAILED)
+        stems = pc.if_else(tailed, pc.utf8_slice_codeunits(found.dictionary, 0, -1), found.dictionary)
+        tails = pc.if_else(tailed, pc.utf8_slice_codeunits(found.dictionary, -1), "")
+        known = self.places(pa.concat_arrays([stems, tails]))
+        both = self.lists.take(pa.array(known.reshape(2, -1).T.ravel()))
+        lists = pa.ListArray.from_arrays(both.offsets[::2], both.values)
+        if len(self.known) > REMEMBERED:  # go on with the pieces of these texts
+            kept = pa.array(np.unique(known))
+            self.known, self.lists = self.known.take(kept), self.lists.take(kept)
+
+        at, code = pieces.offsets.to_numpy().astype(np.int64), found.indices.to_numpy().copy()
         at -= at[0]
-        code[at[special]] = np.arange(len(known), len(known) + len(special))  # their only piece is the empty text
-        known += [self.whole(texts[int(i)].as_py()) for i in special] + [_bytes([end_id])]
-        code = np.insert(code, at[1:], len(known) - 1)
-        sizes = np.array([len(ids) // 4 for ids in known], np.int32)
-        starts = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(known), "<i4")))
-        ends = np.r_[0, np.cumsum(sizes[code], dtype=np.int64)][at + np.arange(len(at))]
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), lists.take(pa.array(code)).flatten())
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return array.array("I", ids).tobytes()
+        code[at[special]] = np.arange(len(lists), len(lists) + len(special))  # their only piece is the empty text
+        lists = pa.concat_arrays([lists, _lists([self.whole(texts[int(i)].as_py()) for i in special] + [[end_id]])])
+        code = np.insert(code, at[1:], len(lists) - 1)
+        joined = lists.take(pa.array(code))
+        ends = joined.offsets.to_numpy()[at + np.arange(len(at))]
+        return pa.ListArray.from_arrays(pa.array(ends), joined.values)
+
+
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    """Lists of ids with 32-bit numbers."""
+    sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+    values = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values))
 
 
 _pieces: dict[str, Pieces] = {}

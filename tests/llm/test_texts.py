@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -220,6 +221,25 @@ def test_files_hold_what_the_tokenizer_gives(spark, documents, tmp_path):
     assert tokens.tokenize(documents()).count() == 0
 
 
+def test_pieces_are_tokenised_once_and_forgotten(prose, monkeypatch):
+    texts = ["Ça, ÉCOLE. naïve, école Straße. ×, ÿ. 9. é́, ١, a.b, ,. .,", *STRANGE, *(prose(i, 400) + "," for i in range(30))]
+    expected = [plain(text) for text in texts]
+    pieces, asked = tokens.Pieces(PATH), []
+    tokenised = pieces.tokenised
+    monkeypatch.setattr(pieces, "tokenised", lambda piece: asked.append(piece) or tokenised(piece))
+    for _ in range(2):
+        assert pieces.encode(pa.array(texts), 1).to_pylist() == expected
+    assert len(asked) == len(set(asked)) and "école" in asked and "école." not in asked
+    again = [text.replace(" ", ", ") for text in texts[-30:]]
+    n = len(asked)
+    assert pieces.encode(pa.array(again), 1).to_pylist() == [plain(text) for text in again] and len(asked) == n
+    assert pieces.known.nbytes + pieces.lists.nbytes < 64 * len(pieces.known)
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    for text, ids in zip(texts, expected):
+        assert pieces.encode(pa.array([text], pa.string()), 1).to_pylist() == [ids]
+        assert len(pieces.known) <= 450
+
+
 def test_file_format(spark, documents, prose, tmp_path):
     import pyarrow.parquet as pq
 
