@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ WORD_BYTES = bytes(
 
 
 #: Bytes of an Arrow batch of whole texts, both in the executor and in its Python workers.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _shipped: set[str] = set()
@@ -54,18 +56,22 @@ def in_arrow(data: DataFrame, function, schema: str) -> DataFrame:
     return data.mapInArrow(released, schema)
 
 
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """From now on the session sends about ``most`` bytes to Python at once, also for plans run later; a lower setting stays."""
+    held = spark.conf.get(_BATCH_KEY).removesuffix("b")
+    if held.isdigit() and int(held) > most:
+        spark.conf.set(_BATCH_KEY, str(most))
+
+
 @contextmanager
 def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES):
     """Jobs started inside send about ``most`` bytes to Python at once, however long texts are; a lower setting stays."""
     held = spark.conf.get(_BATCH_KEY)
-    larger = held.removesuffix("b").isdigit() and int(held.removesuffix("b")) > most
-    if larger:
-        spark.conf.set(_BATCH_KEY, str(most))
+    bound_batches(spark, most)
     try:
         yield
     finally:
-        if larger:
-            spark.conf.set(_BATCH_KEY, held)
+        spark.conf.set(_BATCH_KEY, held)
 
 
 def slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
@@ -76,6 +82,37 @@ def slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
     return [(int(a), int(b - a)) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
+def int_lists(rows: Sequence[Sequence[int]]) -> pa.ListArray:
+    """Lists of 32-bit numbers."""
+    sizes = np.fromiter(map(len, rows), np.int32, len(rows))
+    values = np.fromiter(chain.from_iterable(rows), np.int32, sizes.sum())
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values))
+
+
+class Remembered:
+    """Numbers under 2^31 of pieces of text, held as Arrow arrays, far smaller than a dict.
+
+    Beyond ``most`` pieces, those that were asked for last stay.
+    """
+
+    def __init__(self, most: int, kind: pa.DataType):
+        self.most = most
+        self.known, self.lists = pa.array([], kind), int_lists([])
+
+    def of(self, pieces: pa.Array, make: Callable[[str | bytes], Sequence[int]]) -> pa.ListArray:
+        """The numbers of every piece, for new ones what ``make`` gives."""
+        n = len(self.known)
+        among = pa.concat_arrays([self.known, pieces]).dictionary_encode()
+        new = among.dictionary.slice(n).to_numpy(zero_copy_only=False)
+        self.known, self.lists = among.dictionary, pa.concat_arrays([self.lists, int_lists([make(piece) for piece in new])])
+        places = among.indices.slice(n)
+        found = self.lists.take(places)
+        if len(self.known) > self.most:
+            kept = places.unique()
+            self.known, self.lists = self.known.take(kept), self.lists.take(kept)
+        return found
+
+
 def with_scores(documents: DataFrame, name: str, make_scorer) -> DataFrame:
     """All columns and a double: what ``make_scorer()``, called once per task, gives for each text (None if null)."""
     at = documents.columns.index("text")

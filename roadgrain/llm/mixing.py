@@ -11,7 +11,6 @@ pass over (tokens, posteriors) that replays them and returns one sum for each do
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +18,14 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadgrain.llm.common import bounded, bounded_batches, held_out, in_arrow, logistic, slices, small, staged
+from roadgrain.llm.common import Remembered, bounded, bounded_batches, held_out, in_arrow, logistic, slices, small, staged
 
 #: Bounds of the sample and of the vocabulary.
 PER_DOMAIN = 4_000
 BUCKETS = 1 << 16
 REMEMBERED = 500_000
 #: Bytes of text that are classified together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 APART = 4.0
 ROUNDS = 30
 TOLERANCE = 1e-6
@@ -66,16 +65,22 @@ class Buckets(dict):
 
     def __init__(self, kept: np.ndarray | None = None):
         self.units = Units(None if kept is None else set(kept.tolist()))  # the first letters and marks, far fewer than words
+        self.pieces = Remembered(REMEMBERED, pa.binary())
 
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        if len(self) > REMEMBERED:
-            self.clear()
+    def made(self, piece: bytes) -> tuple[int, ...]:
+        if not piece:
+            return ()
         word, marks = piece.translate(None, _MARKS).lower(), piece.translate(None, _LETTERS)
         units = self.units
         own = units.bucket(b"=" + word) + units[b"4" + word[:4]] + units[b"6" + word[:6]] + units[b"." + marks]
         if len(piece) > 2 and piece.isupper():
             own += units[b"capitals"]
-        self[piece] = own
+        return own
+
+    def __missing__(self, piece: bytes) -> tuple[int, ...]:
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[piece] = own = self.made(piece)
         return own
 
 
@@ -121,9 +126,9 @@ class Classifier:
         """
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         places = pieces.flatten().dictionary_encode()
-        found = [buckets[piece] if piece else () for piece in places.dictionary.cast(pa.binary()).to_pylist()]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        starts, flat = np.cumsum(sizes) - sizes, np.fromiter(chain.from_iterable(found), np.int64)
+        found = buckets.pieces.of(places.dictionary.cast(pa.binary()), buckets.made)
+        starts, flat = found.offsets.to_numpy()[:-1].astype(np.int64), found.values.to_numpy()
+        sizes = np.diff(found.offsets.to_numpy()).astype(np.int64)
         empty = pc.binary_length(places.dictionary).to_numpy() == 0
         text = np.repeat(np.arange(len(texts)), np.diff(pieces.offsets.to_numpy()))
         code = places.indices.to_numpy().astype(np.int64)

@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadgrain.llm.common import bounded_batches, in_arrow, slices
+from roadgrain.llm.common import Remembered, bounded_batches, in_arrow, int_lists, slices
 from roadgrain.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -48,7 +47,7 @@ _TAILED = f"[0-9{_LETTERS}][,.]$"
 
 
 class Pieces:
-    """Ids of white-space separated pieces of text, remembered as Arrow arrays.
+    """Ids of white-space separated pieces of text.
 
     Only for tokenizers that lower-case, drop white space and never join across it, such as the
     word-level vocabulary here; then the ids of a text are those of its pieces.
@@ -59,7 +58,7 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known, self.lists = pa.array([], pa.string()), _lists([])
+        self.pieces = Remembered(REMEMBERED, pa.string())
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -71,15 +70,6 @@ class Pieces:
             piece = piece.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
         return [t.id for t in self.model.tokenize(piece)]  # letters only: nothing is left to normalise or to split
 
-    def places(self, pieces: pa.Array) -> np.ndarray:
-        """Where the pieces stand among the known ones; new ones are tokenised once and put behind them."""
-        n = len(self.known)
-        among = pa.concat_arrays([self.known, pieces]).dictionary_encode()
-        new = among.dictionary.slice(n).to_numpy(zero_copy_only=False)
-        self.lists = pa.concat_arrays([self.lists, _lists([self.tokenised(piece) for piece in new])])
-        self.known = among.dictionary
-        return among.indices.to_numpy()[n:]
-
     def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """The ids of every text and the end id; a null text is empty.
 
@@ -94,30 +84,20 @@ class Pieces:
         tailed = pc.match_substring_regex(found.dictionary, _TAILED)
         stems = pc.if_else(tailed, pc.utf8_slice_codeunits(found.dictionary, 0, -1), found.dictionary)
         tails = pc.if_else(tailed, pc.utf8_slice_codeunits(found.dictionary, -1), "")
-        known = self.places(pa.concat_arrays([stems, tails]))
-        both = self.lists.take(pa.array(known.reshape(2, -1).T.ravel()))
+        side_by_side = pa.array(np.arange(2 * len(stems)).reshape(2, -1).T.ravel())
+        both = self.pieces.of(pa.concat_arrays([stems, tails]).take(side_by_side), self.tokenised)
         lists = pa.ListArray.from_arrays(both.offsets[::2], both.values)
-        if len(self.known) > REMEMBERED:  # go on with the pieces of these texts
-            kept = pa.array(np.unique(known))
-            self.known, self.lists = self.known.take(kept), self.lists.take(kept)
 
         at, code = pieces.offsets.to_numpy().astype(np.int64), found.indices.to_numpy().copy()
         at -= at[0]
         code[at[special]] = np.arange(len(lists), len(lists) + len(special))  # their only piece is the empty text
-        lists = pa.concat_arrays([lists, _lists([self.whole(texts[int(i)].as_py()) for i in special] + [[end_id]])])
+        lists = pa.concat_arrays([lists, int_lists([self.whole(texts[int(i)].as_py()) for i in special] + [[end_id]])])
         code = np.insert(code, at[1:], len(lists) - 1)
         joined = lists.take(pa.array(code))
         ends = joined.offsets.to_numpy()[at + np.arange(len(at))]
         return pa.ListArray.from_arrays(pa.array(ends), joined.values)
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
-    """Lists of ids with 32-bit numbers."""
-    sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-    values = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values))
-
-
 _pieces: dict[str, Pieces] = {}
 
 

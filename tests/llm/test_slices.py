@@ -89,3 +89,41 @@ def test_batches_are_bounded_in_bytes_and_a_lower_setting_stays(spark):
             assert spark.conf.get(KEY) == "1048576"
     finally:
         spark.conf.set(KEY, held)
+
+
+def test_classified_pieces_are_remembered_in_little_memory(monkeypatch):
+    texts = pa.array([" ".join(f"word{i}x{n}," for i in range(500)) for n in range(20)])
+    classifier, buckets = mixing.Classifier(("all",)), mixing.Buckets()
+    n, _ = classifier.evidences(texts, buckets)
+    held = buckets.pieces
+    assert n.tolist() == [500] * 20 and not len(buckets) and len(held.known) == 10_000
+    assert held.known.nbytes + held.lists.nbytes < 64 * len(held.known)
+    monkeypatch.setattr(held, "most", 600)
+    for i in range(20):
+        assert classifier.evidences(texts.slice(i, 1), buckets)[0].tolist() == [500]
+        assert len(held.known) <= 1100
+
+
+def test_remembered_numbers_are_those_of_each_piece():
+    asked = []
+
+    def make(piece):
+        asked.append(piece)
+        return [len(piece)] * (len(piece) % 3)
+
+    held = common.Remembered(3, pa.string())
+    for pieces in (["a", "bb", "a"], ["", "bb"], ["cccc", "dd", "a", "eeeee"], ["a"], []):
+        assert held.of(pa.array(pieces, pa.string()), make).to_pylist() == [[len(p)] * (len(p) % 3) for p in pieces]
+    assert asked == ["a", "bb", "", "cccc", "dd", "eeeee"] and len(held.known) <= 4
+
+
+def test_stages_of_the_pipeline_bound_batches_of_what_runs_later(spark, documents):
+    import corpus_pipeline
+
+    held = spark.conf.get(KEY)
+    try:
+        spark.conf.set(KEY, str(64 << 20))
+        corpus_pipeline.token_stage(spark, documents((1, "a b")), "")
+        assert int(spark.conf.get(KEY)) <= 4 << 20
+    finally:
+        spark.conf.set(KEY, held)

@@ -233,11 +233,10 @@ def test_pieces_are_tokenised_once_and_forgotten(prose, monkeypatch):
     again = [text.replace(" ", ", ") for text in texts[-30:]]
     n = len(asked)
     assert pieces.encode(pa.array(again), 1).to_pylist() == [plain(text) for text in again] and len(asked) == n
-    assert pieces.known.nbytes + pieces.lists.nbytes < 64 * len(pieces.known)
-    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    monkeypatch.setattr(pieces.pieces, "most", 50)
     for text, ids in zip(texts, expected):
         assert pieces.encode(pa.array([text], pa.string()), 1).to_pylist() == [ids]
-        assert len(pieces.known) <= 450
+        assert len(pieces.pieces.known) <= 450
 
 
 def test_file_format(spark, documents, prose, tmp_path):
