@@ -17,19 +17,20 @@ paths before phrases are scored (a phrase inside a longer one of the same count
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from roadgrain.llm.common import in_arrow, staged
+from roadgrain.llm.common import bounded_batches, in_arrow, staged
 
 LONGEST, LEAST, SHARE, BEST = 3, 10, 50, 2000
 NO_LANGUAGE = "und"
 #: Bytes of text that are added up together inside a task.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Documents looked at for beginnings to salt, the share of edges that makes one hot, and its salts.
 LOOKED_AT, HOT_SHARE, SALTS = 8000, 1 / 4000, 256
 #: Word ids that are sent to the tasks at most (8 bytes each); with more, words meet them in a join.
@@ -75,16 +76,18 @@ def _chunks(batches):
 
 
 def _numbered(pieces: Counter) -> tuple[WordIds, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the words; word place, words left in the piece and number of equal pieces at every position."""
-    places, flat, lengths, times = WordIds(), [], [], []
+    """Places of the words; word place at every position; words in every piece and number of pieces equal to it.
+
+    The pieces are let go of. 32 bits are enough: no text has 2^31 bytes, and a chunk ends with the text that fills it.
+    """
+    places, flat, lengths, times = WordIds(), array("i"), array("i"), array("i")
     for piece, n in pieces.items():
         own = piece.split()
         if own:
             flat.extend(map(places.__getitem__, own))
             lengths.append(len(own)), times.append(n)
-    lengths = np.array(lengths, np.int64)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    return places, np.array(flat, np.int64), ends - np.arange(len(flat)), np.repeat(np.array(times, np.int64), lengths)
+    pieces.clear()
+    return places, *(np.frombuffer(x, np.int32) for x in (flat, lengths, times))
 
 
 def _ids(places: WordIds, lang: bytes, seed: int) -> np.ndarray:
@@ -97,15 +100,40 @@ def _summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
     if sum(bits) < 63:
         key = np.zeros(len(n), np.int64)
         for c, b in zip(columns, bits):
-            key = key << b | c
+            key <<= b
+            key |= c
         order = np.argsort(key, kind="stable")
         key = key[order]
-        new = np.r_[True, key[1:] != key[:-1]]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        key, found = key[starts], []
+        for b in reversed(bits):
+            found.insert(0, (key & (1 << b) - 1).astype(np.int32))
+            key >>= b
     else:
         order = np.lexsort(columns[::-1])
-        new = np.r_[True, np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)]
-    starts = np.flatnonzero(new)
-    return [c[order][starts] for c in columns], np.add.reduceat(n[order], starts)
+        new = np.zeros(len(n), bool)
+        new[0] = True
+        for c in columns:
+            own = c[order]
+            new[1:] |= own[1:] != own[:-1]
+        starts = np.flatnonzero(new)
+        found = [c[order[starts]] for c in columns]
+    return found, np.add.reduceat(n[order], starts, dtype=np.int64)
+
+
+def _runs(pieces: Counter, longest: int) -> tuple[WordIds, list[np.ndarray], np.ndarray]:
+    """Places of the words; distinct edges as 1 + place of each of their words, 0 where a piece has ended, and their n."""
+    places, words, lengths, times = _numbered(pieces)
+    if not len(words):
+        return places, [], np.zeros(0, np.int64)
+    left = np.repeat(np.cumsum(lengths, dtype=np.int32), lengths)
+    left -= np.arange(len(words), dtype=np.int32)
+    later = np.zeros(len(words) + longest, np.int32)
+    later[: len(words)] = words
+    later[: len(words)] += 1
+    columns = [np.where(left > k, later[k : k + len(words)], 0) for k in range(longest)]
+    del left, later
+    return places, *_summed(columns, np.repeat(times, lengths))
 
 
 def _given(documents: DataFrame) -> DataFrame:
@@ -127,21 +155,17 @@ def edges(documents: DataFrame, longest: int, seed: int, hot: np.ndarray | None
     def cut(batches):
         for held in _chunks(batches):
             for lang, pieces in held.items():
-                places, words, left, times = _numbered(pieces)
-                if not len(words):
-                    continue
+                places, columns, n = _runs(pieces, longest)
                 ids = np.r_[0, _ids(places, lang, seed)]
-                later = np.r_[words + 1, np.zeros(longest, np.int64)]
-                columns = [np.where(left > k, later[k : k + len(words)], 0) for k in range(longest)]
-                columns, n = _summed(columns, times)
-                for at in range(0, len(n), 1 << 17):
-                    own = [ids[c[at : at + (1 << 17)]] for c in columns]
+                del places
+                for at in range(0, len(n), 1 << 16):
+                    own = [ids[c[at : at + (1 << 16)]] for c in columns]
                     salt = np.zeros(len(own[0]), np.int64)
                     if len(hot) and longest > 2:
                         salted = np.isin(_beginning(own[0], own[1]), hot)
                         salt[salted] = 1 + own[2][salted] % SALTS
                     yield pa.RecordBatch.from_arrays(
-                        [*map(pa.array, own), pa.array(salt), pa.array(n[at : at + (1 << 17)])],
+                        [*map(pa.array, own), pa.array(salt), pa.array(n[at : at + (1 << 16)])],
                         names=[*[f"w{k}" for k in range(longest)], "salt", "n"],
                     )
 
@@ -159,21 +183,23 @@ def lexicon(documents: DataFrame, seed: int, wanted: np.ndarray | None = None) -
 
     def told(held: Counter):
         """The counts held, one row for each bucket of ids."""
-        rows = defaultdict(list)
-        for (lang, word), n in held.items():
-            own = 0 if word is None else word_id(lang, word, seed)
-            rows[own % BUCKETS].append((own, lang.decode(), None if word is None else word.decode(), n))
-        columns = [list(zip(*row)) for row in rows.values()]
-        kinds = [pa.list_(kind) for kind in (pa.int64(), pa.string(), pa.string(), pa.int64())]
-        lists = [pa.array([c[i] for c in columns], kind) for i, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *lists], names=["bucket", "id", "lang", "word", "n"])
+        own = np.fromiter((0 if word is None else word_id(lang, word, seed) for lang, word in held), np.int64, len(held))
+        order = np.argsort(own % BUCKETS, kind="stable")
+        buckets, starts = np.unique(own[order] % BUCKETS, return_index=True)
+        lang, word = (pa.array([key[i] for key in held], pa.binary()).cast(pa.string()) for i in (0, 1))
+        flat = [pa.array(own), lang, word, pa.array(held.values(), pa.int64())]
+        bounds = pa.array(np.r_[starts, len(own)], pa.int32())
+        lists = [pa.ListArray.from_arrays(bounds, c.take(pa.array(order))) for c in flat]
+        return pa.RecordBatch.from_arrays([pa.array(buckets), *lists], names=["bucket", "id", "lang", "word", "n"])
 
     def cut(batches):
         held: Counter = Counter()  # of a task, told when it is full
         for chunk in _chunks(batches):
             for lang, pieces in chunk.items():
-                places, words, _, times = _numbered(pieces)
-                n, spelled = np.bincount(words, times, len(places)).astype(np.int64), np.fromiter(places, object, len(places))
+                places, words, lengths, times = _numbered(pieces)
+                n = np.bincount(words, np.repeat(times, lengths), len(places)).astype(np.int64)
+                del words
+                spelled = np.fromiter(places, object, len(places))
                 held[lang, None] += int(n.sum())
                 if wanted is not None:
                     own = np.isin(_ids(places, lang, seed), wanted)
@@ -189,12 +215,13 @@ def lexicon(documents: DataFrame, seed: int, wanted: np.ndarray | None = None) -
     def add_up(batches):
         at, held = None, Counter()
         for rows in batches:
-            for bucket, *lists in zip(*rows.to_pydict().values()):
+            for bucket, *lists in zip(*rows.columns):
+                bucket = bucket.as_py()
                 if bucket != at and held:
                     yield summed(held)
                     held.clear()
                 at = bucket
-                for own, lang, word, n in zip(*lists):
+                for own, lang, word, n in zip(*(x.as_py() for x in lists)):
                     held[own, lang, word] += n
         if held:
             yield summed(held)
@@ -219,9 +246,11 @@ def hot_beginnings(documents: DataFrame, longest: int, seed: int) -> np.ndarray:
     share = min(1.0, LOOKED_AT / max(1, documents.count()))
     drawn = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_003)) < share * 1_000_003
     cut = edges(documents.where(drawn), longest, seed)
-    counted = cut.groupBy("w0", "w1").agg(F.count(F.lit(1)).alias("edges"))
-    total = counted.agg(F.sum("edges")).first()[0] or 0
-    found = counted.where(F.col("edges") > max(64, total * HOT_SHARE)).select("w0", "w1").collect()
+    seen = Observation()
+    counted = cut.groupBy("w0", "w1").agg(F.count(F.lit(1)).alias("edges")).observe(seen, F.sum("edges").alias("total"))
+    most = counted.orderBy(F.desc("edges")).limit(int(1 / HOT_SHARE)).collect()  # fewer than these can have more than the share
+    total = seen.get["total"] or 0
+    found = [r for r in most if r["edges"] > max(64, total * HOT_SHARE)]
     return np.unique(_beginning(*(np.array([r[i] for r in found], np.int64) for i in (0, 1))))
 
 
@@ -279,20 +308,21 @@ def counted(documents: DataFrame, longest: int, least: int, most: int = 8) -> tu
     The seed of the ids is one under which no word of a frequent run shares its id with another
     word, so that ids stand for words exactly.
     """
-    for seed in range(most):
-        hot = hot_beginnings(documents, longest, seed)
-        runs = staged(flows(edges(documents, longest, seed, hot), longest, least), "runs")
-        ids = runs.select(F.explode("gram").alias("id")).distinct()
-        if ids.count() <= MOST_SENT:
-            wanted = np.sort(np.array([r[0] for r in ids.toLocalIterator()], np.int64))
-            words = lexicon(documents, seed, wanted)
-        else:
-            every = lexicon(documents, seed)
-            words = every.join(ids, "id", "left_semi").union(every.where("id = 0"))
-        words = staged(words, "words")
-        if words.where("id <> 0").groupBy("id").count().where("count > 1").isEmpty():
-            single = words.where("id <> 0").select(F.array("id").alias("gram"), "n")
-            return runs.union(single), words
+    with bounded_batches(documents.sparkSession):
+        for seed in range(most):
+            hot = hot_beginnings(documents, longest, seed)
+            runs = staged(flows(edges(documents, longest, seed, hot), longest, least), "runs")
+            ids = runs.select(F.explode("gram").alias("id")).distinct()
+            if ids.count() <= MOST_SENT:
+                wanted = np.sort(np.array([r[0] for r in ids.toLocalIterator()], np.int64))
+                words = lexicon(documents, seed, wanted)
+            else:
+                every = lexicon(documents, seed)
+                words = every.join(ids, "id", "left_semi").union(every.where("id = 0"))
+            words = staged(words, "words")
+            if words.where("id <> 0").groupBy("id").count().where("count > 1").isEmpty():
+                single = words.where("id <> 0").select(F.array("id").alias("gram"), "n")
+                return runs.union(single), words
     raise RuntimeError("Two words share an id under every seed.")
 
 

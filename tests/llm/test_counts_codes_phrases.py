@@ -5,11 +5,14 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -287,6 +290,39 @@ def test_shared_ids_lead_to_another_seed(spark, wordy, monkeypatch):
     assert rows_of(collocations.mined(frame), *COLUMNS) == expected and seen == [0, 1]
 
 
+def test_a_task_holds_little_of_its_texts(monkeypatch, prose):
+    """At its highest, a task that adds up edges or words holds a few times a chunk, however much text passes by."""
+    monkeypatch.setattr(collocations, "in_arrow", lambda data, function, schema: function)
+    monkeypatch.setattr(collocations, "_given", lambda documents: documents)
+    texts = [prose(i, 500).replace("1x ", "1x. ") for i in range(3000)]
+    size, cut = sum(map(len, texts)), collocations.edges(None, 3, 0)
+    assert size > 2 * (4 << 20)
+    batches = lambda: (pa.record_batch([["en"] * 100, texts[i : i + 100]], ["lang", "text"]) for i in range(0, 3000, 100))
+    tracemalloc.start()
+    try:
+        n = sum(pc.sum(rows.column("n")).as_py() for rows in cut(batches()))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 3000 * 500
+    assert most < 110e6
+
+
+def test_texts_reach_python_in_small_batches(spark, wordy, monkeypatch):
+    """While tasks run on whole texts the session's batches are bounded; afterwards its setting is as before."""
+    key, bounds, real = "spark.sql.execution.arrow.maxBytesPerBatch", [], collocations.staged
+    before = spark.conf.get(key)
+
+    def watching(data, name):
+        bounds.append(int(spark.conf.get(key).removesuffix("b")))
+        return real(data, name)
+
+    monkeypatch.setattr(collocations, "staged", watching)
+    frame = spark.createDataFrame([(t, g) for g, t in wordy], "text string, lang string")
+    assert collocations.mined(frame).count() > 0
+    assert len(bounds) == 2 and max(bounds) <= 4 << 20 and spark.conf.get(key) == before
+
+
 def test_flows_equal_counts_of_words(spark, wordy):
     """What flows through single words, summed from edges and end corrections, is how often they occur."""
     frame = spark.createDataFrame([(t, g) for g, t in wordy], "text string, lang string")
